@@ -34,7 +34,9 @@ def month_of(d: str | Column, keep_invalid: bool = False) -> Column:
 
 
 def strip_decimal_tail(c: str | Column) -> Column:
-    return F.regexp_replace(as_col(c), r"\.0$", "")
+    """Text without a final ``.0``, which numbers read as floats carry."""
+    text = as_col(c)
+    return F.when(text.endswith(".0"), F.left(text, F.length(text) - 2)).otherwise(text)
 
 
 def normalize_pincode(c: str | Column) -> Column:
@@ -44,7 +46,7 @@ def normalize_pincode(c: str | Column) -> Column:
 
 def is_valid_pincode(c: str | Column) -> Column:
     """True for exactly six digits after the ``.0`` tail is cut; null is false."""
-    return F.coalesce(strip_decimal_tail(c).rlike("^[0-9]{6}$"), F.lit(False))
+    return F.coalesce(as_col(c).rlike(r"^[0-9]{6}(\.0)?$"), F.lit(False))
 
 
 def normalize_name(c: str | Column) -> Column:
@@ -55,10 +57,13 @@ def title_name(c: str | Column) -> Column:
     """Trimmed title case where a capital follows any non-letter, as in South-West.
 
     ``initcap`` capitalises after blanks only, so a marked blank is set after the
-    other non-letters first and taken out again.
+    other non-letters first and taken out again. Most labels need no such mark.
     """
-    marked = F.regexp_replace(F.trim(as_col(c)), r"([^\p{L}\s])(?=\p{L})", "$1\u0001 ")
-    return F.regexp_replace(F.initcap(marked), "\u0001 ", "")
+    text = F.trim(as_col(c))
+    marked = F.regexp_replace(text, r"([^\p{L}\s])(?=\p{L})", "$1\u0001 ")
+    return F.when(
+        text.rlike(r"[^\p{L}\s]\p{L}"), F.regexp_replace(F.initcap(marked), "\u0001 ", "")
+    ).otherwise(F.initcap(text))
 
 
 def is_blank(c: str | Column) -> Column:

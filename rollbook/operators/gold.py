@@ -91,7 +91,7 @@ def kpi_rollup(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     Rows are combined to the finest level first, so the grouping sets multiply
     that small table and not the raw rows.
     """
-    finest = _monthly(df, ["month", "state", "district"], measures)
+    finest = _monthly(df, ["state", "district"], measures)
     sets = [["month", "state", "district"], ["month", "state"], ["month"]]
     return finest.groupingSets(sets, "month", "state", "district").agg(
         F.grouping_id().cast("bigint").alias("level"), *[F.sum(m).alias(m) for m in measures]
@@ -100,18 +100,18 @@ def kpi_rollup(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 def kpi_cube(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Cross totals over state and month with ``level`` 0 to 3."""
-    finest = _monthly(df, ["state", "month"], measures)
+    finest = _monthly(df, ["state"], measures)
     return finest.cube("state", "month").agg(
         F.grouping_id().cast("bigint").alias("level"), *[F.sum(m).alias(m) for m in measures]
     )
 
 
 def _monthly(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    return (
-        df.withColumn("month", month_of("date"))
-        .groupBy(*keys)
-        .agg(*[F.sum(m).alias(m) for m in measures])
+    """Measures summed per key and month; the month is formatted after the sum."""
+    sums = df.groupBy(*keys, F.trunc("date", "month").alias("month_start_")).agg(
+        *[F.sum(m).alias(m) for m in measures]
     )
+    return sums.select(*keys, month_of("month_start_").alias("month"), *measures)
 
 
 def linkage_kpi(
@@ -192,7 +192,7 @@ def dense_location_month(
     The month spine is generated per location from the table's first and last
     month, so no cross join takes place.
     """
-    monthly = _monthly(df, [*location, "month"], measures)
+    monthly = _monthly(df, location, measures)
     span = df.agg(
         F.trunc(F.min("date"), "month").alias("lo"), F.trunc(F.max("date"), "month").alias("hi")
     )

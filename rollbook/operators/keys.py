@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.columns import (
@@ -19,22 +20,34 @@ from rollbook.operators.reshape import metric_rows
 KEY_COLUMNS = ("date_key", "state_key", "district_key", "pincode_key")
 
 
-def key_columns(df: DataFrame, compat: bool = False) -> DataFrame:
+def key_columns(df: DataFrame, compat: bool = False, date_text: bool = True) -> DataFrame:
     """The four normalised key columns of each row, before ``distinct``.
 
     Rows whose date cannot be read go. A null label also removes the row, or,
     with ``compat``, turns into the text ``nan`` as pandas would have it.
+    ``date_text=False`` leaves the date a date, where no one reads the key.
     """
+    day = parse_date("date")
 
     def text(c):
         return F.coalesce(c, F.lit("nan")) if compat else c
 
-    return df.select(
-        format_key_date(parse_date("date")).alias("date_key"),
+    keyed = df.select(
+        (format_key_date(day) if date_text else day).alias("date_key"),
         text(normalize_name("state")).alias("state_key"),
         text(normalize_name("district")).alias("district_key"),
         text(normalize_pincode("pincode")).alias("pincode_key"),
-    ).dropna()
+    )
+    return keyed.filter(complete(KEY_COLUMNS))
+
+
+def complete(columns: Sequence[str]) -> Column:
+    """True if no column is null.
+
+    Written as single null tests, unlike ``dropna``: the optimizer then knows the
+    columns are not null and adds no second test of its own before a join.
+    """
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
 def conformed_key(df: DataFrame, compat: bool = False) -> DataFrame:
@@ -44,7 +57,7 @@ def conformed_key(df: DataFrame, compat: bool = False) -> DataFrame:
 
 def distinct_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """De-duplicated key set of the given columns, null parts left out."""
-    return df.select(*columns).dropna().distinct()
+    return df.select(*columns).filter(complete(columns)).distinct()
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on: Sequence[str] = KEY_COLUMNS) -> DataFrame:
@@ -76,14 +89,16 @@ def key_intersect(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.intersect(right)
 
 
-def key_presence(tables: Mapping[str, DataFrame], compat: bool = False) -> DataFrame:
+def key_presence(
+    tables: Mapping[str, DataFrame], compat: bool = False, date_text: bool = True
+) -> DataFrame:
     """One row per conformed key over all tables, with an ``in_<table>`` flag each.
 
     All keys are de-duplicated and matched in a single combined aggregation, in
     place of one distinct per table and one join per pair.
     """
     tagged = [
-        key_columns(df, compat).select(
+        key_columns(df, compat, date_text).select(
             *KEY_COLUMNS, *[F.lit(other == name).alias(f"in_{other}") for other in tables]
         )
         for name, df in tables.items()
@@ -103,7 +118,7 @@ def coverage_summary(
     enrol: DataFrame, demo: DataFrame, bio: DataFrame, compat: bool = False
 ) -> DataFrame:
     """(metric, value): keys of one table missing in another, four ways."""
-    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat)
+    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False)
     pairs = [("enroll", "demo"), ("enroll", "bio"), ("demo", "enroll"), ("bio", "enroll")]
     counts = seen.agg(*[_only(a, b).alias(f"{a}_not_in_{b}") for a, b in pairs])
     return metric_rows(counts, counts.columns)
@@ -113,7 +128,7 @@ def coverage_pct(
     enrol: DataFrame, demo: DataFrame, bio: DataFrame, compat: bool = False
 ) -> DataFrame:
     """One row: enrolment key count and the percentage found in each other table."""
-    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat)
+    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False)
     keys = F.count_if("in_enroll")
 
     def pct(other):
@@ -133,15 +148,16 @@ def conformed_wide(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Dat
     parts = []
     for df, measures in tables.values():
         conformed = df.select(
-            format_key_date(parse_date("date")).alias("date_key"),
+            parse_date("date").alias("date_key"),
             normalize_name("state").alias("state_key"),
             normalize_name("district").alias("district_key"),
             normalize_pincode("pincode").alias("pincode_key"),
             *[F.col(m).cast("bigint").alias(m) for m in measures],
-        ).dropna(subset=list(KEY_COLUMNS))
-        parts.append(conformed)
+        )
+        parts.append(conformed.filter(complete(KEY_COLUMNS)))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return merged.groupBy(*KEY_COLUMNS).agg(*[F.sum(m).alias(m) for m in all_measures])
+    sums = merged.groupBy(*KEY_COLUMNS).agg(*[F.sum(m).alias(m) for m in all_measures])
+    return sums.withColumn("date_key", format_key_date("date_key"))
 
 
 def union_shards(shards: Sequence[DataFrame]) -> DataFrame:

@@ -77,7 +77,13 @@ def state_month_anomaly(
     With sample std a series of n months has |z| at most (n - 1) / sqrt(n), so at
     z = 3 a series of ten months or fewer cannot flag; both limits are parameters.
     """
-    series = group_month_total(df, total, group, date)
+    return score_series(group_month_total(df, total, group, date), group, pct, z)
+
+
+def score_series(
+    series: DataFrame, group: str = "state", pct: float = 0.6, z: float = 3.0
+) -> DataFrame:
+    """Anomaly class of each row of a (group, month, total) series."""
     scored = zscore_by(pct_change(series, "total", group, "month"), "total", group)
     suspicious = (F.abs("pct_change") > pct) & (F.abs("z") > z)
     return scored.select(

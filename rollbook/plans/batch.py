@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.catalog import SPECS, TableSpec
-from rollbook.functions.columns import is_valid_pincode, month_of, parse_date, row_total
+from rollbook.functions.columns import month_of, parse_date, row_total
 from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
 from rollbook.plans.silver import write_silver
 from rollbook.session import shared_folder
@@ -64,7 +64,10 @@ def run_gold(spark: SparkSession, name: str, folder: str) -> dict[str, str]:
     spec = SPECS[name]
     silver = spark.read.parquet(f"{folder}/silver/{name}/valid")
     out = f"{folder}/gold/{name}"
-    series = profile_series(silver, spec)
+    series = (
+        silver.groupBy("state", month_of(spec.date).alias("month"))
+        .agg(F.sum(row_total(*spec.measures)).alias("total"))
+    )
     tables = {
         "dim_date": gold.dim_date(silver),
         "dim_location": gold.dim_location(silver),
@@ -72,8 +75,10 @@ def run_gold(spark: SparkSession, name: str, folder: str) -> dict[str, str]:
             "year", F.col("date_key").substr(1, 4).cast("int")
         ),
         "kpi_rollup": gold.kpi_rollup(silver, spec.measures),
+        "kpi_cube": gold.kpi_cube(silver, spec.measures),
         "trend": stats.trend_mart(series),
         "rank": stats.rank_locations(series, 10),
+        "anomaly": stats.score_series(series),
     }
     for table, df in tables.items():
         parts = ["year"] if table == "fact" else []
@@ -81,14 +86,6 @@ def run_gold(spark: SparkSession, name: str, folder: str) -> dict[str, str]:
     return {table: f"{out}/{table}" for table in tables}
 
 
-def profile_series(silver: DataFrame, spec: TableSpec) -> DataFrame:
-    """(state, month, total) of a silver table."""
-    return (
-        silver.groupBy("state", month_of(spec.date).alias("month"))
-        .agg(F.sum(row_total(*spec.measures)).alias("total"))
-    )
-
-
 def run_profile(
     spark: SparkSession, raw: DataFrame, spec: TableSpec, folder: str | None = None
 ) -> dict[str, DataFrame]:
@@ -123,7 +120,6 @@ def run_profile(
         "rule_status": reports.rule_status(df, spec),
         "risk_register": reports.risk_register(df, spec),
         "findings": reports.findings_table(df, spec),
-        "bad_pincodes": df.filter(~is_valid_pincode("pincode")),
     }
     for name, report in result.items():
         writers.write_report_csv(report, f"{folder}/reports/{spec.name}/{name}")

@@ -32,9 +32,20 @@ def query(function: Callable[[DriverInputs], DataFrame]):
     return function
 
 
+_INPUTS: dict[tuple, DriverInputs] = {}
+
+
+def _inputs(spark: SparkSession, folder: str) -> DriverInputs:
+    """The views of a folder, whose file schemas are read once per session. No data is kept."""
+    key = (spark.sparkContext.applicationId, id(spark), folder)
+    if key not in _INPUTS:
+        _INPUTS[key] = DriverInputs(spark, folder)
+    return _INPUTS[key]
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(function):
-        return lambda spark, folder: function(DriverInputs(spark, folder))
+        return lambda spark, folder: function(_inputs(spark, folder))
 
     return {name: bind(function) for name, function in _REGISTRY.items()}
 
