@@ -115,6 +115,10 @@ def exact_quantiles(
         F.max(F.when(covers(F.col("t.upper")), F.col("v"))).alias("at_upper"),
         F.max("t.part").alias("part"),
     )
-    quantile = F.col("at_lower") + F.col("part") * (F.col("at_upper") - F.col("at_lower"))
+    # interpolated from the nearer side, as numpy does: bin edges must agree to the last bit
+    step = F.col("at_upper") - F.col("at_lower")
+    quantile = F.when(
+        F.col("part") >= 0.5, F.col("at_upper") - step * (1 - F.col("part"))
+    ).otherwise(F.col("at_lower") + step * F.col("part"))
     keep = [F.col("by_").alias(by)] if by else []
     return result.select(*keep, "idx", "prob", quantile.alias("quantile"))

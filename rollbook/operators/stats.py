@@ -119,18 +119,21 @@ def rank_locations(
     return ranked.filter(F.col("rank") <= n)
 
 
+def _even_probs(bins: int) -> list[float]:
+    """0 to 1 in even steps, each a multiple of the step as in numpy's linspace."""
+    return [i * (1 / bins) for i in range(bins)] + [1.0]
+
+
 def decile_edges(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """(idx, edge): distinct linear quantiles, ascending, at most ``bins`` + 1 of them."""
-    probs = [i / bins for i in range(bins + 1)]
-    quantiles = exact_quantiles(df, value, probs)
+    quantiles = exact_quantiles(df, value, _even_probs(bins))
     edges = quantiles.agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
     return edges.select(F.posexplode("edges").alias("idx", "edge"))
 
 
 def _edges_array(df: DataFrame, value: str, bins: int) -> Column:
     """Sorted distinct edges as one scalar array of at most ``bins`` + 1 values."""
-    probs = [i / bins for i in range(bins + 1)]
-    quantiles = exact_quantiles(df, value, probs)
+    quantiles = exact_quantiles(df, value, _even_probs(bins))
     return quantiles.agg(F.array_sort(F.collect_set("quantile"))).scalar()
 
 

@@ -144,16 +144,27 @@ def _anomaly(pct: float, z: float) -> str:
         as anomaly_class from scored"""
 
 
-DECILES = "[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]"
+def _edges(source: str) -> str:
+    """Distinct deciles of ``total``, interpolated in numpy's order of operations."""
+    return f"""
+edges as (
+  select list_sort(list_distinct(list(
+    case when t >= 0.5 then b - (b - a) * (1 - t) else a + (b - a) * t end))) as e
+  from (
+    select cast(v[cast(floor(h) as bigint) + 1] as double) as a,
+      cast(v[cast(ceil(h) as bigint) + 1] as double) as b, h - floor(h) as t
+    from (
+      select v, (len(v) - 1) * (case when i = 10 then 1.0::double else i * 0.1::double end) as h
+      from (select list_sort(list(total)) as v from {source}), range(0, 11) r(i)))),
+"""
 
 
 def _psi(period: str, include_base: bool) -> tuple[str, str]:
     """CTEs and final select of the drift over a text period expression."""
     ctes = f"""
 rows_ as (select {period} as period, total from parsed where d is not null),
-edges as (
-  select list_sort(list_distinct(quantile_cont(total, {DECILES}))) as e from rows_
-  where period = (select min(period) from rows_)),
+base_ as (select total from rows_ where period = (select min(period) from rows_)),
+{_edges("base_")}
 binned as (
   select period, least(len(list_filter(e, lambda y: y <= total)), len(e) - 1) as bin
   from rows_, edges where total between e[1] and e[len(e)]),
@@ -510,17 +521,15 @@ def all_oracles() -> dict[str, str]:
         "decile_edges": _raw(
             """select cast(i - 1 as integer) as idx, round(e[i], 6) as edge
               from (select e, unnest(range(1, len(e) + 1)) as i from edges)""",
-            f"""edges as (select list_sort(list_distinct(quantile_cont(total, {DECILES}))) as e
-              from parsed),""",
+            _edges("parsed"),
         ),
         "histogram_counts": _raw(
             """select cast(g.bin as integer) as bin, round(e[g.bin], 6) as lower_edge,
               round(e[g.bin + 1], 6) as upper_edge, count(b.bin) as n
               from (select e, unnest(range(1, len(e))) as bin from edges) g
               left join binned b on g.bin = b.bin group by 1, 2, 3""",
-            f"""edges as (select list_sort(list_distinct(quantile_cont(total, {DECILES}))) as e
-              from parsed),
-            binned as (select least(len(list_filter(e, lambda y: y <= total)), len(e) - 1) as bin
+            _edges("parsed")
+            + """binned as (select least(len(list_filter(e, lambda y: y <= total)), len(e) - 1) as bin
               from parsed, edges where total between e[1] and e[len(e)]),""",
         ),
         "kpi_rollup": _raw(
