@@ -35,13 +35,22 @@ def exact_quantiles(
     """
     probs = [float(p) for p in probs]
     k = len(probs)
-    rows = df.select(
-        (F.col(by) if by else F.lit("")).alias("by_"), F.col(value).cast("double").alias("v")
-    ).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    group = [by] if by else []
+    rows = df.select(*group, F.col(value).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v")
+    )
+
+    def attach(rows_: DataFrame, facts: DataFrame, fields: Sequence[str]) -> DataFrame:
+        """Adds the few per-group facts: by scalar subquery, or by joining on ``by``."""
+        if by:
+            return rows_.join(F.broadcast(facts.select(by, *fields)), by)
+        row = facts.select(F.struct(*fields)).scalar()
+        found = rows_.withColumn("facts_", row)
+        return found.select(*rows_.columns, *[F.col(f"facts_.{f}").alias(f) for f in fields])
 
     lows = [max(0.0, p - SLACK) for p in probs]
     highs = [min(1.0, p + SLACK) for p in probs]
-    sketch = rows.groupBy("by_").agg(
+    sketch = rows.groupBy(*group).agg(
         F.count("v").alias("rows_"),
         F.min("v").alias("min_"),
         F.max("v").alias("max_"),
@@ -49,8 +58,7 @@ def exact_quantiles(
     )
     small = F.col("rows_") <= count_all_below
     brackets = sketch.select(
-        "by_",
-        "rows_",
+        *group,
         F.when(small, F.array_repeat("min_", k)).otherwise(F.slice("s", 1, k)).alias("lo"),
         F.when(small, F.array_repeat("max_", k)).otherwise(F.slice("s", k + 1, k)).alias("hi"),
     )
@@ -60,41 +68,50 @@ def exact_quantiles(
         or_, [(F.col("v") >= F.col("lo")[i]) & (F.col("v") <= F.col("hi")[i]) for i in range(k)]
     )
     counts = (
-        rows.join(F.broadcast(brackets), "by_")
-        .select("by_", below.alias("gap"), F.when(inside, F.col("v")).alias("v"))
-        .groupBy("by_", "gap", "v")
+        attach(rows, brackets, ["lo", "hi"])
+        .select(*group, below.alias("gap"), F.when(inside, F.col("v")).alias("v"))
+        .groupBy(*group, "gap", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
-    # ranks before each gap: at most k + 1 rows per group
-    gaps = counts.groupBy("by_", "gap").agg(F.sum("n").alias("n"))
-    earlier = Window.partitionBy("by_").orderBy("gap").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = gaps.select(
-        "by_", "gap", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")
-    )
-    targets = brackets.select(
-        "by_",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("idx"),
-                    F.lit(p).alias("prob"),
-                    F.floor(F.lit(p) * (F.col("rows_") - 1)).alias("lower"),
-                    F.ceil(F.lit(p) * (F.col("rows_") - 1)).alias("upper"),
-                    (F.lit(p) * (F.col("rows_") - 1) % 1).alias("part"),
-                )
-                for i, p in enumerate(probs)
-            ]
-        ).alias("targets"),
+    # one row per group: rows before each gap, and the two ranks around each quantile
+    last_rank = F.col("rows_") - 1
+    ranks = (
+        counts.groupBy(*group)
+        .agg(
+            F.sum("n").alias("rows_"),
+            F.array(
+                *[
+                    F.coalesce(F.sum(F.when(F.col("gap") < g, F.col("n"))), F.lit(0))
+                    for g in range(k + 1)
+                ]
+            ).alias("offsets"),
+        )
+        .select(
+            *group,
+            "offsets",
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("idx"),
+                        F.lit(p).alias("prob"),
+                        F.floor(F.lit(p) * last_rank).alias("lower"),
+                        F.ceil(F.lit(p) * last_rank).alias("upper"),
+                        (F.lit(p) * last_rank % 1).alias("part"),
+                    )
+                    for i, p in enumerate(probs)
+                ]
+            ).alias("targets"),
+        )
     )
 
-    in_gap = Window.partitionBy("by_", "gap").orderBy(F.col("v").asc_nulls_first())
+    in_gap = Window.partitionBy(*group, "gap").orderBy(F.col("v").asc_nulls_first())
+    candidates = counts.withColumn("upto", F.sum("n").over(in_gap)).filter(
+        F.col("v").isNotNull()
+    )
     ranked = (
-        counts.withColumn("upto", F.sum("n").over(in_gap))
-        .filter(F.col("v").isNotNull())
-        .join(F.broadcast(offsets), ["by_", "gap"])
-        .join(F.broadcast(targets), "by_")
-        .withColumn("last", F.col("offset") + F.col("upto") - 1)
+        attach(candidates, ranks, ["offsets", "targets"])
+        .withColumn("last", F.col("offsets")[F.col("gap")] + F.col("upto") - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
     )
 
@@ -102,7 +119,7 @@ def exact_quantiles(
         return (F.col("first") <= rank) & (rank <= F.col("last"))
 
     hit = ranked.select(
-        "by_",
+        *group,
         "v",
         "first",
         "last",
@@ -110,7 +127,7 @@ def exact_quantiles(
             F.filter("targets", lambda t: covers(t["lower"]) | covers(t["upper"]))
         ).alias("t"),
     )
-    result = hit.groupBy("by_", "t.idx", "t.prob").agg(
+    result = hit.groupBy(*group, "t.idx", "t.prob").agg(
         F.max(F.when(covers(F.col("t.lower")), F.col("v"))).alias("at_lower"),
         F.max(F.when(covers(F.col("t.upper")), F.col("v"))).alias("at_upper"),
         F.max("t.part").alias("part"),
@@ -120,5 +137,4 @@ def exact_quantiles(
     quantile = F.when(
         F.col("part") >= 0.5, F.col("at_upper") - step * (1 - F.col("part"))
     ).otherwise(F.col("at_lower") + step * F.col("part"))
-    keep = [F.col("by_").alias(by)] if by else []
-    return result.select(*keep, "idx", "prob", quantile.alias("quantile"))
+    return result.select(*group, "idx", "prob", quantile.alias("quantile"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rollbook.catalog import SPECS, TableSpec
 from rollbook.functions.columns import month_of, parse_date, row_total
 from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
-from rollbook.plans.silver import write_silver
+from rollbook.plans.silver import typed_measures, write_silver
 from rollbook.session import shared_folder
 from rollbook.sources import readers, writers
 
@@ -96,6 +96,7 @@ def run_profile(
     """
     folder = folder or shared_folder(spark)
     work = f"{folder}/profile/{spec.name}"
+    raw = typed_measures(raw, spec)
     dedup.dedup_keep_first(raw, spec.keys, spec.order).write.mode("overwrite").parquet(work)
     df = spark.read.parquet(work)
     columns = list(spec.data_columns)

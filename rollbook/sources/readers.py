@@ -37,15 +37,19 @@ def _csv_schema(name: str) -> str:
     return schema_ddl(name, strings_only=True) + ", _corrupt string"
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
+def with_file(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
     )
 
 
+def with_row_number(df: DataFrame) -> DataFrame:
+    """Adds ``src_row``, ascending within each file split; for batch frames only."""
+    return df.withColumn("src_row", F.monotonically_increasing_id())
+
+
 def read_bronze_csv(spark: SparkSession, paths: str | Sequence[str], name: str) -> DataFrame:
     """All shards of a feed as text columns, with malformed lines kept in ``_corrupt``.
 
@@ -54,7 +58,7 @@ def read_bronze_csv(spark: SparkSession, paths: str | Sequence[str], name: str)
     reader = spark.read.schema(_csv_schema(name)).options(
         header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt"
     )
-    return with_file_order(reader.csv(paths))
+    return with_row_number(with_file(reader.csv(paths)))
 
 
 def read_profile_csv(
@@ -74,14 +78,14 @@ def scan(spark: SparkSession, table: str) -> DataFrame:
 
 
 def stream_csv(spark: SparkSession, path: str, name: str, max_files: int = 1000) -> DataFrame:
-    """The same feed as a stream of arriving files."""
+    """The same feed as a stream of arriving files; the sink numbers the rows."""
     reader = spark.readStream.schema(_csv_schema(name)).options(
         header=True,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord="_corrupt",
         maxFilesPerTrigger=max_files,
     )
-    return with_file_order(reader.csv(path))
+    return with_file(reader.csv(path))
 
 
 def stream_topic(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:

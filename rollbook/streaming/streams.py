@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rollbook.catalog import TableSpec
 from rollbook.operators.dedup import dedup_keep_first
 from rollbook.plans.silver import silver_split
-from rollbook.sources.writers import write_batch
+from rollbook.sources import readers, writers
 
 
 def _start(writer, available_now: bool) -> StreamingQuery:
@@ -21,39 +21,44 @@ def _start(writer, available_now: bool) -> StreamingQuery:
 
 
 def append_parquet(
-    rows: DataFrame,
-    path: str,
-    checkpoint: str,
-    available_now: bool = True,
-    partition_by: Sequence[str] = (),
+    rows: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Write a stream in append mode; the file sink commits each micro-batch once."""
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(*partition_by)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
     return _start(writer, available_now)
 
 
+def store_bronze(batch: DataFrame, batch_id: int, path: str, source: str) -> DataFrame:
+    """Write a micro-batch as the ``batch_id`` partition and return it as stored.
+
+    Rows of file feeds are numbered here, once, so that their arrival order is
+    kept with them. A retried batch replaces its own partition.
+    """
+    stamped = batch.withColumns(
+        {"source": F.lit(source), "ingest_ts": F.current_timestamp()}
+    )
+    if "src_file" in batch.columns:
+        stamped = readers.with_row_number(stamped)
+    writers.write_batch(stamped, path, batch_id)
+    stored = batch.sparkSession.read.schema(stamped.schema).parquet(f"{path}/batch_id={batch_id}")
+    return stored
+
+
 def bronze_stream(
     rows: DataFrame, path: str, checkpoint: str, source: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append-only raw rows with source and ingest time, one folder per ingest day.
+    """Append-only raw rows with source and ingest time, one partition per micro-batch."""
 
-    The sink's commit log lists each finished micro-batch once, so a retry stores
-    no row twice and a reader, batch or stream, never sees half a batch.
-    """
-    stamped = rows.withColumns(
-        {
-            "source": F.lit(source),
-            "ingest_ts": F.current_timestamp(),
-            "ingest_date": F.to_date(F.current_timestamp()),
-        }
-    )
-    return append_parquet(stamped, path, checkpoint, available_now, ["ingest_date"])
+    def store(batch: DataFrame, batch_id: int) -> None:
+        store_bronze(batch, batch_id, path, source)
+
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return _start(writer, available_now)
 
 
 def _earlier_keys(
@@ -75,16 +80,18 @@ def _earlier_keys(
 
 
 def silver_stream(
-    bronze: DataFrame,
+    rows: DataFrame,
     spec: TableSpec,
     folder: str,
     checkpoint: str,
+    source: str,
     aliases: dict[str, DataFrame] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Split each micro-batch into ``valid`` and ``quarantine``, keys unique over all batches.
+    """Store each micro-batch as bronze, then split it into ``valid`` and ``quarantine``.
 
-    Both tables are laid out by ``batch_id``. A batch only looks at earlier
+    Keys in ``valid`` are unique over all batches. All three tables are laid out
+    by ``batch_id``. A batch only looks at earlier
     batches and replaces its own partitions, so a retry or a replay from a new
     checkpoint with the same batches gives the same tables.
     """
@@ -92,7 +99,8 @@ def silver_stream(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        valid, quarantine = silver_split(batch, spec, aliases)
+        stored = store_bronze(batch, batch_id, f"{folder}/bronze", source)
+        valid, quarantine = silver_split(stored, spec, aliases)
         first = dedup_keep_first(valid, spec.keys, spec.order).withColumn(
             "month", F.date_format(spec.date, "yyyy-MM")
         )
@@ -103,9 +111,9 @@ def silver_stream(
         first.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "month"
         ).parquet(f"{valid_path}/batch_id={batch_id}")
-        write_batch(quarantine, quarantine_path, batch_id)
+        writers.write_batch(quarantine, quarantine_path, batch_id)
 
-    writer = bronze.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 
 
