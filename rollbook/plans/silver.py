@@ -16,6 +16,7 @@ from rollbook.functions.columns import normalize_pincode, parse_date, title_name
 from rollbook.operators.contracts import silver_rules, split_valid_quarantine
 from rollbook.operators.dedup import dedup_keep_first
 from rollbook.operators.gold import canonicalize
+from rollbook.sources import writers
 
 
 def typed_measures(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -78,7 +79,7 @@ def write_silver(
     silver = silver_table(bronze, spec, aliases).withColumn(
         "month", F.date_format(spec.date, "yyyy-MM")
     )
-    silver.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+    writers.by_partition(silver, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *partition_by
     ).parquet(valid_path)
     _, quarantine = silver_split(bronze, spec, aliases)

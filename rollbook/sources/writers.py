@@ -38,14 +38,24 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
     df.drop("batch_id").write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
 
 
+def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Brings the rows of an output partition together before a partitioned write.
+
+    Otherwise each task writes a small file into each partition. The rebalance
+    hint lets adaptive execution size the files and split a large partition.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def refresh_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
     """Full refresh; with ``partition_by`` only the partitions in ``df`` are replaced."""
-    writer = df.write.format(fmt).mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    if not partition_by:
+        df.write.format(fmt).mode("overwrite").save(path)
+        return
+    writer = by_partition(df, partition_by).write.format(fmt).mode("overwrite")
+    writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def create_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> None:

@@ -45,8 +45,7 @@ def store_bronze(batch: DataFrame, batch_id: int, path: str, source: str) -> Dat
     if "src_file" in batch.columns:
         stamped = readers.with_row_number(stamped)
     writers.write_batch(stamped, path, batch_id)
-    stored = batch.sparkSession.read.schema(stamped.schema).parquet(f"{path}/batch_id={batch_id}")
-    return stored
+    return batch.sparkSession.read.schema(stamped.schema).parquet(f"{path}/batch_id={batch_id}")
 
 
 def bronze_stream(
@@ -66,8 +65,9 @@ def _earlier_keys(
 ) -> DataFrame:
     """Silver keys of earlier batches, limited to the months the batch touches.
 
-    The month limit is a join on a partition column, so only those partitions
-    are read however long the history is.
+    The month limit is a broadcast join on a partition column, so only those
+    partitions are read however long the history is. Years have four digits: there
+    can be at most 120,000 months.
     """
     stored = (
         spark.read.schema(schema)
@@ -76,7 +76,7 @@ def _earlier_keys(
         .filter(F.col("batch_id") < batch_id)
     )
     months = batch.select("month").distinct()
-    return stored.join(months, "month", "left_semi").select(*spec.keys)
+    return stored.join(F.broadcast(months), "month", "left_semi").select(*spec.keys)
 
 
 def silver_stream(
@@ -108,9 +108,10 @@ def silver_stream(
             schema = first.withColumn("batch_id", F.lit(0)).schema
             seen = _earlier_keys(spark, valid_path, schema, spec, first, batch_id)
             first = first.join(seen, list(spec.keys), "left_anti")
-        first.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "month"
-        ).parquet(f"{valid_path}/batch_id={batch_id}")
+        out = writers.by_partition(first, ["month"]).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "static").partitionBy("month").parquet(
+            f"{valid_path}/batch_id={batch_id}"
+        )
         writers.write_batch(quarantine, quarantine_path, batch_id)
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -78,6 +78,13 @@ def test_refresh_replaces_only_its_partitions(spark, tmp_path):
     assert spark.read.parquet(full).count() == 2
 
 
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    path = str(tmp_path / "few")
+    df = spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 5).alias("p"))
+    writers.refresh_table(df.repartition(8, "id"), path, ["p"])
+    assert len(glob.glob(path + "/p=*/part-*.parquet")) == 5
+
+
 def test_create_and_append(spark):
     writers.create_table_as(spark.createDataFrame([(1, "a")], "n int, c string"), "merged_t")
     writers.append_table(spark.createDataFrame([("b", 2)], "c string, n int"), "merged_t")
