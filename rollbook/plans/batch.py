@@ -101,7 +101,8 @@ def run_profile(
     df = spark.read.parquet(work)
     columns = list(spec.data_columns)
     total = row_total(*spec.measures)
-    by_month = df.select(month_of(parse_date(spec.date)).alias("month"), total.alias("total"))
+    month_start = F.trunc(parse_date(spec.date), "month")
+    by_month = df.select(month_start.alias("month"), total.alias("total"))
     result = {
         "duplicate_impact": dedup.duplicate_impact(raw, columns, spec.keys, spec.order),
         "missing_profile": profile.missing_profile(df, columns),

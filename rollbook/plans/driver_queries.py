@@ -442,7 +442,7 @@ def state_month_total(t):
 
 
 def _yearly(t):
-    year = F.date_format(fn.parse_date("date"), "yyyy")
+    year = F.year(fn.parse_date("date"))
     return t.enrolment.select(year.alias("year"), _total().alias("total"))
 
 
@@ -584,14 +584,16 @@ def key_feasibility(t):
 
 @query
 def psi_drift(t):
-    return stats.psi_drift(_yearly(t), "total", "year")
+    drift = stats.psi_drift(_yearly(t), "total", "year")
+    return drift.withColumn("year", F.col("year").cast("string"))
 
 
 @query
 def psi_drift_monthly(t):
-    month = fn.month_of(fn.parse_date("date"))
+    month = F.trunc(fn.parse_date("date"), "month")
     rows = t.enrolment.select(month.alias("month"), _total().alias("total"))
-    return stats.psi_drift(rows, "total", "month", include_base=True)
+    drift = stats.psi_drift(rows, "total", "month", include_base=True)
+    return drift.withColumn("month", fn.month_of("month"))
 
 
 @query
