@@ -106,11 +106,8 @@ def exact_quantiles(
     )
 
     in_gap = Window.partitionBy(*group, "gap").orderBy(F.col("v").asc_nulls_first())
-    candidates = counts.withColumn("upto", F.sum("n").over(in_gap)).filter(
-        F.col("v").isNotNull()
-    )
     ranked = (
-        attach(candidates, ranks, ["offsets", "targets"])
+        attach(counts.withColumn("upto", F.sum("n").over(in_gap)), ranks, ["offsets", "targets"])
         .withColumn("last", F.col("offsets")[F.col("gap")] + F.col("upto") - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
     )
@@ -137,4 +134,9 @@ def exact_quantiles(
     quantile = F.when(
         F.col("part") >= 0.5, F.col("at_upper") - step * (1 - F.col("part"))
     ).otherwise(F.col("at_lower") + step * F.col("part"))
+    # a rank outside all brackets would break the sketch's guarantee: fail, never guess
+    outside = F.col("at_lower").isNull() | F.col("at_upper").isNull()
+    quantile = F.when(
+        outside, F.raise_error("quantile rank outside its sketch bracket").cast("double")
+    ).otherwise(quantile)
     return result.select(*group, "idx", "prob", quantile.alias("quantile"))

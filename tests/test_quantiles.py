@@ -51,6 +51,14 @@ def test_brackets_give_exact_answers(spark, case):
     assert np.allclose(got, np.quantile(values, PROBS), rtol=1e-12)
 
 
+def test_a_missed_bracket_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr("rollbook.operators.quantiles.SKETCH_ACCURACY", 5)
+    monkeypatch.setattr("rollbook.operators.quantiles.SLACK", 0.0)
+    df = spark.range(0, 50_000, 1, 8).select(F.rand(3).alias("v"))
+    with pytest.raises(Exception, match="outside its sketch bracket"):
+        quantiles(df, count_all_below=10)
+
+
 def test_groups_and_missing_values(spark):
     rows = [("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0), ("b", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double")
