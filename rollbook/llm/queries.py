@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import chat, licenses, quality
-from rollbook.llm.common import docs_table
+from rollbook.llm import chat, langid, licenses, mixing, packing, quality, topk
+from rollbook.llm.common import docs_table, keep
+
+
+def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.whole_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = docs_table(spark, folder)
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
+    model = langid.fit(docs.filter(fold != 0))
+    held_out = (fold == 0).alias("held_out")
+    return langid.predict_languages(docs, model, F.col("doc_id"), held_out)
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +38,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    sized = keep(mixing.sizes(docs_table(spark, folder)), "sizes")
+    mixed = mixing.mix(sized, mixing.quality_weights(labels))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_digest(docs_table(spark, folder))
 
@@ -44,9 +64,26 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_chats(rows))
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.tokenise(docs_table(spark, folder), tokenizer_file())
+    return packing.pack(pieces).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_top_k": op1_top_k,
+        "op2_language_id": op2_language_id,
         "op3_quality_rules": op3_quality_rules,
+        "op6_source_mix": op6_source_mix,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
+        "op10_best_fit_packing": op10_best_fit_packing,
     }
