@@ -35,5 +35,39 @@ FROM ruled GROUP BY conv_id
 """
 
 
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v q, v WHERE q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id, score FROM s
+QUALIFY rank <= 20
+"""
+
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3
+    THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w
+), t AS (SELECT doc_id, len(g) AS n, unnest(g) AS s FROM g),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a
+)
+SELECT g.doc_id, coalesce(len(g.g), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM g JOIN r ON g.doc_id = r.a GROUP BY g.doc_id, g.g
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op9_chat_format": OP9}
+    return {"op1_top_k": OP1, "op5_ngram_jaccard": OP5, "op9_chat_format": OP9}
