@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import chat, jaccard, langid, licenses, mixing, packing, quality, topk
+from rollbook.llm import chat, jaccard, langid, licenses, mixing, packing, pii, quality, topk
 from rollbook.llm.common import docs_table, keep
 
 
@@ -49,6 +49,11 @@ def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = docs_table(spark, folder)
+    return pii.pii_digest(docs, pii.train_field(docs))
+
+
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_digest(docs_table(spark, folder))
 
@@ -88,6 +93,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_source_mix": op6_source_mix,
+        "op7_personal_data": op7_personal_data,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
         "op10_best_fit_packing": op10_best_fit_packing,
