@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import chat, jaccard, langid, licenses, mixing, packing, pii, quality, topk
+from rollbook.llm import chat, jaccard, langid, licenses, mixing, packing, pii, quality, suffix_dedup, topk
 from rollbook.llm.common import docs_table, keep
 
 
@@ -38,6 +38,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(docs_table(spark, folder))
+
+
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(docs_table(spark, folder))
 
@@ -91,6 +95,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_top_k": op1_top_k,
         "op2_language_id": op2_language_id,
         "op3_quality_rules": op3_quality_rules,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_source_mix": op6_source_mix,
         "op7_personal_data": op7_personal_data,
