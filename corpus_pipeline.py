@@ -1,13 +1,19 @@
-"""A training corpus from raw documents: five stages, each written and read again."""
+"""A training corpus from raw documents: five stages, each written and read again.
+
+Each stage takes (spark, docs, sf_dir) and returns all rows it keeps; all but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollbook.llm import quality
+from rollbook.llm import jaccard, mixing, packing, pii, quality
 from rollbook.llm.common import docs_table, shared_dir
+from rollbook.llm.queries import tokenizer_file
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +21,46 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-STAGES = [("quality rules", keep_good)]
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join; of each group of near copies the smallest doc_id stays.
+
+    Documents that belong to no group stay, those without a doc_id too. Rows that repeat a
+    doc_id that stays all stay.
+    """
+    found = jaccard.jaccard_components(docs)
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets are replaced by the name of their kind."""
+    return pii.redact(docs, pii.train_field(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed to their targets; a document is there as often as the mix takes it."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_")
+    sized = mixing.sizes(docs, F.col("doc_id"), F.col("source"), row)
+    mixed = mixing.mix(sized, mixing.quality_weights(labels))
+    times = F.array_repeat(F.lit(True), F.col("copies"))
+    return mixed.select("row_", F.explode(times).alias("copy_")).select("row_.*")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document tokenised and packed into sequences of 1024 tokens."""
+    return packing.pack(packing.tokenise(docs, tokenizer_file()))
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("n-gram Jaccard join", one_of_each),
+    ("personal data", mask_personal_data),
+    ("source mixing", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 
+# Certified cutoffs, a trained field and a tokenizer are beyond SQL: tests use brute force.
 ORACLE_SQL = None
 
 
