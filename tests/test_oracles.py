@@ -4,9 +4,12 @@ import __spark_entry__ as entry_file
 import compare
 import pytest
 
+from rollbook.plans.driver_oracles import all_oracles
+from rollbook.plans.driver_queries import all_queries
+
 SMALL = "/root/testdata/sf0.001"
-QUERIES = entry_file.queries()
-ORACLES = entry_file.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +26,11 @@ def test_query_matches_oracle(spark, con, name):
     assert compare.differences(QUERIES[name](spark, SMALL), con, ORACLES[name]) == []
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(entry_file.queries())
+    assert set(entry_file.oracle_sql()) <= set(entry_file.queries())
+
+
 def test_entry(spark):
     assert entry_file.entry(spark).columns == ["check", "failed_rows"]
 
