@@ -1,132 +1,112 @@
 """Exact quantiles without bringing a column's values to one task.
 
-The built-in exact ``percentile`` merges a map of all distinct values in one
-reducer. Here a fixed-size sketch first brackets every wanted rank; then one
-partially aggregated pass counts the values inside the brackets one by one and
-all others only per gap between brackets. The brackets are wider than the
-sketch's error, so the wanted ranks are always inside and the answer is exact.
+The built-in exact ``percentile`` merges a map of all distinct values in one reducer. Here
+values are counted once; a sketch of the distinct values then cuts them into ``CELLS`` cells
+of about equal size. Cell totals are a bounded table and tell which cells hold the wanted
+ranks; only the values of those cells are put in order, each cell on its own. The sketch
+decides the sizes of cells, never the answer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000  # rank error of the sketch: rows / SKETCH_ACCURACY
-SLACK = 3 / SKETCH_ACCURACY  # half-width of a bracket, as a share of the rows
-COUNT_ALL_BELOW = 100_000  # with fewer rows every value is a candidate
+SKETCH_ACCURACY = 10_000
+STEPS = 32  # cuts are searched in two steps of this many
+CELLS = STEPS * STEPS
+
+
+def value_counts(df: DataFrame, value: str, *group: str) -> DataFrame:
+    """(group, v, n): how often each value occurs, as a double."""
+    return (
+        df.select(*group, F.col(value).cast("double").alias("v"))
+        .groupBy(*group, "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: str | None = None,
-    count_all_below: int = COUNT_ALL_BELOW,
+    df: DataFrame, value: str, probs: Sequence[float], by: str | None = None
 ) -> DataFrame:
     """(by, idx, prob, quantile): quantiles interpolated linearly between order statistics.
 
-    ``probs`` ascend. ``by`` may be a column with few values, such as the column
-    name of an unpivoted profile; its values are broadcast.
+    ``probs`` ascend. Nulls and NaN are left out; a group without values has no rows.
     """
-    probs = [float(p) for p in probs]
-    k = len(probs)
-    group = [by] if by else []
-    rows = df.select(*group, F.col(value).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
+    return quantiles_of_counts(value_counts(df, value, *([by] if by else [])), probs, by)
 
-    def attach(rows_: DataFrame, facts: DataFrame, fields: Sequence[str]) -> DataFrame:
-        """Adds the few per-group facts: by scalar subquery, or by joining on ``by``."""
-        if by:
-            return rows_.join(F.broadcast(facts.select(by, *fields)), by)
-        row = facts.select(F.struct(*fields)).scalar()
-        found = rows_.withColumn("facts_", row)
-        return found.select(*rows_.columns, *[F.col(f"facts_.{f}").alias(f) for f in fields])
-
-    lows = [max(0.0, p - SLACK) for p in probs]
-    highs = [min(1.0, p + SLACK) for p in probs]
-    sketch = rows.groupBy(*group).agg(
-        F.count("v").alias("rows_"),
-        F.min("v").alias("min_"),
-        F.max("v").alias("max_"),
-        F.percentile_approx("v", lows + highs, SKETCH_ACCURACY).alias("s"),
-    )
-    small = F.col("rows_") <= count_all_below
-    brackets = sketch.select(
-        *group,
-        F.when(small, F.array_repeat("min_", k)).otherwise(F.slice("s", 1, k)).alias("lo"),
-        F.when(small, F.array_repeat("max_", k)).otherwise(F.slice("s", k + 1, k)).alias("hi"),
-    )
 
-    below = reduce(add, [(F.col("v") > F.col("hi")[i]).cast("int") for i in range(k)])
-    inside = reduce(
-        or_, [(F.col("v") >= F.col("lo")[i]) & (F.col("v") <= F.col("hi")[i]) for i in range(k)]
-    )
-    counts = (
-        attach(rows, brackets, ["lo", "hi"])
-        .select(*group, below.alias("gap"), F.when(inside, F.col("v")).alias("v"))
-        .groupBy(*group, "gap", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+def quantiles_of_counts(
+    counts: DataFrame, probs: Sequence[float], by: str | None = None
+) -> DataFrame:
+    """``exact_quantiles`` of a table (by, v, n) in which each value stands once."""
+    group = [by] if by else []
+    counts = counts.filter(F.col("v").isNotNull() & ~F.isnan("v")).select(*group, "v", "n")
+    even = [i / CELLS for i in range(1, CELLS)]
+    cuts = counts.groupBy(*group).agg(
+        F.percentile_approx("v", even, SKETCH_ACCURACY).alias("cuts")
     )
+    if by:
+        cut = counts.join(cuts, by)
+    else:
+        cut = counts.withColumn("cuts", cuts.select("cuts").scalar())
+    celled = cut.select(*group, "v", "n", _cell(F.col("v"), F.col("cuts")).alias("cell"))
 
-    # one row per group: rows before each gap, and the two ranks around each quantile
+    # at most CELLS rows per group from here to the targets
+    along = Window.partitionBy(*group).orderBy("cell")
+    totals = (
+        celled.groupBy(*group, "cell")
+        .agg(F.sum("n").alias("in_cell"))
+        .withColumn("before", F.sum("in_cell").over(along) - F.col("in_cell"))
+        .withColumn("rows_", F.sum("in_cell").over(Window.partitionBy(*group)))
+    )
     last_rank = F.col("rows_") - 1
-    ranks = (
-        counts.groupBy(*group)
-        .agg(
-            F.sum("n").alias("rows_"),
-            F.array(
-                *[
-                    F.coalesce(F.sum(F.when(F.col("gap") < g, F.col("n"))), F.lit(0))
-                    for g in range(k + 1)
-                ]
-            ).alias("offsets"),
-        )
-        .select(
-            *group,
-            "offsets",
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("idx"),
-                        F.lit(p).alias("prob"),
-                        F.floor(F.lit(p) * last_rank).alias("lower"),
-                        F.ceil(F.lit(p) * last_rank).alias("upper"),
-                        (F.lit(p) * last_rank % 1).alias("part"),
-                    )
-                    for i, p in enumerate(probs)
-                ]
-            ).alias("targets"),
-        )
+    wanted = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("idx"),
+                F.lit(float(p)).alias("prob"),
+                F.floor(F.lit(float(p)) * last_rank).alias("lower"),
+                F.ceil(F.lit(float(p)) * last_rank).alias("upper"),
+                (F.lit(float(p)) * last_rank % 1).alias("part"),
+            )
+            for i, p in enumerate(probs)
+        ]
     )
 
-    in_gap = Window.partitionBy(*group, "gap").orderBy(F.col("v").asc_nulls_first())
-    ranked = (
-        attach(counts.withColumn("upto", F.sum("n").over(in_gap)), ranks, ["offsets", "targets"])
-        .withColumn("last", F.col("offsets")[F.col("gap")] + F.col("upto") - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-    )
+    def within(rank: Column, first: Column, n: Column) -> Column:
+        return (rank >= first) & (rank < first + n)
+
+    def holds(first: Column, n: Column):
+        return lambda t: within(t["lower"], first, n) | within(t["upper"], first, n)
 
-    def covers(rank):
-        return (F.col("first") <= rank) & (rank <= F.col("last"))
+    targets = totals.select(
+        *group,
+        "cell",
+        "before",
+        F.filter(wanted, holds(F.col("before"), F.col("in_cell"))).alias("targets"),
+    ).filter(F.size("targets") > 0)
 
+    in_cell = Window.partitionBy(*group, "cell").orderBy("v")
+    ranked = celled.join(targets, [*group, "cell"]).withColumn(
+        "first", F.col("before") + F.sum("n").over(in_cell) - F.col("n")
+    )
     hit = ranked.select(
         *group,
         "v",
+        "n",
         "first",
-        "last",
-        F.explode(
-            F.filter("targets", lambda t: covers(t["lower"]) | covers(t["upper"]))
-        ).alias("t"),
+        F.explode(F.filter("targets", holds(F.col("first"), F.col("n")))).alias("t"),
     )
+
+    def value_at(rank: str) -> Column:
+        return F.max(F.when(within(F.col(rank), F.col("first"), F.col("n")), F.col("v")))
+
     result = hit.groupBy(*group, "t.idx", "t.prob").agg(
-        F.max(F.when(covers(F.col("t.lower")), F.col("v"))).alias("at_lower"),
-        F.max(F.when(covers(F.col("t.upper")), F.col("v"))).alias("at_upper"),
+        value_at("t.lower").alias("at_lower"),
+        value_at("t.upper").alias("at_upper"),
         F.max("t.part").alias("part"),
     )
     # interpolated from the nearer side, as numpy does: bin edges must agree to the last bit
@@ -134,9 +114,16 @@ def exact_quantiles(
     quantile = F.when(
         F.col("part") >= 0.5, F.col("at_upper") - step * (1 - F.col("part"))
     ).otherwise(F.col("at_lower") + step * F.col("part"))
-    # a rank outside all brackets would break the sketch's guarantee: fail, never guess
-    outside = F.col("at_lower").isNull() | F.col("at_upper").isNull()
-    quantile = F.when(
-        outside, F.raise_error("quantile rank outside its sketch bracket").cast("double")
-    ).otherwise(quantile)
     return result.select(*group, "idx", "prob", quantile.alias("quantile"))
+
+
+def _cell(value: Column, cuts: Column) -> Column:
+    """How many of the sorted cuts a value reaches: first among every ``STEPS``-th, then between."""
+    coarse = F.array(*[F.get(cuts, F.lit(k * STEPS - 1)) for k in range(1, STEPS)])
+    step = F.size(F.filter(coarse, lambda c: c <= value))
+
+    def fine(k: Column) -> Column:
+        between = F.slice(cuts, k * STEPS + 1, F.lit(STEPS - 1))
+        return k * STEPS + F.size(F.filter(between, lambda c: c <= value))
+
+    return F.element_at(F.transform(F.array(step), fine), 1)

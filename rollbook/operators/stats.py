@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.columns import classify, parse_date
 from rollbook.operators.profile import group_month_total, monthly_rows, monthly_total
-from rollbook.operators.quantiles import exact_quantiles
+from rollbook.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts
 
 
 def zscore_global(df: DataFrame, value: Column, name: str = "z") -> DataFrame:
@@ -133,7 +133,10 @@ def decile_edges(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
 
 def _edges_array(df: DataFrame, value: str, bins: int) -> Column:
     """Sorted distinct edges as one scalar array of at most ``bins`` + 1 values."""
-    quantiles = exact_quantiles(df, value, _even_probs(bins))
+    return _distinct_edges(exact_quantiles(df, value, _even_probs(bins)))
+
+
+def _distinct_edges(quantiles: DataFrame) -> Column:
     return quantiles.agg(F.array_sort(F.collect_set("quantile"))).scalar()
 
 
@@ -184,17 +187,21 @@ def psi_drift(
 ) -> DataFrame:
     """(period, psi): population stability index of each period against the first one.
 
-    Edges are the deciles of the first period. One pass then counts all bins of
-    all periods side by side, so no period x bin grid has to be built; what is
-    left is one row per period. Null psi if fewer than three distinct edges exist.
+    The source is read once, into counts of each value per period. The first
+    period, its deciles and the bins of all periods come from those counts; bins
+    are summed side by side, so no period x bin grid has to be built and one row
+    per period is left. Null psi if fewer than three distinct edges exist.
     """
-    rows = df.filter(F.col(period).isNotNull()).select(period, value)
-    first = rows.agg(F.min(period)).scalar()
-    edges = _edges_array(rows.filter(F.col(period) == first), value, bins)
-    binned = rows.withColumn("edges", edges).withColumn("bin", _bin_of(value, bins))
+    counts = value_counts(df.filter(F.col(period).isNotNull()), value, period)
+    first = counts.agg(F.min(period)).scalar()
+    base = quantiles_of_counts(counts.filter(F.col(period) == first), _even_probs(bins))
+    binned = counts.withColumn("edges", _distinct_edges(base)).withColumn("bin", _bin_of("v", bins))
     counts = binned.groupBy(period).agg(
         F.max(F.size("edges")).alias("n_edges"),
-        *[F.count_if(F.col("bin") == b).alias(f"n{b}") for b in range(1, bins + 1)],
+        *[
+            F.coalesce(F.sum(F.when(F.col("bin") == b, F.col("n"))), F.lit(0)).alias(f"n{b}")
+            for b in range(1, bins + 1)
+        ],
     )
 
     total = F.greatest(reduce(add, [F.col(f"n{b}") for b in range(1, bins + 1)]), F.lit(1))

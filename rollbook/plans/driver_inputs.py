@@ -13,16 +13,6 @@ from pyspark.sql import functions as F
 
 DAY_TEXT = "dd-MM-yyyy"
 
-# Unique keys of the tables that grow with the data.
-ROW_KEYS = {
-    "customer": ["c_custkey"],
-    "orders": ["o_orderkey"],
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "events": ["event_id"],
-    "part": ["p_partkey"],
-}
-
-
 class DriverInputs:
     """Lazy views over one folder; each property is a plan, nothing is cached."""
 
@@ -32,17 +22,8 @@ class DriverInputs:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A table, its rows spread over all cores if its files are too few for that.
-
-        One file with one row group is read by one task. Tables with enough
-        splits, as on a cluster, are left as they are.
-        """
         if name not in self._tables:
-            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            if name in ROW_KEYS and df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores, *ROW_KEYS[name])
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     @cached_property

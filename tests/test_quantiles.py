@@ -1,4 +1,4 @@
-"""Exact quantiles and drift against numpy, also through the sketch brackets."""
+"""Exact quantiles and drift against numpy."""
 
 import numpy as np
 import pytest
@@ -22,8 +22,8 @@ def test_edges_equal_numpy_to_the_last_bit(spark):
         assert got == list(np.unique(np.quantile(values, np.linspace(0, 1, 11))))
 
 
-def quantiles(df, probs=PROBS, **options):
-    rows = exact_quantiles(df, "v", probs, **options).orderBy("idx").collect()
+def quantiles(df, probs=PROBS):
+    rows = exact_quantiles(df, "v", probs).orderBy("idx").collect()
     return [r["quantile"] for r in rows]
 
 
@@ -43,20 +43,27 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", sorted(CASES))
-def test_brackets_give_exact_answers(spark, case):
-    """Above the small-input limit only bracketed values are counted one by one."""
+def test_cells_give_exact_answers(spark, case):
     df = spark.range(0, 300_000, 1, 8).select(F.expr(CASES[case]).alias("v"))
     values = np.array([r[0] for r in df.collect()])
-    got = quantiles(df, count_all_below=1000)
+    got = quantiles(df)
     assert np.allclose(got, np.quantile(values, PROBS), rtol=1e-12)
 
 
-def test_a_missed_bracket_is_an_error(spark, monkeypatch):
+def test_a_poor_sketch_still_gives_exact_answers(spark, monkeypatch):
     monkeypatch.setattr("rollbook.operators.quantiles.SKETCH_ACCURACY", 5)
-    monkeypatch.setattr("rollbook.operators.quantiles.SLACK", 0.0)
     df = spark.range(0, 50_000, 1, 8).select(F.rand(3).alias("v"))
-    with pytest.raises(Exception, match="outside its sketch bracket"):
-        quantiles(df, count_all_below=10)
+    values = np.array([r[0] for r in df.collect()])
+    assert np.allclose(quantiles(df), np.quantile(values, PROBS), rtol=1e-12)
+
+
+def test_values_are_ordered_cell_by_cell(spark):
+    """Windows over values are split by cell; others see cell totals only."""
+    df = spark.range(0, 1000).select(F.rand(3).alias("v"))
+    plan = exact_quantiles(df, "v", PROBS)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("cell" in w or "in_cell" in w for w in windows)
+    assert any("[cell" in w and "[v" in w for w in windows)
 
 
 def test_groups_and_missing_values(spark):
