@@ -91,15 +91,19 @@ def count_grams(docs: DataFrame) -> DataFrame:
         yield _rows(totals, seen)
 
     def _rows(totals: dict[str, np.ndarray], seen: dict[str, int]) -> pd.DataFrame:
-        parts = [
-            pd.DataFrame({"lang": lang, "bucket": -1, "n": [n]}) for lang, n in seen.items()
-        ]
-        for lang, counts in totals.items():
-            found = np.flatnonzero(counts)
-            parts.append(pd.DataFrame({"lang": lang, "bucket": found, "n": counts[found]}))
-        if not parts:
-            return pd.DataFrame({"lang": [], "bucket": [], "n": []})
-        return pd.concat(parts).astype({"bucket": "int32", "n": "int64"})
+        langs, buckets, counts = list(seen), [np.full(len(seen), -1)], [np.array(list(seen.values()))]
+        for lang, total in totals.items():
+            found = np.flatnonzero(total)
+            langs += [lang] * len(found)
+            buckets.append(found)
+            counts.append(total[found])
+        return pd.DataFrame(
+            {
+                "lang": np.array(langs, dtype=object),
+                "bucket": np.concatenate(buckets).astype(np.int32),
+                "n": np.concatenate(counts).astype(np.int64),
+            }
+        )
 
     return (
         docs.select("text", "lang")

@@ -193,7 +193,7 @@ def train_field(docs: DataFrame, most: int = TRAIN_TOKENS) -> Field:
         .toPandas()
     )
     return fit_field(
-        np.array(sample["features"].tolist(), dtype=np.int64).reshape(len(sample), -1),
+        np.array(sample["features"].tolist(), dtype=np.int64),
         sample["label"].to_numpy(dtype=np.int64),
         sample["near"].to_numpy(dtype=np.int64),
     )
