@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.functions.columns import DAY_FIRST
+
 KEY = ("date", "state", "district", "pincode")
+LOCATION = ("state", "district", "pincode")
+ISO_FIRST = ("yyyy-MM-dd", *DAY_FIRST)
 
 
 @dataclass(frozen=True)
@@ -26,12 +30,30 @@ class TableSpec:
     order: tuple[str, ...] = ("ingest_seq",)
     # name of the non-negative contract rule in reports
     non_negative_rule: str = "non_negative_measures"
+    date_formats: tuple[str, ...] = DAY_FIRST
+    # measures that add up to the row's total without counting anyone twice; all if empty
+    total_of: tuple[str, ...] = ()
 
     @property
     def data_columns(self) -> tuple[str, ...]:
         """Columns that came from the feed: the key and the measures."""
         return self.keys + self.measures
 
+    @property
+    def total_measures(self) -> tuple[str, ...]:
+        return self.total_of or self.measures
+
+    @property
+    def attributes(self) -> dict[str, str]:
+        """Declared columns of the feed besides key and measures, with their types."""
+        declared = SCHEMAS.get(self.name, {})
+        return {c: t for c, t in declared.items() if c not in self.data_columns}
+
+    @property
+    def label_keys(self) -> tuple[str, ...]:
+        """Key columns besides the date and the location, such as a scheme."""
+        return tuple(k for k in self.keys if k != self.date and k not in LOCATION)
+
 
 # Column names and types of the source feeds.
 SCHEMAS: dict[str, dict[str, str]] = {
@@ -150,6 +172,8 @@ SPECS: dict[str, TableSpec] = {
     "population": TableSpec(
         "population",
         ("population_total", "male", "female", "age_0_5", "age_6_17", "age_18_plus"),
+        date_formats=ISO_FIRST,
+        total_of=("population_total",),
     ),
     "voter_registry": TableSpec(
         "voter_registry",
@@ -161,6 +185,8 @@ SPECS: dict[str, TableSpec] = {
             "new_registrations",
             "deletions",
         ),
+        date_formats=ISO_FIRST,
+        total_of=("voter_total",),
     ),
     "identity_voter_link": TableSpec(
         "identity_voter_link",
@@ -173,6 +199,8 @@ SPECS: dict[str, TableSpec] = {
             "kyc_pending",
             "duplicate_suspected",
         ),
+        date_formats=ISO_FIRST,
+        total_of=("voter_total",),
     ),
     "scheme_beneficiary": TableSpec(
         "scheme_beneficiary",
@@ -183,6 +211,8 @@ SPECS: dict[str, TableSpec] = {
             "beneficiaries_disbursed",
         ),
         keys=("date", "state", "district", "pincode", "scheme_id"),
+        date_formats=ISO_FIRST,
+        total_of=("beneficiaries_approved",),
     ),
 }
 

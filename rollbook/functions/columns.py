@@ -116,5 +116,13 @@ def classify(condition: Column, yes: str, no: str) -> Column:
 
 
 def hash_key(*columns: str) -> Column:
-    """Stable surrogate key of a natural key: equal on every run and engine."""
-    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
+    """Stable surrogate key of a natural key: equal on every run and engine.
+
+    Each part carries its length and a null its own mark, so different keys never
+    give the same text.
+    """
+    parts = [F.col(c).cast("string") for c in columns]
+    marked = [
+        F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts
+    ]
+    return F.md5(F.concat(*marked))

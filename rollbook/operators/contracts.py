@@ -28,7 +28,7 @@ def present(c: str) -> Column:
 def contract_rules(spec: TableSpec) -> dict[str, Column]:
     """The published contract: readable date, six-digit pincode, no negative measure."""
     return {
-        "valid_date": parse_date(spec.date).isNotNull(),
+        "valid_date": parse_date(spec.date, spec.date_formats).isNotNull(),
         "valid_6_digit_pincode": is_valid_pincode("pincode"),
         spec.non_negative_rule: all_non_negative(*spec.measures),
     }

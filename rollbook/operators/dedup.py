@@ -33,10 +33,10 @@ def count_duplicates(df: DataFrame, keys: Sequence[str], metric: str = "duplicat
     )
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """All rows whose key occurs more than once, with hot keys spread over tasks."""
+def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows whose key occurs more than once; rows of hot keys are not shuffled."""
     repeated = key_counts(df, keys).filter("n > 1")
-    return semi_join_spread(df, repeated, keys, spread_by=order)
+    return semi_join_spread(df, repeated, keys)
 
 
 def duplicate_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:

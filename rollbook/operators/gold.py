@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.catalog import LOCATION
 from rollbook.functions.columns import hash_key, month_of, normalize_name, pct_of, title_name
 
-LOCATION = ("state", "district", "pincode")
-
 
 def canonicalize(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
     """Replace a raw label by its canonical name from (alias, canonical).
@@ -57,10 +56,18 @@ def dim_location(df: DataFrame, columns: Sequence[str] = LOCATION) -> DataFrame:
     )
 
 
-def fact_table(df: DataFrame, measures: Sequence[str], date: str = "date") -> DataFrame:
-    """Fact with dimension keys in place of labels; the keys are computed, not joined."""
+def fact_table(
+    df: DataFrame, measures: Sequence[str], date: str = "date", labels: Sequence[str] = ()
+) -> DataFrame:
+    """Fact with dimension keys in place of labels; the keys are computed, not joined.
+
+    ``labels`` are further key columns, such as a scheme, that keep the fact's grain.
+    """
     return df.select(
-        date_key(date).alias("date_key"), hash_key(*LOCATION).alias("location_key"), *measures
+        date_key(date).alias("date_key"),
+        hash_key(*LOCATION).alias("location_key"),
+        *labels,
+        *measures,
     )
 
 
@@ -144,16 +151,30 @@ def net_change_kpi(
     )
 
 
+# The funnel's steps and the columns of the feed that hold them.
+FUNNEL = {
+    "applications": "applications_received",
+    "approved": "beneficiaries_approved",
+    "disbursed": "beneficiaries_disbursed",
+    "amount": "disbursed_amount",
+}
+
+
 def scheme_funnel_kpi(
-    fact: DataFrame, schemes: DataFrame, default_type: str = "Other"
+    fact: DataFrame,
+    schemes: DataFrame,
+    default_type: str = "Other",
+    columns: Mapping[str, str] = FUNNEL,
 ) -> DataFrame:
     """Applications to approvals to disbursements per scheme type.
 
+    ``columns`` names the fact's column for each step of the funnel.
+
     The fact is summed per scheme before the join, so a scheme with a large part
     of all rows reaches the join as one row.
     """
     counts = ["applications", "approved", "disbursed", "amount"]
-    per_scheme = fact.groupBy("scheme_id").agg(*[F.sum(c).alias(c) for c in counts])
+    per_scheme = fact.groupBy("scheme_id").agg(*[F.sum(columns[c]).alias(c) for c in counts])
     typed = per_scheme.join(schemes.select("scheme_id", "scheme_type"), "scheme_id", "left")
     per_type = typed.groupBy(
         F.coalesce("scheme_type", F.lit(default_type)).alias("scheme_type")

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 # A key with more than this share of all counted rows is hot, so there can be
 # at most 1 / HOT_SHARE hot keys: that bounds the broadcast.
 HOT_SHARE = 1 / 256
-SALTS = 64
 
 
 def null_safe(keys: Sequence[str], prefix: str) -> Column:
@@ -30,32 +29,20 @@ def semi_join_spread(
     df: DataFrame,
     members: DataFrame,
     keys: Sequence[str],
-    spread_by: Sequence[str],
     count: str = "n",
     share: float = HOT_SHARE,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is in ``members``, hot keys spread over many tasks.
+    """Rows of ``df`` whose key is in ``members``; rows of hot keys are never shuffled.
 
-    ``members`` has each key once with its row count. Rows of a hot key are
-    salted by a hash of ``spread_by`` and meet one copy of the key per salt; all
-    other rows join on the key alone. Null key parts match null.
+    ``members`` has each key once with its row count. A hot key is a member by
+    definition and its few names are broadcast, so its rows are passed on where they
+    are read; only the rest joins on the key. Null key parts match null.
     """
     keys = list(keys)
-    hot = hot_keys(members, count, share).select(
-        *[F.col(k).alias("hot_" + k) for k in keys], F.lit(True).alias("hot_")
+    hot = F.broadcast(
+        hot_keys(members, count, share).select(*[F.col(k).alias("hot_" + k) for k in keys])
     )
-    salted = df.join(F.broadcast(hot), null_safe(keys, "hot_"), "left").withColumn(
-        "salt_",
-        F.when(F.col("hot_"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0),
-    )
-    total = members.agg(F.sum(count)).scalar()
-    copies = F.when(
-        F.col(count) > total * F.lit(share), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    spread = members.select(
-        *[F.col(k).alias("m_" + k) for k in keys], F.explode(copies).alias("m_salt_")
-    )
-    return salted.join(
-        spread, null_safe(keys + ["salt_"], "m_"), "left_semi"
-    ).select(*df.columns)
+    others = members.select(*[F.col(k).alias("m_" + k) for k in keys])
+    at_once = df.join(hot, null_safe(keys, "hot_"), "left_semi")
+    rest = df.join(hot, null_safe(keys, "hot_"), "left_anti")
+    return at_once.unionByName(rest.join(others, null_safe(keys, "m_"), "left_semi"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,36 +17,44 @@ from rollbook.catalog import SPECS, TableSpec
 from rollbook.functions.columns import month_of, parse_date, row_total
 from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
 from rollbook.plans.silver import typed_measures, write_silver
-from rollbook.session import shared_folder
 from rollbook.sources import readers, writers
 
 
 def run_bronze(
     spark: SparkSession, paths: Sequence[str], name: str, batch_id: int, folder: str
 ) -> str:
-    """Ingest the shards of a feed as one batch and record its audit; returns the table path."""
+    """Ingest the shards of a feed as one batch and record its audit; returns the table path.
+
+    A shard that cannot be read is recorded as failed with its error; the others are
+    loaded, then the first error is raised.
+    """
     table = f"{folder}/bronze/{name}"
     started = time.time()
-    raw = readers.read_bronze_csv(spark, readers.list_sources(spark, paths), name)
-    lineage = writers.with_lineage(raw, F.col("src_file"), batch_id)
-    writers.write_batch(lineage, table, batch_id)
-    stored = spark.read.parquet(f"{table}/batch_id={batch_id}")
-    audit = writers.load_audit(stored, "source", F.col("_corrupt").isNotNull())
-    writers.append_audit(audit, f"{folder}/audit/{name}", batch_id, started, time.time())
+    good, errors, first = [], {}, None
+    for path in paths:
+        try:
+            readers.read_bronze_csv(spark, readers.list_sources(spark, [path]), name)
+            good.append(path)
+        except Exception as error:  # recorded below, then raised
+            errors[path] = str(error)
+            first = first or error
+    raw = readers.read_bronze_csv(spark, good, name) if good else None
+    if raw is not None:
+        lineage = writers.with_lineage(raw, F.col("src_file"), batch_id)
+        writers.write_batch(lineage, table, batch_id)
+        stored = spark.read.parquet(f"{table}/batch_id={batch_id}")
+        audit = writers.load_audit(stored, "source", F.col("_corrupt").isNotNull())
+    else:
+        audit = spark.createDataFrame([], "source string, rows bigint, bad_rows bigint")
+    writers.append_audit(audit, f"{folder}/audit/{name}", batch_id, started, time.time(), errors)
+    if first:
+        raise first
     return table
 
 
 def bronze_spec(name: str) -> TableSpec:
     """The spec of a feed ingested from files: batches in order, then file order."""
-    spec = SPECS[name]
-    return TableSpec(
-        spec.name,
-        spec.measures,
-        spec.keys,
-        spec.date,
-        ("batch_id",) + readers.FILE_ORDER,
-        spec.non_negative_rule,
-    )
+    return replace(SPECS[name], order=("batch_id",) + readers.FILE_ORDER)
 
 
 def run_silver(
@@ -64,14 +73,16 @@ def run_gold(spark: SparkSession, name: str, folder: str) -> dict[str, str]:
     spec = SPECS[name]
     silver = spark.read.parquet(f"{folder}/silver/{name}/valid")
     out = f"{folder}/gold/{name}"
+    money = [c for c, kind in spec.attributes.items() if kind.startswith("decimal") and c in silver.columns]
+    carried = [*spec.measures, *money]
     series = (
         silver.groupBy("state", month_of(spec.date).alias("month"))
-        .agg(F.sum(row_total(*spec.measures)).alias("total"))
+        .agg(F.sum(row_total(*spec.total_measures)).alias("total"))
     )
     tables = {
         "dim_date": gold.dim_date(silver),
         "dim_location": gold.dim_location(silver),
-        "fact": gold.fact_table(silver, spec.measures).withColumn(
+        "fact": gold.fact_table(silver, carried, spec.date, spec.label_keys).withColumn(
             "year", F.col("date_key").substr(1, 4).cast("int")
         ),
         "kpi_rollup": gold.kpi_rollup(silver, spec.measures),
@@ -87,21 +98,20 @@ def run_gold(spark: SparkSession, name: str, folder: str) -> dict[str, str]:
 
 
 def run_profile(
-    spark: SparkSession, raw: DataFrame, spec: TableSpec, folder: str | None = None
+    spark: SparkSession, raw: DataFrame, spec: TableSpec, folder: str
 ) -> dict[str, DataFrame]:
     """All quality reports of a raw table, each written as CSV under ``folder/reports``.
 
     The de-duplicated table is written once and read by every report, so each
     report prunes it to the columns it needs.
     """
-    folder = folder or shared_folder(spark)
     work = f"{folder}/profile/{spec.name}"
     raw = typed_measures(raw, spec)
     dedup.dedup_keep_first(raw, spec.keys, spec.order).write.mode("overwrite").parquet(work)
     df = spark.read.parquet(work)
     columns = list(spec.data_columns)
-    total = row_total(*spec.measures)
-    month_start = F.trunc(parse_date(spec.date), "month")
+    total = row_total(*spec.total_measures)
+    month_start = F.trunc(parse_date(spec.date, spec.date_formats), "month")
     by_month = df.select(month_start.alias("month"), total.alias("total"))
     result = {
         "duplicate_impact": dedup.duplicate_impact(raw, columns, spec.keys, spec.order),

@@ -49,6 +49,11 @@ bio as (
 """
 
 
+LOCATION_KEY = "md5(" + " || ".join(
+    f"coalesce(length({c}) || ':' || {c}, '-')" for c in ("state", "district", "pincode")
+) + ")"
+
+
 def _key_rows(table: str, label: str = "lower(trim({c}))") -> str:
     return f"""
   select strftime(try_strptime(date, '%d-%m-%Y'), '%Y-%m-%d') as date_key,
@@ -411,8 +416,8 @@ def all_oracles() -> dict[str, str]:
             ],
         ),
         "fact_star_join": _raw(
-            """select cast(strftime(date, '%Y%m%d') as integer) as date_key,
-              md5(state || '|' || district || '|' || pincode) as location_key,
+            f"""select cast(strftime(date, '%Y%m%d') as integer) as date_key,
+              {LOCATION_KEY} as location_key,
               cast(year(date) as integer) as year, cast(quarter(date) as integer) as quarter,
               strftime(date, '%Y-%m') as month, state, district, pincode,
               ingest_seq, age_0_5, age_5_17, age_18_greater from silver""",
@@ -780,7 +785,7 @@ def all_oracles() -> dict[str, str]:
                 cast((select max(d) from parsed) as timestamp), interval 1 day)) as x)"""
         ),
         "dim_location": _raw(
-            """select distinct md5(state || '|' || district || '|' || pincode) as location_key,
+            f"""select distinct {LOCATION_KEY} as location_key,
               state, district, pincode from silver""",
             _silver(False),
         ),

@@ -102,7 +102,7 @@ def _order_shards(t):
     return [
         orders.filter(key < low),
         orders.filter((key >= low) & (key < high)),
-        orders.filter(key >= high),
+        orders.filter(key.isNull() | (key >= high)),  # whatever no other shard takes
     ]
 
 
@@ -483,7 +483,7 @@ def dedup_keep_first(t):
 
 @query
 def duplicate_groups(t):
-    return dedup.duplicate_groups(t.enrolment, KEY, ENROL.order)
+    return dedup.duplicate_groups(t.enrolment, KEY)
 
 
 @query
@@ -775,7 +775,8 @@ def scheme_funnel_kpi(t):
     schemes = t.table("part").select(
         F.col("p_partkey").alias("scheme_id"), F.col("p_type").alias("scheme_type")
     )
-    return gold.scheme_funnel_kpi(fact, schemes)
+    steps = ("applications", "approved", "disbursed", "amount")
+    return gold.scheme_funnel_kpi(fact, schemes, columns={c: c for c in steps})
 
 
 @query

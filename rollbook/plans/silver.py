@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,21 @@ from rollbook.sources import writers
 def typed_measures(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Measures as numbers, unreadable ones null, so that the contract can judge them."""
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
-    return df.withColumns(
-        {m: F.col(m).cast("bigint") if m in numeric else to_whole(m) for m in spec.measures}
-    )
+
+    def whole(m: str) -> Column:
+        return F.when(F.col(m) == F.floor(m), F.col(m)).try_cast("bigint")
+
+    return df.withColumns({m: whole(m) if m in numeric else to_whole(m) for m in spec.measures})
+
+
+def typed_attributes(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    """The feed's further declared columns that ``df`` has, typed; unreadable values are null."""
+    named_date = [c for c in spec.attributes if c in ("start_date", "end_date")]
+    return {
+        c: parse_date(c, spec.date_formats) if c in named_date else F.col(c).try_cast(kind)
+        for c, kind in spec.attributes.items()
+        if c in df.columns
+    }
 
 
 def conform(
@@ -41,10 +53,14 @@ def conform(
         else:
             valid = canonicalize(valid, label, table)
     typed = valid.withColumns(
-        {spec.date: parse_date(spec.date), "pincode": normalize_pincode("pincode")}
+        {
+            spec.date: parse_date(spec.date, spec.date_formats),
+            "pincode": normalize_pincode("pincode"),
+            **typed_attributes(valid, spec),
+        }
     )
-    extra = [c for c in spec.order if c not in spec.data_columns]
-    return typed.select(*spec.data_columns, *extra)
+    kept = [*spec.data_columns, *(c for c in spec.attributes if c in valid.columns)]
+    return typed.select(*kept, *(c for c in spec.order if c not in kept))
 
 
 def silver_split(

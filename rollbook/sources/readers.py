@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,15 +51,44 @@ def with_row_number(df: DataFrame) -> DataFrame:
     return df.withColumn("src_row", F.monotonically_increasing_id())
 
 
+def feed_header(columns: Sequence[str], name: str) -> dict[str, str]:
+    """Declared column of each header column; an error if the two do not match by name."""
+    declared = SCHEMAS[name]
+    named = {}
+    for column in columns:
+        clean = column.strip()
+        named[column] = COLUMN_ALIASES.get(clean, clean) if clean not in declared else clean
+    unknown = [c for c, known in named.items() if known not in declared]
+    missing = [c for c in declared if c not in named.values()]
+    if unknown or missing or len(set(named.values())) < len(columns):
+        raise ValueError(f"header of {name}: unknown {unknown}, missing {missing}, has {columns}")
+    return named
+
+
 def read_bronze_csv(spark: SparkSession, paths: str | Sequence[str], name: str) -> DataFrame:
     """All shards of a feed as text columns, with malformed lines kept in ``_corrupt``.
 
-    Measures stay text until silver types them, so one bad number loses nothing.
+    Columns are matched by the name in each file's header, whatever their order; known
+    misspellings are mapped, other names are an error. Files with one header are read
+    together. Measures stay text until silver types them, so one bad number loses nothing.
     """
-    reader = spark.read.schema(_csv_schema(name)).options(
-        header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt"
-    )
-    return with_row_number(with_file(reader.csv(paths)))
+    files: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(paths).inputFiles()):
+        header = tuple(spark.read.options(header=True).csv(file).columns)
+        files.setdefault(header, []).append(file)
+    parts = []
+    for header, shards in files.items():
+        known = feed_header(header, name)
+        schema = ", ".join(f"`{c}` string" for c in header) + ", _corrupt string"
+        reader = spark.read.schema(schema).options(
+            header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt"
+        )
+        named = with_file(reader.csv(shards)).withColumnsRenamed(known)
+        parts.append(named.select(*SCHEMAS[name], "_corrupt", "src_file", "src_block"))
+    if not parts:
+        empty = spark.createDataFrame([], _csv_schema(name))
+        parts = [empty.withColumns({"src_file": F.lit(""), "src_block": F.lit(0).cast("bigint")})]
+    return with_row_number(reduce(DataFrame.unionByName, parts))
 
 
 def read_profile_csv(

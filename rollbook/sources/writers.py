@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +48,23 @@ def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def refresh_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+    incremental: bool = False,
 ) -> None:
-    """Full refresh; with ``partition_by`` only the partitions in ``df`` are replaced."""
+    """Full refresh: afterwards the table holds the rows of ``df`` and no others.
+
+    ``incremental`` replaces only the partitions that ``df`` has and keeps the rest.
+    """
     if not partition_by:
         df.write.format(fmt).mode("overwrite").save(path)
         return
     writer = by_partition(df, partition_by).write.format(fmt).mode("overwrite")
-    writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").save(path)
+    writer.partitionBy(*partition_by).option(
+        "partitionOverwriteMode", "dynamic" if incremental else "static"
+    ).save(path)
 
 
 def create_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -82,13 +91,37 @@ def load_audit(df: DataFrame, source: str, bad_row: Column) -> DataFrame:
     )
 
 
-def append_audit(audit: DataFrame, path: str, batch_id: int, started: float, ended: float) -> None:
-    """Record a batch's audit rows with start, end and seconds; a re-run replaces them."""
-    timed = audit.withColumns(
+def append_audit(
+    audit: DataFrame,
+    path: str,
+    batch_id: int,
+    started: float,
+    ended: float,
+    errors: Mapping[str, str] | None = None,
+) -> None:
+    """Record a batch's audit rows: status, error, start, end, seconds of the batch.
+
+    ``audit`` has a row per loaded source (see ``load_audit``); ``errors`` adds a row with
+    status ``failed`` and a message per source that could not be read. A re-run of the
+    batch replaces its rows.
+    """
+    rows = audit.withColumns(
+        {"status": F.lit("loaded"), "error": F.lit(None).cast("string")}
+    )
+    for source, message in (errors or {}).items():
+        failed = audit.sparkSession.range(1).select(
+            F.lit(source).alias("source"),
+            F.lit(0).cast("bigint").alias("rows"),
+            F.lit(0).cast("bigint").alias("bad_rows"),
+            F.lit("failed").alias("status"),
+            F.lit(message).alias("error"),
+        )
+        rows = rows.unionByName(failed)
+    timed = rows.withColumns(
         {
             "started_at": F.timestamp_millis(F.lit(int(started * 1000))),
             "ended_at": F.timestamp_millis(F.lit(int(ended * 1000))),
-            "seconds": F.lit(float(ended - started)),
+            "batch_seconds": F.lit(float(ended - started)),
         }
     )
     write_batch(timed, path, batch_id)

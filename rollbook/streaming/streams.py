@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,52 +35,68 @@ def append_parquet(
     return _start(writer, available_now)
 
 
-def store_bronze(batch: DataFrame, batch_id: int, path: str, source: str) -> DataFrame:
-    """Write a micro-batch as the ``batch_id`` partition and return it as stored.
+def run_name(checkpoint: str) -> str:
+    """Name of the run that a checkpoint belongs to: the same after every restart."""
+    return f"r{zlib.crc32(checkpoint.encode()):08x}"
 
-    Rows of file feeds are numbered here, once, so that their arrival order is
-    kept with them. A retried batch replaces its own partition.
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table under ``path`` with its run and batch columns; None before the first batch."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:  # no such folder, or no batch in it with a schema yet
+        return None
+    return table if "run" in table.columns else None
+
+
+def _arrival(columns: Sequence[str]) -> list[str]:
+    """Columns that name what arrived: the file of a feed, or the place of a message."""
+    if "src_file" in columns:
+        return ["src_file"]
+    return [c for c in ("topic", "partition", "offset") if c in columns]
+
+
+def _of_other_runs(rows: DataFrame, table: DataFrame | None, run: str, keys: list[str]) -> DataFrame:
+    """``rows`` without those whose keys another run has stored already."""
+    if table is None or not keys:
+        return rows
+    known = table.filter(F.col("run") != run).select(*keys).distinct()
+    return rows.join(known, keys, "left_anti")
+
+
+def _part(path: str, run: str) -> str:
+    return f"{path}/run={run}"
+
+
+def store_bronze(batch: DataFrame, batch_id: int, path: str, source: str, run: str) -> None:
+    """Write a micro-batch as a partition of its run; a retried batch replaces its own.
+
+    Files or messages that another run has stored are left out, so a stream that starts
+    anew with other batches adds nothing twice, and overwrites nothing.
     """
-    stamped = batch.withColumns(
-        {"source": F.lit(source), "ingest_ts": F.current_timestamp()}
-    )
-    if "src_file" in batch.columns:
-        stamped = readers.with_row_number(stamped)
-    writers.write_batch(stamped, path, batch_id)
-    return batch.sparkSession.read.schema(stamped.schema).parquet(f"{path}/batch_id={batch_id}")
+    new = _of_other_runs(batch, _stored(batch.sparkSession, path), run, _arrival(batch.columns))
+    stamped = new.withColumns({"source": F.lit(source), "ingest_ts": F.current_timestamp()})
+    writers.write_batch(stamped, _part(path, run), batch_id)
+
+
+def _numbered(batch: DataFrame) -> DataFrame:
+    """Rows of file feeds numbered in their arrival order."""
+    return readers.with_row_number(batch) if "src_file" in batch.columns else batch
 
 
 def bronze_stream(
     rows: DataFrame, path: str, checkpoint: str, source: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append-only raw rows with source and ingest time, one partition per micro-batch."""
+    """Append-only raw rows with source and ingest time, one partition per run and micro-batch."""
+    run = run_name(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        store_bronze(batch, batch_id, path, source)
+        store_bronze(_numbered(batch), batch_id, path, source, run)
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 
 
-def _earlier_keys(
-    spark: SparkSession, path: str, schema, spec: TableSpec, batch: DataFrame, batch_id: int
-) -> DataFrame:
-    """Silver keys of earlier batches, limited to the months the batch touches.
-
-    The month limit is a broadcast join on a partition column, so only those
-    partitions are read however long the history is. Years have four digits: there
-    can be at most 120,000 months.
-    """
-    stored = (
-        spark.read.schema(schema)
-        .option("basePath", path)
-        .parquet(path)
-        .filter(F.col("batch_id") < batch_id)
-    )
-    months = batch.select("month").distinct()
-    return stored.join(F.broadcast(months), "month", "left_semi").select(*spec.keys)
-
-
 def silver_stream(
     rows: DataFrame,
     spec: TableSpec,
@@ -88,31 +106,42 @@ def silver_stream(
     aliases: dict[str, DataFrame] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Store each micro-batch as bronze, then split it into ``valid`` and ``quarantine``.
+    """Split each micro-batch into ``valid`` and ``quarantine``, then store it as ``bronze``.
 
-    Keys in ``valid`` are unique over all batches. All three tables are laid out
-    by ``batch_id``. A batch only looks at earlier
-    batches and replaces its own partitions, so a retry or a replay from a new
-    checkpoint with the same batches gives the same tables.
+    All three tables are laid out by run and batch. A batch replaces its own partitions
+    only. Keys in ``valid`` are unique over all batches of all runs, whatever the split
+    into batches; what arrives again is known by its file or message and left out. Bronze
+    is written last: a file it holds has its silver rows, and a run that was killed before
+    can be taken up by its own checkpoint or by a new one. One stream writes at a time.
     """
     valid_path, quarantine_path = f"{folder}/valid", f"{folder}/quarantine"
+    bronze_path, run = f"{folder}/bronze", run_name(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = store_bronze(batch, batch_id, f"{folder}/bronze", source)
-        valid, quarantine = silver_split(stored, spec, aliases)
+        numbered = _numbered(batch)
+        arrival = _arrival(batch.columns)
+        new = _of_other_runs(numbered, _stored(spark, bronze_path), run, arrival)
+        valid, quarantine = silver_split(new, spec, aliases)
         first = dedup_keep_first(valid, spec.keys, spec.order).withColumn(
             "month", F.date_format(spec.date, "yyyy-MM")
         )
-        if batch_id > 0:
-            schema = first.withColumn("batch_id", F.lit(0)).schema
-            seen = _earlier_keys(spark, valid_path, schema, spec, first, batch_id)
+        earlier = _stored(spark, valid_path)
+        if earlier is not None:
+            # a partition column limits the read to the months that the batch touches; years
+            # have four digits, so there are at most 120,000 of them
+            months = F.broadcast(first.select("month").distinct())
+            own = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
+            seen = earlier.filter(~own).join(months, "month", "left_semi").select(*spec.keys)
             first = first.join(seen, list(spec.keys), "left_anti")
         out = writers.by_partition(first, ["month"]).write.mode("overwrite")
         out.option("partitionOverwriteMode", "static").partitionBy("month").parquet(
-            f"{valid_path}/batch_id={batch_id}"
+            f"{_part(valid_path, run)}/batch_id={batch_id}"
         )
-        writers.write_batch(quarantine, quarantine_path, batch_id)
+        # a file is in one micro-batch as a whole, so its name is enough here too
+        rejected = _of_other_runs(quarantine, _stored(spark, quarantine_path), run, arrival)
+        writers.write_batch(rejected, _part(quarantine_path, run), batch_id)
+        store_bronze(numbered, batch_id, bronze_path, source, run)
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)

@@ -152,3 +152,11 @@ def test_describe_columns(spark):
     rows = {r["column"]: r for r in profile.describe_numeric(df, ["a", "b"]).collect()}
     assert (rows["a"]["q25"], rows["a"]["q50"], rows["a"]["max"]) == (250.0, 500.0, 1000.0)
     assert (rows["b"]["q75"], rows["b"]["count"]) == (1875.0, 1001)
+
+
+def test_hash_keys_do_not_collide(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("c", None), ("", "c"), ("-", "c"), ("1:a", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    from rollbook.functions.columns import hash_key
+
+    assert df.select(hash_key("x", "y")).distinct().count() == len(rows)

@@ -26,7 +26,7 @@ def test_duplicate_groups_with_a_hot_key(spark):
     rows = [tuple(r) for r in df.collect()]
     counts = Counter(k for k, _ in rows)
     want = sorted((r for r in rows if counts[r[0]] > 1), key=lambda r: r[1])
-    got = dedup.duplicate_groups(df, ["k"], ["seq"])
+    got = dedup.duplicate_groups(df, ["k"])
     assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[1]) == want
 
 

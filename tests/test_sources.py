@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.catalog import SPECS
+from rollbook.operators import gold
 from rollbook.plans import batch
+from rollbook.plans.silver import silver_split
 from rollbook.sources import readers, writers
 
 HEADER = "date,state,district,pincode,age_0_5,age_5_17,age_18_greater"
@@ -70,8 +72,11 @@ def test_refresh_replaces_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [(1, "a"), (2, "b")]
     writers.refresh_table(spark.createDataFrame(rows, "v int, p string"), path, ["p"])
-    writers.refresh_table(spark.createDataFrame([(9, "b")], "v int, p string"), path, ["p"])
+    update = spark.createDataFrame([(9, "b")], "v int, p string")
+    writers.refresh_table(update, path, ["p"], incremental=True)
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (9, "b")]
+    writers.refresh_table(update, path, ["p"])  # a full refresh leaves no older partition
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(9, "b")]
     full = str(tmp_path / "full")
     for n in (3, 2):
         writers.refresh_table(spark.range(n), full)
@@ -160,3 +165,93 @@ def test_batch_run_end_to_end(spark, feed, tmp_path):
     summary = spark.read.option("header", True).csv(f"{out}/coverage/cross_table_coverage_summary")
     values = {r["metric"]: int(r["value"]) for r in summary.collect()}
     assert values["enroll_not_in_demo"] == 0 and values["enroll_not_in_bio"] > 0
+
+
+def test_columns_are_matched_by_header_name(spark, tmp_path):
+    header = ["state", "pincode", "date", "district", "demo_age_7", "demo_age_5_17"]
+    (tmp_path / "a.csv").write_text(",".join(header) + "\nAsia,560001,1-1-2025,North,7,5\n")
+    (tmp_path / "b.csv").write_text(
+        "date,state,district,pincode,demo_age_5_17,demo_age_17\n2-1-2025,Asia,South,560002,1,2\n"
+    )
+    df = readers.read_bronze_csv(spark, str(tmp_path / "*.csv"), "demographic")
+    rows = {r.date: (r.state, r.district, r.pincode, r.demo_age_5_17, r.demo_age_17) for r in df.collect()}
+    assert rows["1-1-2025"] == ("Asia", "North", "560001", "5", "7")
+    assert rows["2-1-2025"] == ("Asia", "South", "560002", "1", "2")
+    (tmp_path / "c.csv").write_text("date,state,district,pincode,demo_age_5_17,other\n")
+    with pytest.raises(ValueError, match="other"):
+        readers.read_bronze_csv(spark, str(tmp_path / "*.csv"), "demographic")
+
+
+def test_a_failed_shard_is_in_the_audit(spark, feed, tmp_path):
+    out = str(tmp_path / "lake")
+    shards = [str(feed / "enrolment_0.csv"), "/no/such.csv", str(feed / "enrolment_1.csv")]
+    with pytest.raises(FileNotFoundError, match="no/such"):
+        batch.run_bronze(spark, shards, "enrolment", 1, out)
+    audit = {r["source"]: r for r in spark.read.parquet(f"{out}/audit/enrolment").collect()}
+    assert audit["/no/such.csv"]["status"] == "failed" and "no/such" in audit["/no/such.csv"]["error"]
+    assert (audit["enrolment_0.csv"]["rows"], audit["enrolment_1.csv"]["rows"]) == (7, 8)
+    assert spark.read.parquet(f"{out}/bronze/enrolment").count() == 15
+
+
+FEEDS = {
+    "population": (
+        "date,state,district,pincode,population_total,male,female,age_0_5,age_6_17,age_18_plus",
+        ["2025-01-01,Asia,North,560001,10,4,6,1,2,7", "2025-02-30,Asia,North,560001,10,4,6,1,2,7"],
+        10,
+    ),
+    "voter_registry": (
+        "date,state,district,pincode,voter_total,male_voters,female_voters,other_voters,"
+        "new_registrations,deletions,net_change,turnout_pct_est,data_source,ingest_ts",
+        ["2025-01-01,Asia,North,560001,10,4,5,1,3,2,1,61.5,roll,2025-01-02 00:00:00", "x,Asia,North,560001,1,1,0,0,0,0,0,1,r,"],
+        10,
+    ),
+    "identity_voter_link": (
+        "date,state,district,pincode,voter_total,aadhaar_available,aadhaar_voter_linked,linkage_pending,"
+        "linkage_rejected,linkage_pct,kyc_pending,duplicate_suspected,data_source,ingest_ts",
+        ["2025-01-01,Asia,North,560001,10,8,6,1,1,75.00,0,0,l,2025-01-02 00:00:00", "2025-01-01,Asia,North,5600,1,1,1,0,0,1,0,0,l,"],
+        10,
+    ),
+    "scheme_beneficiary": (
+        "date,start_date,end_date,state,district,pincode,scheme_id,applications_received,beneficiaries_approved,"
+        "beneficiaries_rejected,beneficiaries_disbursed,disbursed_amount,data_source,ingest_ts",
+        [
+            "2025-01-01,2024-01-01,2025-12-31,Asia,North,560001,SCH0001,10,8,2,6,1234.50,s,2025-01-02 00:00:00",
+            "2025-01-01,2024-01-01,2025-12-31,Asia,North,560001,SCH0002,4,2,2,1,0.25,s,2025-01-02 00:00:00",
+            "2025-01-01,2024-01-01,2025-12-31,Asia,North,560001,SCH0002,4.5,2,2,1,0.25,s,",
+        ],
+        10,
+    ),
+}
+
+
+@pytest.mark.parametrize("name", sorted(FEEDS))
+def test_each_feed_from_csv_to_gold(spark, tmp_path, name):
+    header, lines, total = FEEDS[name]
+    (tmp_path / "feed.csv").write_text("\n".join([header, *lines]) + "\n")
+    out = str(tmp_path / "lake")
+    batch.run_bronze(spark, [str(tmp_path / "feed.csv")], name, 1, out)
+    valid_path, quarantine_path = batch.run_silver(spark, name, out)
+    valid = spark.read.parquet(valid_path)
+    assert valid.count() == len(lines) - 1 and spark.read.parquet(quarantine_path).count() == 1
+    assert set(header.split(",")) <= set(valid.columns)  # no declared column is lost
+    tables = batch.run_gold(spark, name, out)
+    trend = spark.read.parquet(tables["trend"]).collect()
+    assert [r["total"] for r in trend] == [total]
+    fact = spark.read.parquet(tables["fact"])
+    assert fact.count() == len(lines) - 1
+    if name == "scheme_beneficiary":
+        assert {r["scheme_id"]: float(r["disbursed_amount"]) for r in fact.collect()} == {"SCH0001": 1234.5, "SCH0002": 0.25}
+        schemes = spark.createDataFrame([("SCH0001", "Health")], "scheme_id string, scheme_type string")
+        kpi = {r["scheme_type"]: r for r in gold.scheme_funnel_kpi(fact, schemes).collect()}
+        assert (kpi["Health"]["amount"], kpi["Health"]["approval_pct"]) == (1234.5, 80.0)
+    if name == "voter_registry":
+        row = valid.first()
+        assert (row["net_change"], row["turnout_pct_est"]) == (1, 61.5)
+
+
+def test_fractional_numbers_go_to_quarantine(spark):
+    spec = SPECS["population"]
+    row = ("2025-01-01", "Asia", "North", "560001", 4.5, 1.0, 1.0, 1.0, 1.0, 1.0)
+    df = spark.createDataFrame([row], "date string, state string, district string, pincode string, population_total double, male double, female double, age_0_5 double, age_6_17 double, age_18_plus double")
+    valid, quarantine = silver_split(df.withColumn("ingest_seq", F.lit(1)), spec)
+    assert valid.count() == 0 and quarantine.count() == 1

@@ -1,7 +1,9 @@
 """Streams against the same logic in batch, over several files with one file per batch."""
 
 import datetime as dt
+import glob
 import os
+import shutil
 import time
 
 import pytest
@@ -48,8 +50,8 @@ def run_bronze(spark, feed, out, checkpoint):
     streams.bronze_stream(rows, out, checkpoint, "feed").awaitTermination()
 
 
-def run_silver(spark, feed, out, checkpoint):
-    rows = readers.stream_csv(spark, feed, "enrolment", max_files=1)
+def run_silver(spark, feed, out, checkpoint, max_files=1):
+    rows = readers.stream_csv(spark, feed, "enrolment", max_files=max_files)
     streams.silver_stream(rows, SPEC, out, checkpoint, "feed").awaitTermination()
 
 
@@ -87,11 +89,34 @@ def test_silver_stream_equals_batch_and_replays(spark, feed, tmp_path):
     assert tables(out) == first
     run_silver(spark, feed, out, str(tmp_path / "cp2"))  # replay over the same tables
     assert tables(out) == first
+    for files in (2, 1000):  # replay with another split into batches
+        run_silver(spark, feed, out, str(tmp_path / f"cp-{files}"), files)
+        assert tables(out) == first
+    assert spark.read.parquet(f"{out}/bronze").count() == 120
     fresh = str(tmp_path / "silver2")
     run_silver(spark, feed, fresh, str(tmp_path / "cp3"))  # backfill elsewhere
     assert tables(fresh) == first
 
 
+def test_replay_after_a_kill_and_without_the_old_files(spark, feed, tmp_path):
+    out = str(tmp_path / "silver")
+    run_silver(spark, feed, out, str(tmp_path / "cp1"), 2)
+    want = {
+        t: rows_of(spark.read.parquet(f"{out}/{t}"), *SPEC.data_columns)
+        for t in ("valid", "quarantine", "bronze")
+    }
+    # killed before the last batch was stored as bronze: its silver rows are there
+    (last,) = glob.glob(f"{out}/bronze/run=*/batch_id=1")
+    shutil.rmtree(last)
+    run_silver(spark, feed, out, str(tmp_path / "cp2"), 1000)
+    # the first files are retired; a new checkpoint sees the last one only
+    for f in ("part_0.csv", "part_1.csv"):
+        os.remove(os.path.join(feed, f))
+    run_silver(spark, feed, out, str(tmp_path / "cp3"))
+    for t, rows in want.items():
+        assert rows_of(spark.read.parquet(f"{out}/{t}"), *SPEC.data_columns) == rows, t
+
+
 @pytest.fixture
 def events(spark, sf001, tmp_path):
     """The events table as three files in event order."""
