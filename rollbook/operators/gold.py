@@ -206,25 +206,34 @@ def location_pool(districts: DataFrame, n: int, base: str = "pincode_base") -> D
 
 
 def dense_location_month(
-    df: DataFrame, measures: Sequence[str], location: Sequence[str] = ("state", "district")
+    df: DataFrame,
+    measures: Sequence[str],
+    location: Sequence[str] = ("state", "district"),
+    first: str | None = None,
+    last: str | None = None,
 ) -> DataFrame:
-    """Every location in every month of the table's span; gaps are 0.
+    """Every location in every month of the span; gaps are 0.
 
-    The month spine is generated per location from the table's first and last
-    month, so no cross join takes place.
+    The span goes from ``first`` to ``last`` (``yyyy-MM``), by default those of the table; give
+    both where a stray date may stretch it. Each location's months lie in one row, so
+    neither a cross join nor a join with a month spine takes place.
     """
     monthly = _monthly(df, location, measures)
-    span = df.agg(
-        F.trunc(F.min("date"), "month").alias("lo"), F.trunc(F.max("date"), "month").alias("hi")
+    known = F.filter(
+        F.collect_list(F.struct("month", F.struct(*measures).alias("sums"))),
+        lambda x: x["month"].isNotNull(),
     )
-    s = span.select(F.struct("lo", "hi")).scalar()
-    months = F.sequence(s.getField("lo"), s.getField("hi"), F.expr("interval 1 month"))
-    spine = (
-        monthly.select(*location)
-        .distinct()
-        .select(*location, F.explode(months).alias("start"))
-        .select(*location, month_of("start").alias("month"))
+    by_location = monthly.groupBy(*location).agg(F.map_from_entries(known).alias("by_month"))
+
+    def edge(given: str | None, pick) -> Column:
+        month = F.lit(given) if given else monthly.agg(pick("month")).scalar()
+        return F.to_date(F.concat(month, F.lit("-01")))
+
+    months = F.sequence(edge(first, F.min), edge(last, F.max), F.expr("interval 1 month"))
+    month = month_of("start").alias("month")
+    filled = by_location.select(*location, "by_month", F.explode(months).alias("start")).select(
+        *location, month, F.col("by_month")[month_of("start")].alias("sums")
     )
-    return spine.join(monthly, [*location, "month"], "left").select(
-        *location, "month", *[F.coalesce(m, F.lit(0)).alias(m) for m in measures]
+    return filled.select(
+        *location, "month", *[F.coalesce(f"sums.{m}", F.lit(0)).alias(m) for m in measures]
     )
