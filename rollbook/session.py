@@ -1,9 +1,7 @@
-"""Session settings and the shared working folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -24,18 +22,3 @@ def build_session(app: str = "rollbook", master: str | None = None, **settings)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
-
-    Only a local session may go without it; it then gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="rollbook-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
