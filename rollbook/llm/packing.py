@@ -10,12 +10,15 @@ squared fills rises, so that nearly empty bins run empty.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +29,10 @@ END_ID = 2
 GROUP_PIECES = 16_384  # pieces packed in one task
 SEARCH_BINS = 256  # underfull bins that one round of the local search looks at
 ROUNDS = 8
-STEP_CHARS = 2_000_000  # code points tokenised at once, whole texts or parts of them
-KNOWN_WORDS = 1_000_000  # distinct words a task remembers
+STEP_CHARS = 1_000_000  # code points tokenised at once, whole texts or parts of them
+STEP_ROWS = 500  # rows whose texts are in memory as strings at once
+KNOWN_WORDS = 400_000  # distinct words a task remembers
+WORDS_AT_ONCE = 2_048  # given to the tokenizer in one call
 SAFE_CUT = re.compile(r"[A-Za-z](?= [A-Za-z])")
 FAST_CODES = 0x250  # code points whose class is looked up; texts with others take the plain way
 
@@ -154,7 +159,11 @@ class WordTokenizer:
         codes = np.concatenate(parts)
         starts = split_starts(codes, self.kinds, first)
         keys = self._hash(codes, starts)
-        words, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        order = np.argsort(keys)
+        new = np.append(True, keys[order[1:]] != keys[order[:-1]])
+        words, where = keys[order[new]], order[new]
+        inverse = np.empty(len(keys), dtype=np.int64)
+        inverse[order] = np.cumsum(new) - 1
         if not self._same(codes, starts, where[inverse]):  # a hash collision: the plain way
             text = codes.astype("<u4").tobytes()
             return [
@@ -181,7 +190,8 @@ class WordTokenizer:
     def _hash(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Polynomial hash of every word from one running sum over all characters."""
         lengths = np.diff(starts)
-        within = np.arange(len(codes)) - np.repeat(starts[:-1], lengths)
+        within = np.arange(len(codes), dtype=np.int32)
+        within -= np.repeat(starts[:-1].astype(np.int32), lengths)
         top = int(within.max()) + 1
         powers = np.full(top, self.base, dtype=np.uint64)
         powers[0] = 1
@@ -197,8 +207,41 @@ class WordTokenizer:
         lengths = np.diff(starts)
         if not np.array_equal(lengths, lengths[twin]):
             return False
-        shift = np.repeat(starts[twin] - starts[:-1], lengths)
-        return np.array_equal(codes, codes[np.arange(len(codes)) + shift])
+        shift = np.repeat((starts[twin] - starts[:-1]).astype(np.int32), lengths)
+        shift += np.arange(len(codes), dtype=np.int32)
+        return np.array_equal(codes, codes[shift])
+
+    def _word_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, joined, and how many each has.
+
+        Words of a space and letters are given to the tokenizer many at a time, as one
+        text, which it splits into the same words again.
+        """
+        joins = np.fromiter((t[0] == " " and t[1:].isalpha() for t in texts), bool, len(texts))
+        found: list[np.ndarray] = [np.zeros(0, np.uint32)]
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+        many = int(joins.sum())
+        for at in range(0, many, WORDS_AT_ONCE):
+            some = order[at : min(many, at + WORDS_AT_ONCE)]
+            e = self.plain.encode("".join([texts[i] for i in some]), add_special_tokens=False)
+            counts = np.bincount(np.array(e.word_ids))
+            if len(counts) != len(some):
+                raise ValueError("the tokenizer splits joined words otherwise")
+            sizes[some] = counts
+            found.append(np.array(e.ids, dtype=np.uint32))
+        for at in range(many, len(texts), WORDS_AT_ONCE):
+            some = order[at : at + WORDS_AT_ONCE]
+            part = self.plain.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)
+            ids = [e.ids for e in part]
+            sizes[some] = [len(x) for x in ids]
+            found.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+        ids = np.concatenate(found)
+        # back to the order of the words
+        begin = np.zeros(len(texts), dtype=np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        shift = np.cumsum(sizes) - sizes
+        return ids[np.repeat(begin - shift, sizes) + np.arange(len(ids))], sizes
 
     def _known_same(
         self, codes: np.ndarray, starts: np.ndarray, words: np.ndarray, where: np.ndarray
@@ -228,26 +271,23 @@ class WordTokenizer:
         new = ~np.isin(words, self.keys, assume_unique=True)
         if not new.any():
             return
-        spell = codes.astype("<u4").tobytes()
-        texts = [
-            spell[4 * a : 4 * b].decode("utf-32-le", "surrogatepass")
-            for a, b in zip(starts[where[new]], starts[where[new] + 1], strict=True)
-        ]
-        found = [e.ids for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.array([len(f) for f in found])
-        at = len(self.ids) + np.cumsum(sizes) - sizes
-        length = np.array([len(t) for t in texts])
-        spelled_at = len(self.spelled) + np.cumsum(length) - length
-        spelled = [codes[a : a + n] for a, n in zip(starts[where[new]], length, strict=True)]
+        at, stop = starts[where[new]], starts[where[new] + 1]
+        text = codes.tobytes().decode("utf-32-le", "surrogatepass")
+        texts = [text[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]
+        ids, sizes = self._word_ids(texts)
+        ids_at = len(self.ids) + np.cumsum(sizes) - sizes
+        length = stop - at
+        shift = np.cumsum(length) - length
+        spelled = codes[np.repeat(at - shift, length) + np.arange(int(length.sum()))]
         keys = np.concatenate([self.keys, words[new]])
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
+        self.at = np.concatenate([self.at, ids_at])[order]
         self.size = np.concatenate([self.size, sizes])[order]
-        self.ids = np.concatenate([self.ids, *[np.array(f, dtype=np.uint32) for f in found]])
-        self.spelled_at = np.concatenate([self.spelled_at, spelled_at])[order]
+        self.ids = np.concatenate([self.ids, ids])
+        self.spelled_at = np.concatenate([self.spelled_at, len(self.spelled) + shift])[order]
         self.spelled_size = np.concatenate([self.spelled_size, length])[order]
-        self.spelled = np.concatenate([self.spelled, *spelled])
+        self.spelled = np.concatenate([self.spelled, spelled])
 
 
 def safe_parts(text: str) -> Iterator[str]:
@@ -363,6 +403,33 @@ def _exchange(
     return choice
 
 
+def _cut(
+    carried: pa.RecordBatch, encoded: list[np.ndarray], length: int, with_ids: bool
+) -> pa.RecordBatch:
+    """The pieces of each row's ids: all of ``length`` tokens, but for the first."""
+    row, piece, start, size, crc, ids = [], [], [], [], [], []
+    for i, found in enumerate(encoded):
+        every = np.append(found, np.uint32(END_ID)).astype("<u4")
+        head = len(every) - (-(-len(every) // length) - 1) * length
+        cuts = [0, *range(head, len(every) + 1, length)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            row.append(i)
+            piece.append(k)
+            start.append(a)
+            size.append(b - a)
+            crc.append(zlib.crc32(every[a:b].tobytes()))
+            if with_ids:
+                ids.append(every[a:b].astype(np.int32))
+    out = carried.take(pa.array(row, pa.int64()))
+    columns = [*out.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+               pa.array(size, pa.int64()), pa.array(crc, pa.int64())]
+    names = [*out.schema.names, "piece", "start", "length", "ids_crc32"]
+    if with_ids:
+        columns.append(pa.array(ids, pa.list_(pa.int32())))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
 def tokenise(
     docs: DataFrame, tokenizer: str, length: int = LENGTH, *carry: Column, with_ids: bool = False
 ) -> DataFrame:
@@ -380,33 +447,17 @@ def tokenise(
     carried = rows.schema.fields[:-1]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores in use already
         words = WordTokenizer(tokenizer)
         for batch in batches:
-            row, piece, start, size, crc, ids = [], [], [], [], [], []
-            for i, found in enumerate(words.encode(batch["text_"].tolist())):
-                every = np.append(found, np.uint32(END_ID)).astype("<u4")
-                head = len(every) - (-(-len(every) // length) - 1) * length
-                cuts = [0, *range(head, len(every) + 1, length)]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    row.append(i)
-                    piece.append(k)
-                    start.append(a)
-                    size.append(b - a)
-                    crc.append(zlib.crc32(every[a:b].tobytes()))
-                    if with_ids:
-                        ids.append(every[a:b].astype(np.int32))
-            out = batch[[f.name for f in carried]].iloc[row].reset_index(drop=True)
-            out["piece"] = np.array(piece, dtype=np.int32)
-            out["start"] = np.array(start, dtype=np.int64)
-            out["length"] = np.array(size, dtype=np.int64)
-            out["ids_crc32"] = np.array(crc, dtype=np.int64)
-            if with_ids:
-                out["ids"] = ids
-            yield out
+            for at in range(0, batch.num_rows, STEP_ROWS):
+                part = batch.slice(at, STEP_ROWS)
+                texts = part.column("text_").to_pylist()
+                yield _cut(part.drop_columns("text_"), words.encode(texts), length, with_ids)
 
     more = ", ids array<int>" if with_ids else ""
-    return rows.mapInPandas(
+    return rows.mapInArrow(
         run, f"{columns}, piece int, start long, length long, ids_crc32 long{more}"
     )
 
