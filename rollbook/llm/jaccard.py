@@ -7,9 +7,12 @@ indexed as combinations of two of one class. The prefix is so long that two simi
 always share a signature: with ``slack`` tokens of a set missing in the other, it holds more
 than ``slack`` rare tokens plus frequent ones beyond the first of each class.
 
-Sets that share a signature form candidate groups (star edges, never all pairs). Each group
-is verified exactly with its token sets; groups beyond a size are cut into blocks and
-verified block by block. What leaves a task is a forest of verified links, not all pairs.
+Sets that share a signature and have fitting sizes are candidates. Where few sets share it,
+they are paired and screened by a sketch of counts, whose distance is never above the true
+one; where many do, they hang on the smallest of them (a star, never all pairs). Candidates
+that are connected are verified together with their whole token sets; bundles beyond a size
+are cut into blocks and verified block by block. What leaves a task is a forest of verified
+links.
 """
 
 from __future__ import annotations
@@ -27,9 +30,11 @@ from rollbook.llm.graph import components
 
 NGRAM = 3
 PERCENT = 90
-FREQUENT = 40  # sets seen to share a token, from which it counts as frequent
-FREQUENT_MOST = 1 << 17  # frequent tokens at most; the most frequent ones: bounds the broadcast
+FREQUENT = 16  # sets seen to share a token, from which it counts as frequent
+FREQUENT_MOST = 1 << 20  # frequent tokens at most; the most frequent ones: bounds the broadcast
 CHUNK = 1 << 21  # bytes of text per numpy pass
+PAIRED = 128  # up to so many sets of a signature are paired one by one
+CELLS = 256  # of the count sketch that screens pairs
 BLOCK_SETS = 1_500
 BLOCK_TOKENS = 1_500_000
 
@@ -205,11 +210,11 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 def _profile(docs: DataFrame, ngram: int) -> DataFrame:
     """Rows of two kinds: one per document (key, size and two hashes of its set), and one
     per token that several sets of one chunk share (token in h1, sets in n)."""
-    schema = "doc_id long, n long, h1 long, h2 long"
+    schema = "doc_id long, n long, h1 long, h2 long, sketch binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n, h1, h2 = [], [], [], []
+            ids, n, h1, h2, sketch = [], [], [], [], []
             tokens: list[np.ndarray] = []
             held = 0
             keys = batch.column("doc_id").to_pylist()
@@ -218,6 +223,8 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
                 n.append(len(s))
                 h1.append(int(mix64(s + _PLACES[3]).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix64(s ^ _PLACES[4]).sum(dtype=np.uint64).astype(np.int64)))
+                cells = np.bincount((s >> np.uint64(11)).astype(np.int64) % CELLS, minlength=CELLS)
+                sketch.append(np.minimum(cells, 255).astype(np.uint8).tobytes())
                 tokens.append(s)
                 held += len(s)
                 if held > CHUNK:
@@ -227,7 +234,8 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
                 yield _frequent(tokens)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()),
-                 "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64())}
+                 "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()),
+                 "sketch": pa.array(sketch, pa.binary())}
             )
 
     def _frequent(tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -236,12 +244,75 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
         nothing = pa.nulls(int(often.sum()), pa.int64())
         return pa.RecordBatch.from_pydict(
             {"doc_id": nothing, "n": pa.array(times[often]),
-             "h1": pa.array(token[often].astype(np.int64)), "h2": nothing}
+             "h1": pa.array(token[often].astype(np.int64)), "h2": nothing,
+             "sketch": pa.nulls(len(nothing), pa.binary())}
         )
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _paired(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs under signatures of few rows whose sizes and sketches allow a link."""
+    few = posted.filter(F.col("rows") <= PAIRED).select("sig", "h1", "n")
+    one = few.select("sig", F.col("h1").alias("a"), F.col("n").alias("na"))
+    two = few.select("sig", F.col("h1").alias("b"), F.col("n").alias("nb"))
+    fits = (F.col("a") < F.col("b")) & (
+        F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    )
+    pairs = one.join(two, "sig").filter(fits).select("a", "b").distinct()
+    looks = sets.groupBy("h1").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    both = pairs.join(
+        looks.select(F.col("h1").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a"
+    ).join(
+        looks.select(F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b"
+    )
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sa, sb = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
+                .reshape(-1, CELLS)
+                .astype(np.int16)
+                for c in ("sa", "sb")
+            )
+            apart = np.abs(sa - sb).sum(axis=1, dtype=np.int64)
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            close = pa.array(apart * (100 + percent) <= total * (100 - percent))
+            yield batch.select(["a", "b"]).filter(close)
+
+    return both.mapInArrow(screen, "a long, b long")
+
+
+def _starred(posted: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets under signatures of many rows, each hung on the smallest of like size.
+
+    Sizes are cut into steps of the ratio that links allow; a set is listed under its step
+    and the next, so sets of fitting sizes share one.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) + 1e-9))
+    many = posted.filter(F.col("rows") > PAIRED).select(
+        "sig", "h1", F.explode(F.array(step, step + 1)).alias("step")
+    )
+    low = many.groupBy("sig", "step").agg(F.min("h1").alias("b"))
+    return many.join(low, ["sig", "step"]).select(F.col("h1").alias("a"), "b")
+
+
+def _most_frequent(often: DataFrame) -> np.ndarray:
+    """Sorted tokens from the highest steps of frequency that hold FREQUENT_MOST at most.
+
+    The driver receives a row per step, then those tokens.
+    """
+    steps = often.groupBy("step").agg(F.count(F.lit(1)).alias("tokens")).toPandas()
+    steps = steps.sort_values("step", ascending=False)
+    fits = steps[steps["tokens"].cumsum() <= FREQUENT_MOST]
+    if fits.empty:
+        return np.zeros(0, np.uint64)
+    tokens = often.filter(F.col("step") >= int(fits["step"].min())).select("h1").toPandas()
+    return np.sort(tokens["h1"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
 def similar_sets(
     docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
@@ -264,40 +335,45 @@ def similar_sets(
         .groupBy("h1")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= FREQUENT)
-        .orderBy(F.desc("n"), "h1")
-        .limit(FREQUENT_MOST)
-        .select("h1")
+        .withColumn("step", F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int"))
     )
-    # at most FREQUENT_MOST numbers
-    common = np.sort(often.toPandas()["h1"].to_numpy(dtype=np.int64).view(np.uint64))
-    frequent = spark.sparkContext.broadcast(common)
+    frequent = spark.sparkContext.broadcast(_most_frequent(keep(often, "frequent-tokens")))
 
     same = of_docs.filter(F.col("n") > 0).groupBy("h1", "h2", "n")
     classes = keep(same.agg(F.min("doc_id").alias("class_id")), "set-classes")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # copies of a set within a task need no second signature
         for batch in batches:
-            sigs, owners = [], []
+            sigs, owners, sizes = [], [], []
+            if len(seen) > CHUNK:
+                seen.clear()
             for s in shingle_sets(batch.column("text"), ngram):
+                owner = mix64(s + _PLACES[3]).sum(dtype=np.uint64)
+                if int(owner) in seen:
+                    continue
+                seen.add(int(owner))
                 found = signatures(s, frequent.value, percent)
                 if len(found):
                     sigs.append(found)
-                    owner = mix64(s + _PLACES[3]).sum(dtype=np.uint64)
                     owners.append(np.full(len(found), owner, dtype=np.uint64))
+                    sizes.append(np.full(len(found), len(s), dtype=np.int64))
             if sigs:
                 yield pa.RecordBatch.from_pydict(
                     {"sig": pa.array(np.concatenate(sigs).view(np.int64)),
-                     "h1": pa.array(np.concatenate(owners).view(np.int64))}
+                     "h1": pa.array(np.concatenate(owners).view(np.int64)),
+                     "n": pa.array(np.concatenate(sizes))}
                 )
 
-    signed = docs.mapInArrow(sign, "sig long, h1 long")
+    signed = docs.mapInArrow(sign, "sig long, h1 long, n long")
     shared = (
         signed.groupBy("sig")
-        .agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+        .agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("rows"))
         .filter(F.col("low") != F.col("high"))
-        .select("sig", "low")
+        .select("sig", "rows")
     )
-    near = signed.join(shared, "sig").select(F.col("h1").alias("a"), F.col("low").alias("b"))
+    posted = keep(signed.join(shared, "sig"), "postings")
+    near = _paired(posted, of_docs, percent).union(_starred(posted, percent))
     grouped = keep(
         components(near).withColumnsRenamed({"node": "h1", "root": "bundle"}), "set-bundles"
     )
