@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.llm.common import keep
+
 KINDS = ("email", "ip", "card", "phone", "secret")  # in the order of spans that start together
 OTHER = len(KINDS)  # label of a token that is no personal data
 
@@ -162,9 +164,10 @@ class Field:
 
 
 def train_field(docs: DataFrame, most: int = TRAIN_TOKENS) -> Field:
-    """Field fitted on at most ``most`` tokens of all documents, those of the smallest hash.
+    """Field fitted on at most ``most`` distinct tokens in their surroundings, from all documents.
 
-    The driver receives that many rows of a few numbers; no text leaves the executors.
+    Those of the smallest hash are taken. The driver receives about that many rows of a
+    few numbers; no text leaves the executors.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,11 +187,20 @@ def train_field(docs: DataFrame, most: int = TRAIN_TOKENS) -> Field:
                     last, before = end, label
             yield pd.DataFrame(rows, columns=["spot", "label", "near", "features"])
 
-    sample = (
+    columns = ["spot", "label", "near", "features"]
+    tokens = keep(
         docs.select("text")
         .filter(F.col("text").isNotNull())
         .mapInPandas(run, "spot long, label int, near int, features array<int>")
-        .orderBy("spot", "label", "near", "features")
+        .groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("n")),
+        "field-tokens",
+    )
+    # the hash is even, so about ``most`` tokens lie below this share of its range
+    share = min(1.0, most / max(1, tokens.count()))
+    sample = (
+        tokens.filter(F.col("spot") < int(share * 2**32))
+        .orderBy(*columns)
         .limit(most)
         .toPandas()
     )
