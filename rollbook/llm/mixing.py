@@ -18,7 +18,7 @@ from rollbook.llm.common import keep, words
 SHARE = 1.5  # of all sizes that the mix has
 WEIGHTS = (5, 2, 1)  # of the sources in their order, repeating
 MOST = 2.0  # times its size that a source may be taken
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_000
 SEED = 17
 
 
@@ -88,6 +88,11 @@ def quality_weights(labels: DataFrame) -> DataFrame:
     )
 
 
+def _named(source: Column) -> Column:
+    """Text that tells sources apart, a null source included."""
+    return F.coalesce(F.concat(F.lit("source "), source), F.lit("none"))
+
+
 def mix(sized: DataFrame, weights_by_doc: DataFrame | None = None, **options) -> DataFrame:
     """One row per row of ``sized`` with source_size, target, ``copies`` and ``taken``.
 
@@ -104,8 +109,9 @@ def mix(sized: DataFrame, weights_by_doc: DataFrame | None = None, **options) ->
 
     rows = sized
     if weights_by_doc is not None:
-        rows = rows.join(weights_by_doc, "doc_id", "left")
-        weight = F.coalesce("weight", F.lit(1.0))
+        given = weights_by_doc.select("doc_id", F.col("weight").alias("weight_"))
+        rows = rows.join(given, "doc_id", "left")
+        weight = F.coalesce("weight_", F.lit(1.0))
     else:
         weight = F.lit(1.0)
     key = draw_key(F.col("doc_id"), weight)
@@ -113,28 +119,24 @@ def mix(sized: DataFrame, weights_by_doc: DataFrame | None = None, **options) ->
     part = F.floor((1 - F.exp(-key)) * ranges).cast("int")
     keyed = rows.select(
         *[F.col(f"`{c}`") for c in sized.columns],
+        _named(F.col("source")).alias("name_"),
         key.alias("key_"),
         F.least(part, F.lit(ranges - 1)).alias("range_"),
     )
-    by_range = Window.partitionBy("source").orderBy("range_")
+    by_range = Window.partitionBy("name_").orderBy("range_")
     starts = (
-        keyed.groupBy("source", "range_")
+        keyed.groupBy("name_", "range_")
         .agg(F.sum("size").alias("in_range_"))
         .withColumn("start_", F.sum("in_range_").over(by_range) - F.col("in_range_"))
         .drop("in_range_")
     )
-    plan = starts.alias("s").join(
-        targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))
-    ).select(
-        F.col("s.source").alias("source_of_"), F.col("range_").alias("range_of_"),
-        "start_", "source_size", "target",
-    )
-    within = Window.partitionBy("source", "range_").orderBy("key_", "doc_id", "size")
-    running = keyed.withColumn("upto_", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = running.join(
-        plan,
-        F.col("source").eqNullSafe(F.col("source_of_")) & (F.col("range_") == F.col("range_of_")),
+    plan = starts.join(
+        targets.select(_named(F.col("source")).alias("name_"), "source_size", "target"), "name_"
     )
+    within = Window.partitionBy("name_", "range_").orderBy("key_", "doc_id", "size")
+    upto = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    # the join has the window's keys, so rows are shuffled for both at once
+    joined = keyed.withColumn("upto_", upto).join(plan, ["name_", "range_"])
     epochs = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
     rest = F.col("target") - epochs * F.col("source_size")
     middle = F.col("start_") + F.col("upto_") - F.col("size") / 2
