@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollbook.llm import jaccard, mixing, packing, pii, quality
-from rollbook.llm.common import docs_table, shared_dir
+from rollbook.llm.common import docs_table, keep, shared_dir
 from rollbook.llm.queries import tokenizer_file
 
 
@@ -38,13 +38,28 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their targets; a document is there as often as the mix takes it."""
+    """Sources mixed to their targets; a document is there as often as the mix takes it.
+
+    The mix is drawn without the texts, which are shuffled once, to meet its decisions.
+    Rows that agree in id, source and size share what the mix takes of them.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_")
-    sized = mixing.sizes(docs, F.col("doc_id"), F.col("source"), row)
+    key = F.xxhash64("doc_id", "source", "size").alias("key_")
+    sized = keep(mixing.sizes(docs), "sizes")
     mixed = mixing.mix(sized, mixing.quality_weights(labels))
-    times = F.array_repeat(F.lit(True), F.col("copies"))
-    return mixed.select("row_", F.explode(times).alias("copy_")).select("row_.*")
+    drawn = (
+        mixed.groupBy(key)
+        .agg(F.sum("copies").alias("copies_"), F.count(F.lit(1)).alias("rows_"))
+        .filter(F.col("copies_") > 0)
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_")
+    keyed = mixing.sizes(docs, F.col("doc_id"), F.col("source"), row).select(key, "row_")
+    place = F.row_number().over(Window.partitionBy("key_").orderBy("key_"))
+    each = F.floor(F.col("copies_") / F.col("rows_"))
+    more = (F.col("place_") <= F.col("copies_") % F.col("rows_")).cast("int")
+    times = F.array_repeat(F.lit(True), (each + more).cast("int"))
+    met = keyed.withColumn("place_", place).join(drawn, "key_")
+    return met.select("row_", F.explode(times).alias("copy_")).select("row_.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -221,8 +221,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, that ``quality_verdicts`` keeps.
 
-    The verdict is computed where the text is, so no text is shuffled.
+    Texts are measured once and kept in the shared folder with their measures; the
+    cutoffs read the measures only, and no text is shuffled.
     """
-    limits = keep(cutoffs(keep(measured(docs), "measures"), labels, **options), "cutoffs")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_")
-    return judged(measured(docs, row), limits).filter("kept").select("row_.*")
+    texts = keep(measured(docs, F.col("doc_id"), row), "measures")
+    return judged(texts, cutoffs(texts, labels, **options)).filter("kept").select("row_.*")
