@@ -13,7 +13,10 @@ its context, all strings that hold it.
    polynomial hashes. Neighbours with a common extension of a whole string are checked
    byte by byte, and take the smallest id of their run.
 
-Hot strings are safe: a task passes on only the smallest document of each context.
+Hot strings are safe: a task passes on only the smallest document of each context, and an
+anchor that has many contexts within a task is asked for at once, so that few rows of it
+meet. Anchors with very many contexts overall are not sorted in one task: their strings are
+grouped by themselves.
 """
 
 from __future__ import annotations
@@ -34,7 +37,11 @@ SIDE = WINDOW - GRAM  # bytes of a context on either side of its anchor
 STEP = 1 << 20  # bytes per numpy pass
 OVERLAP = 4 * WINDOW  # of the parts of a text that is longer than that
 BUCKET_ANCHORS = 300_000
-CELL_CONTEXTS = 20_000
+MANY_CONTEXTS = 64  # of one anchor within a task, from which they are asked for at once
+HOT_CONTEXTS = 50_000  # of one anchor overall, from which its strings are grouped by themselves
+MARK = 0xFFFFFFFF  # place of a row that only tells that an anchor has other contexts
+DEAL_ROWS = 2_500  # documents whose anchors are in memory at once
+CELL_CONTEXTS = 8_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 NONE = np.uint64(2**64 - 1)
@@ -118,6 +125,8 @@ def text_anchors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 
 ANCHOR = np.dtype([("gram", "<u4"), ("context", "<u8"), ("doc", "<i8"), ("at", "<u4")])
 GONE = np.dtype([("doc", "<i8"), ("at", "<u4")])
+ASKED = np.dtype([("doc", "<i8"), ("at", "<u4"), ("look", "<i8")])
+KINDS = {"anchor": ANCHOR, "gone": GONE, "asked": ASKED}
 
 
 def _firsts(gram: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,34 +139,49 @@ def _firsts(gram: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.
 
 
 def _deal(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, gone, data): packed anchors by bucket of their hash.
+    """(bucket, kind, data): packed anchors by bucket of their hash.
 
     Of the documents of a task that share a context only the smallest is passed on as an
-    anchor; the others lose the context whatever is found elsewhere (``gone``).
+    anchor; the others lose the context whatever is found elsewhere (``gone``). Where an
+    anchor has many contexts they are ``asked`` for a close look, and one mark goes on.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, DEAL_ROWS) for b in batches for i in range(0, b.num_rows, DEAL_ROWS)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             parts = list(text_anchors(batch.column("text")))
             if not sum(len(p[0]) for p in parts):
                 continue
             row, at, gram, context = (np.concatenate(p) for p in zip(*parts, strict=True))
             doc = ids[row]
-            order, run_of, _ = _firsts(gram, context, doc)
+            order, run_of, gram_of = _firsts(gram, context, doc)
             doc, at, gram, context = doc[order], at[order], gram[order], context[order]
-            first = doc[np.flatnonzero(np.append(True, run_of[1:] != run_of[:-1]))][run_of]
-            kept = doc == first
-
-            out = np.empty(int(kept.sum()), dtype=ANCHOR)
-            out["gram"], out["context"] = gram[kept] & np.uint64(0xFFFFFFFF), context[kept]
-            out["doc"], out["at"] = doc[kept], at[kept]
-            yield _pack(out, ((gram[kept] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), False)
+            heads = np.flatnonzero(np.append(True, run_of[1:] != run_of[:-1]))
+            kept = doc == doc[heads][run_of]
+            many = (np.bincount(gram_of[heads]) > MANY_CONTEXTS)[gram_of]
+            half, bucket = gram & np.uint64(0xFFFFFFFF), (gram >> np.uint64(32)) % np.uint64(buckets)
+
+            marks = np.flatnonzero(many & np.append(True, gram_of[1:] != gram_of[:-1]))
+            pass_on = np.concatenate([np.flatnonzero(kept & ~many), marks])
+            out = np.empty(len(pass_on), dtype=ANCHOR)
+            out["gram"], out["context"] = half[pass_on], context[pass_on]
+            out["doc"], out["at"] = doc[pass_on], at[pass_on]
+            if len(marks):
+                out["context"][-len(marks) :] = 0
+                out["at"][-len(marks) :] = MARK
+                least = np.minimum.reduceat(doc, np.flatnonzero(np.append(True, gram_of[1:] != gram_of[:-1])))
+                out["doc"][-len(marks) :] = least[gram_of[marks]]
+            yield _pack(out, bucket[pass_on].astype(np.int32), "anchor")
             gone = np.empty(int((~kept).sum()), dtype=GONE)
             gone["doc"], gone["at"] = doc[~kept], at[~kept]
-            yield _pack(gone, (gone["doc"] % buckets).astype(np.int32), True)
-
-    def _pack(rows: np.ndarray, bucket: np.ndarray, gone: bool) -> pa.RecordBatch:
+            yield _pack(gone, (gone["doc"] % buckets).astype(np.int32), "gone")
+            ask = kept & many
+            asked = np.empty(int(ask.sum()), dtype=ASKED)
+            asked["doc"], asked["at"] = doc[ask], at[ask]
+            asked["look"] = half[ask].astype(np.int64) + (bucket[ask].astype(np.int64) << 32)
+            yield _pack(asked, (asked["doc"] % buckets).astype(np.int32), "asked")
+
+    def _pack(rows: np.ndarray, bucket: np.ndarray, kind: str) -> pa.RecordBatch:
         order = np.argsort(bucket, kind="stable")
         found, start = np.unique(bucket[order], return_index=True)
         # column by column, so that the shuffle's compression finds like bytes together
@@ -166,11 +190,11 @@ def _deal(docs: DataFrame, buckets: int) -> DataFrame:
             for part in np.split(rows[order], start[1:])
         ] if len(found) else []
         return pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.int32()), pa.array([gone] * len(found), pa.bool_()), pa.array(blobs, pa.binary())],
-            ["bucket", "gone", "data"],
+            [pa.array(found, pa.int32()), pa.array([kind] * len(found), pa.string()), pa.array(blobs, pa.binary())],
+            ["bucket", "kind", "data"],
         )
 
-    return docs.mapInArrow(run, "bucket int, gone boolean, data binary")
+    return docs.mapInArrow(run, "bucket int, kind string, data binary")
 
 
 def _unpack(blobs: list[bytes], dtype: np.dtype) -> dict[str, np.ndarray]:
@@ -187,22 +211,22 @@ def _settle(group: pa.Table) -> pa.Table:
     """One bucket: (doc_id, at, look): contexts that go, and with ``look`` the anchor's hash
     where the first document of a context needs the close look."""
     bucket = group.column("bucket")[0].as_py()
-    parts = {True: [], False: []}
-    for gone, data in zip(group.column("gone").to_pylist(), group.column("data").to_pylist(), strict=True):
-        parts[gone].append(data)
-    gone = _unpack(parts[True], GONE)
-    x = _unpack(parts[False], ANCHOR)
-    docs, ats, looks = [gone["doc"]], [gone["at"]], [np.full(len(gone["doc"]), -1)]
+    blobs: dict[str, list[bytes]] = {kind: [] for kind in KINDS}
+    for kind, data in zip(group.column("kind").to_pylist(), group.column("data").to_pylist(), strict=True):
+        blobs[kind].append(data)
+    x, gone, asked = (_unpack(blobs[kind], dtype) for kind, dtype in KINDS.items())
+    docs, ats = [gone["doc"], asked["doc"]], [gone["at"], asked["at"]]
+    looks = [np.full(len(gone["doc"]), -1), asked["look"]]
     if len(x["doc"]):
         order, run_of, gram_of = _firsts(x["gram"], x["context"], x["doc"])
         doc, at = x["doc"][order], x["at"][order]
         heads = np.flatnonzero(np.append(True, run_of[1:] != run_of[:-1]))
         first = doc[heads][run_of]
-        goes = doc > first
+        goes = (doc > first) & (at != MARK)
         gram_heads = np.flatnonzero(np.append(True, gram_of[heads][1:] != gram_of[heads][:-1]))
         low = np.minimum.reduceat(doc[heads], gram_heads)
         high = np.maximum.reduceat(doc[heads], gram_heads)
-        ask = ~goes & (low != high)[gram_of]
+        ask = ~goes & (low != high)[gram_of] & (at != MARK)
         # the bucket and the gram's other half name the anchor's hash
         name = x["gram"][order].astype(np.int64) + (bucket << 32)
         docs += [doc[goes], doc[ask]]
@@ -220,25 +244,35 @@ def _settle(group: pa.Table) -> pa.Table:
 
 def common_extension(hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Length of the common extension of suffix pairs, up to ``most``: binary search on hashes."""
-    low, high = np.zeros(len(a), np.int64), np.full(len(a), most)
+    found = np.where(hashes(a, a + most) == hashes(b, b + most), most, 0)
+    rest = np.flatnonzero(found < most)
+    a, b = a[rest], b[rest]
+    low, high = np.zeros(len(rest), np.int64), np.full(len(rest), most - 1)
     while (low < high).any():
         middle = (low + high + 1) // 2
         same = hashes(a, a + middle) == hashes(b, b + middle)
         low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-    return low
+    found[rest] = low
+    return found
 
 
 def suffix_order(data: np.ndarray, hashes: PrefixHashes, at: np.ndarray, group: np.ndarray, most: int) -> np.ndarray:
     """Order of the suffixes at ``at`` by ``group``, then by their first ``most`` bytes.
 
-    Suffixes are first set in order of group and first eight bytes; those still tied are
+    Suffixes are first set in order of group and first sixteen bytes; those still tied are
     merge sorted, all runs of a width at once. A comparison costs the logarithm of ``most``.
     """
-    key = np.zeros(len(at), dtype=np.uint64)
-    for j in range(8):
-        key = (key << np.uint64(8)) | data[at + j].astype(np.uint64)
-    order = np.lexsort((key, group))
-    new = np.append(True, (key[order][1:] != key[order][:-1]) | (group[order][1:] != group[order][:-1]))
+    keys = []
+    for begin in (0, 8):
+        key = np.zeros(len(at), dtype=np.uint64)
+        for j in range(begin, begin + 8):
+            key = (key << np.uint64(8)) | data[at + j].astype(np.uint64)
+        keys.append(key)
+    order = np.lexsort((keys[1], keys[0], group))
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for column in (*keys, group):
+        new[1:] |= column[order[1:]] != column[order[:-1]]
     run = np.cumsum(new) - 1
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(order)))
@@ -366,6 +400,25 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _strings_of(contexts: DataFrame) -> DataFrame:
+    """(doc_id, low, high) from contexts of hot anchors: every string is a row, the smallest
+    document of equal ones is found with partial minima, so no anchor meets in one task."""
+    last = F.length("context") - WINDOW
+    strings = contexts.filter(last >= 0).select(
+        "doc_id", "low", "context", F.explode(F.sequence(F.lit(0), last)).alias("shift")
+    ).select(
+        "doc_id",
+        (F.col("low") + F.col("shift")).alias("low"),
+        F.substring("context", F.col("shift") + 1, F.lit(WINDOW)).alias("string"),
+    )
+    first = strings.groupBy("string").agg(F.min("doc_id").alias("first"))
+    return (
+        strings.join(first, "string")
+        .filter(F.col("doc_id") > F.col("first"))
+        .select("doc_id", "low", (F.col("low") + WINDOW).alias("high"))
+    )
+
+
 def covered(size: int, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, int]:
     """Which bytes of a text lie in some stretch, and in how many runs they lie."""
     edge = np.zeros(size + 1, dtype=np.int32)
@@ -398,10 +451,18 @@ def repeats(docs: DataFrame) -> DataFrame:
     contexts = texts.join(by_doc, "doc_id").mapInArrow(
         _contexts, "look long, doc_id long, low long, side long, context binary"
     )
+    hot = keep(
+        asks.groupBy("look").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_CONTEXTS),
+        "repeat-hot",
+    ).select("look")
+    many = not hot.isEmpty()
+    sorted_ = contexts.join(hot, "look", "left_anti") if many else contexts
     looked = (
-        contexts.groupBy(F.pmod(F.xxhash64("look"), F.lit(cells)))
+        sorted_.groupBy(F.pmod(F.xxhash64("look"), F.lit(cells)))
         .applyInArrow(_close_look, "doc_id long, low long, high long")
     )
+    if many:
+        looked = looked.unionByName(_strings_of(contexts.join(hot, "look")))
     whole = settled.filter(F.col("look").isNull()).select(
         "doc_id",
         F.greatest(F.lit(0), F.col("at") - SIDE).cast("long").alias("low"),

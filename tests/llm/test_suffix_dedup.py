@@ -44,8 +44,13 @@ def tangled(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed, bucket, step", [(1, 300_000, 1 << 20), (2, 50, 1 << 10), (3, 500, 256)])
-def test_against_brute_force(spark, monkeypatch, seed, bucket, step):
+@pytest.mark.parametrize(
+    "seed, bucket, step, many, hot",
+    [(1, 300_000, 1 << 20, 64, 50_000), (2, 50, 1 << 10, 2, 50_000), (3, 500, 256, 1, 3), (4, 50, 256, 64, 2)],
+)
+def test_against_brute_force(spark, monkeypatch, seed, bucket, step, many, hot):
+    monkeypatch.setattr(suffix_dedup, "MANY_CONTEXTS", many)
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
     monkeypatch.setattr(suffix_dedup, "BUCKET_ANCHORS", bucket)
     monkeypatch.setattr(suffix_dedup, "STEP", step)
     texts = tangled(seed)
