@@ -3,8 +3,9 @@
 Exact rules find e-mail addresses, IP addresses, card numbers and phone numbers. A random
 field over the tokens with a digit or an at sign labels what the rules alone miss: each
 token has a potential from its shape and its neighbours, neighbouring tokens share one, and
-so do repeated tokens of a document, however far apart (the skip edges). Labels come from
-loopy message passing over the whole document. The field is trained here, on the rules'
+so do repeated tokens of a document, however far apart and however many: all repeats of a
+token meet in one shared node (the skip edges). Labels come from loopy message passing over
+the whole document. The field is trained here, on the rules'
 labels and on secrets that are assigned to a telling name.
 """
 
@@ -45,7 +46,8 @@ TRAIN_TOKENS = 20_000  # bound of the labelled sample that the field is fitted o
 EPOCHS = 60
 NEIGHBOUR_GAP = 24  # code points between tokens that count as neighbours
 SKIP_STRENGTH = 3.0  # log-odds by which repeated tokens prefer one label
-ROUNDS = 12
+ROUNDS = 1_000  # of messages that do not settle; others stop by themselves
+SETTLED = 1e-4  # largest change of a message that counts as settled
 SURE = 0.9  # least marginal probability of a span that the field adds
 CONTEXT = 40
 
@@ -237,18 +239,37 @@ def fit_field(found: np.ndarray, labels: np.ndarray, near: np.ndarray) -> Field:
     return Field(weights, np.clip(gain, -1.0, 1.0))
 
 
-def marginals(field: Field, found: np.ndarray, chain: np.ndarray, skips: np.ndarray) -> np.ndarray:
+def half_link(skip: float, kinds: int) -> float:
+    """Strength of a link of which two in a row tie their ends as one of strength ``skip``."""
+    tie = np.sqrt(np.expm1(skip) / (np.expm1(skip) + kinds))
+    return float(np.log1p(tie * (kinds - 1)) - np.log1p(-tie))
+
+
+def marginals(
+    field: Field, found: np.ndarray, chain: np.ndarray, skips: np.ndarray, shared: np.ndarray | None = None
+) -> np.ndarray:
     """Label probabilities of all tokens by loopy message passing.
 
-    ``chain`` and ``skips`` are pairs of token numbers (first, second). All messages of a
-    round are sent at once and averaged with the last, until they settle.
+    ``chain`` and ``skips`` are pairs of token numbers (first, second), ``shared`` pairs of a
+    shared node and a token: any two tokens of a node are tied as by a skip link. All messages
+    of a round are sent at once and averaged with the last, until they settle.
     """
+    tokens = len(found)
+    shared = np.zeros((0, 2), np.int64) if shared is None else shared.reshape(-1, 2).astype(np.int64)
     own = field.weights[found].sum(axis=1)
     own -= own.max(axis=1, keepdims=True)
     kinds = own.shape[1]
-    same = np.eye(kinds) * field.skip
-    pair = np.concatenate([np.repeat(field.neighbours[None], len(chain), 0), np.repeat(same[None], len(skips), 0)])
-    edges = np.concatenate([chain.reshape(-1, 2), skips.reshape(-1, 2)]).astype(np.int64)
+    if len(shared):
+        own = np.concatenate([own, np.zeros((int(shared[:, 0].max()) + 1, kinds))])
+    ties = [
+        field.neighbours,
+        np.eye(kinds) * field.skip,
+        np.eye(kinds) * half_link(field.skip, kinds),
+    ]
+    pair = np.repeat(np.stack(ties), [len(chain), len(skips), len(shared)], axis=0)
+    edges = np.concatenate(
+        [chain.reshape(-1, 2), skips.reshape(-1, 2), shared + np.array([tokens, 0])]
+    ).astype(np.int64)
     if not len(edges):
         beliefs = own
     else:
@@ -265,11 +286,11 @@ def marginals(field: Field, found: np.ndarray, chain: np.ndarray, skips: np.ndar
             new -= new.max(axis=1, keepdims=True)
             moved = np.abs(new - sent).max()
             sent = 0.5 * (sent + new)
-            if moved < 1e-4:
+            if moved < SETTLED:
                 break
         beliefs = own.copy()
         np.add.at(beliefs, taker, sent)
-    beliefs -= beliefs.max(axis=1, keepdims=True)
+    beliefs = beliefs[:tokens] - beliefs[:tokens].max(axis=1, keepdims=True)
     chance = np.exp(beliefs)
     return chance / chance.sum(axis=1, keepdims=True)
 
@@ -281,9 +302,10 @@ def field_spans(
 
     Adjoining tokens of one kind make one span; a token that touches a base span adds none.
     """
-    starts, ends, owner, found, chain, skips = [], [], [], [], [], []
+    starts, ends, owner, found, chain, skips, shared = [], [], [], [], [], [], []
+    hubs = 0
     for number, text in enumerate(texts):
-        seen: dict[str, int] = {}
+        seen: dict[str, list[int]] = {}
         last = -10**9
         for start, end in tokens_of(text):
             node = len(starts)
@@ -297,13 +319,17 @@ def field_spans(
             # similar tokens: equal but for case and signs, and long enough to be no chance
             key = re.sub(r"[\W_]+", "", text[start:end]).lower()
             if len(key) >= 6:
-                if key in seen:
-                    skips.append((seen[key], node))
-                seen[key] = node
+                seen.setdefault(key, []).append(node)
+        for nodes in seen.values():
+            if len(nodes) == 2:
+                skips.append(tuple(nodes))
+            elif len(nodes) > 2:
+                shared += [(hubs, node) for node in nodes]
+                hubs += 1
     added: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
     if not starts:
         return added
-    chance = marginals(field, np.array(found), np.array(chain), np.array(skips))
+    chance = marginals(field, np.array(found), np.array(chain), np.array(skips), np.array(shared))
     label = chance.argmax(axis=1)
     for node in np.flatnonzero((label != OTHER) & (chance.max(axis=1) >= SURE)):
         number, start, end = owner[node], starts[node], ends[node]
@@ -325,8 +351,8 @@ def find_pii(docs: DataFrame, field: Field, *carry: Column) -> DataFrame:
     """The ``carry`` columns (default doc_id) and ``spans_`` of every whole text, in order.
 
     Offsets count code points, ends are exclusive. Null and empty texts have no spans.
-    Repeated rows are searched one by one; a text's skip edges link each repeat to the one
-    before it, so their number grows with the text only.
+    Repeated rows are searched one by one; all repeats of a token in a text
+    share one node, so skip edges grow with the text only.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
     rows = docs.select(*(carry or (F.col("doc_id"),)), F.col("text").alias("text_"))

@@ -63,6 +63,29 @@ def test_repeated_token_takes_the_label_of_its_twin():
     assert len(lone[0]) == 1
 
 
+def test_every_repeat_of_a_named_secret_takes_its_label():
+    """Fifty bare repeats with evidence for nothing: all are in reach of the one that is named."""
+    secret = "feedbeef0123456789abcdef01234567"
+    text = f'token = "{secret}" ' + ("word " * 20 + f"see {secret} but ") * 50
+    named, bare = (pii.features(t, t.index(secret), t.index(secret) + len(secret)) for t in (f'token = "{secret}"', f"see {secret} but"))
+    kind = pii.KINDS.index("secret")
+    weights = np.zeros((pii.BUCKETS, pii.OTHER + 1))
+    weights[named[0]] = [0.0 if k in (kind, pii.OTHER) else -9.0 for k in range(pii.OTHER + 1)]
+    weights[[b for b in named if b not in bare], kind] = 3.0
+    field = pii.Field(weights, np.zeros((pii.OTHER + 1, pii.OTHER + 1)))
+    spans = pii.field_spans(field, [text, f"see {secret} but"], [[], []])
+    assert [(text[a:b], k) for a, k, b, _ in spans[0]] == [(secret, kind)] * 51 and spans[1] == []
+
+
+@pytest.mark.parametrize("kinds, skip", [(2, 3.0), (6, 3.0), (6, 0.0), (3, 7.5)])
+def test_shared_node_ties_two_tokens_like_a_link(kinds, skip):
+    rng = np.random.default_rng(kinds)
+    field = pii.Field(rng.normal(size=(pii.BUCKETS, kinds)), np.zeros((kinds, kinds)), skip)
+    found, none = rng.integers(0, pii.BUCKETS, (2, 5)), np.zeros((0, 2))
+    linked = pii.marginals(field, found, none, np.array([(0, 1)]))
+    assert pii.marginals(field, found, none, none, np.array([(0, 0), (0, 1)])) == pytest.approx(linked, abs=1e-3)
+
+
 def test_messages_equal_enumeration_on_a_tree():
     rng = np.random.default_rng(2)
     field = pii.Field(rng.normal(size=(pii.BUCKETS, 3)), rng.normal(size=(3, 3)), skip=1.3)
