@@ -1,10 +1,13 @@
 """Quality rules with risk-controlled cutoffs, in built-in column expressions only.
 
 Every rule rejects a text whose measure exceeds a cutoff. Cutoffs come from a labelled
-holdout: a cutoff is certified in a stratum if an exact binomial test shows that it rejects
-at most a share ``alpha`` of good texts there, at a level divided by the number of all tests
-(Bonferroni over strata, rules and cutoffs). Among certified cutoffs the one that parts good
-from bad best is used; a stratum without a certified cutoff keeps everything.
+holdout. A quarter of it, by a hash of the doc_id, chooses in each stratum the cutoffs that
+part good from bad best, and their order. The rest certifies them: from the loosest cutoff of
+the first rule to the strictest of the last, rejections only grow, and an exact binomial test
+shows for each step that all rules together reject at most a share ``alpha`` of good texts.
+The last step before the first failure is used. Tests in a fixed order share one level, so it
+is divided by the number of labelled strata only. A stratum without a certified step keeps
+everything.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ ALPHA = 0.04  # most good texts a stratum may lose, over all rules
 DELTA = 0.05  # chance that any certified cutoff breaks its promise
 GRID = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.6, 0.8, 1.0)
 RULES = ("symbol_ratio", "shout_ratio", "line_ratio", "repeat_ratio")
+CHOOSE_ONE_IN = 4  # labelled documents choose the cutoffs, the others certify them
 MIN_GAP = 0.05  # a cutoff must catch this much more of the bad than of the good
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -164,6 +168,41 @@ def cutoffs(
         .groupBy("doc_id")
         .agg((F.min("quality") > 0).alias("good"))
     )
+    chooses = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(CHOOSE_ONE_IN)) == 0
+    marked = keep(
+        texts.filter(~F.col("base_failed"))
+        .join(marks, "doc_id")
+        .select("stratum", "good", chooses.alias("chooses"), *RULES),
+        "labelled-measures",
+    )
+    steps = _steps(marked.filter("chooses"), alpha, grid)
+    hit = F.lit(False)
+    for r in RULES:
+        hit = hit | F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False))
+    cuts = F.struct(*[f"cut_{r}" for r in RULES])
+    counts = (
+        marked.filter(F.col("good") & ~F.col("chooses"))
+        .join(steps, "stratum")
+        .groupBy("stratum", "step", cuts.alias("cuts"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("k"))
+    )
+    strata = marked.select("stratum").distinct().agg(F.count(F.lit(1))).scalar()
+    level = F.lit(delta) / F.greatest(strata, F.lit(1))
+    # each step rejects what the one before does and more, so those that fail are the last ones
+    return (
+        counts.filter(binomial_tail(F.col("k"), F.col("n"), alpha) <= level)
+        .groupBy("stratum")
+        .agg(F.max_by("cuts", "step").alias("cuts"))
+        .select("stratum", "cuts.*")
+    )
+
+
+def _steps(marked: DataFrame, alpha: float, grid: tuple[float, ...]) -> DataFrame:
+    """(stratum, step, one cutoff per rule or null): nested rejections in the order of their tests.
+
+    Rules that lose the fewest good texts come first. A rule goes from the loosest cutoff to
+    the one with the widest gap between bad and good that loses no more than ``alpha``.
+    """
     tests = F.array(
         *[
             F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), (F.col(r) > c).alias("hit"))
@@ -172,9 +211,7 @@ def cutoffs(
         ]
     )
     counts = (
-        texts.filter(~F.col("base_failed"))
-        .join(marks, "doc_id")
-        .select("stratum", "good", F.explode(tests).alias("t"))
+        marked.select("stratum", "good", F.explode(tests).alias("t"))
         .groupBy("stratum", "t.rule", "t.cutoff")
         .agg(
             F.count_if("good").alias("n"),
@@ -183,19 +220,27 @@ def cutoffs(
             F.count_if(~F.col("good") & F.col("t.hit")).alias("caught"),
         )
     )
-    strata = texts.select("stratum").distinct().agg(F.count(F.lit(1))).scalar()
-    level = F.lit(delta) / (F.greatest(strata, F.lit(1)) * len(RULES) * len(grid))
-    gap = F.col("caught") / F.greatest("bad", F.lit(1)) - F.col("k") / F.greatest("n", F.lit(1))
-    certified = counts.filter(
-        (F.col("n") > 0)
-        & (gap >= MIN_GAP)
-        & (binomial_tail(F.col("k"), F.col("n"), alpha / len(RULES)) <= level)
-    )
-    return (
-        certified.groupBy("stratum", "rule")
-        .agg(F.max_by("cutoff", F.struct(gap, "cutoff")).alias("cutoff"))
+    lost = F.col("k") / F.greatest("n", F.lit(1))
+    gap = F.col("caught") / F.greatest("bad", F.lit(1)) - lost
+    chosen = (
+        counts.filter((gap >= MIN_GAP) & (lost <= alpha))
+        .groupBy("stratum", "rule")
+        .agg(F.max_by(F.struct(lost.alias("lost"), (-gap).alias("gap"), "cutoff"), F.struct(gap, "cutoff")).alias("best"))
         .groupBy("stratum")
-        .agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES])
+        .agg(F.array_sort(F.collect_list(F.struct("best.lost", "best.gap", "rule", "best.cutoff"))).alias("order"))
+    )
+    one = chosen.select("stratum", "order", F.posexplode("order").alias("place", "at"))
+    values = F.filter(F.array(*[F.lit(c) for c in grid]), lambda c: c >= F.col("at.cutoff"))
+    each = one.select("stratum", "order", "place", "at.rule", F.explode(values).alias("cutoff"))
+
+    def cut(rule: str) -> Column:
+        done = F.filter("order", lambda x, i: (x["rule"] == rule) & (i < F.col("place")))
+        return F.when(F.col("rule") == rule, F.col("cutoff")).otherwise(F.get(done, F.lit(0))["cutoff"])
+
+    return each.select(
+        "stratum",
+        F.struct("place", (-F.col("cutoff")).alias("cutoff")).alias("step"),
+        *[cut(r).alias(f"cut_{r}") for r in RULES],
     )
 
 

@@ -63,6 +63,49 @@ def test_cutoff_is_certified_per_stratum(spark):
     assert good.columns == docs.columns and good.count() == kept.filter("kept").count()
 
 
+def test_small_strata_get_cutoffs_that_part_without_error(spark):
+    """Three strata of 300 good labels each, beside strata without labels."""
+
+    def doc(i, lang, signs):
+        words = [f"v{i}x{j}" + ("##" if j < signs else "") for j in range(60)]
+        return (i, " ".join(words), lang)
+
+    rows = [doc(1000 * k + i, lang, 60 if i % 10 == 0 else 0) for k, lang in enumerate(("de", "es", "fr")) for i in range(330)]
+    rows += [doc(90_000 + i, f"other{i}", 60) for i in range(20)]
+    # bad and good alike: to reject one text in ten would break the promise
+    rows += [doc(50_000 + i, "mixed", 60 if i % 10 == 3 else 0) for i in range(330)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    quality_of = F.when(F.col("lang") == "mixed", F.col("doc_id") % 20 != 3).otherwise(F.col("doc_id") % 10 != 0)
+    labels = docs.filter("doc_id < 90000").select("doc_id", quality_of.cast("int").alias("quality"))
+    kept = quality.quality_verdicts(docs, labels).collect()
+    assert len(kept) == len(rows)
+    for r in kept:
+        parted = r.stratum in ("lang de", "lang es", "lang fr")
+        assert r.kept == (r.doc_id % 10 != 0 if parted else True)
+
+
+def test_rules_share_one_promise(spark):
+    """Each rule alone loses 2 % of the good texts, all together 6 %: not all may be used."""
+
+    def doc(i):
+        words = [f"v{i}x{j}" for j in range(60)]
+        kind = i % 100
+        if kind < 6 and kind % 3 == 0 or kind >= 90:
+            words = [w + "##" for w in words]
+        if kind < 6 and kind % 3 == 1 or kind >= 90:
+            words = [w.upper() + "ABCDEFGH" for w in words]
+        if kind < 6 and kind % 3 == 2 or kind >= 90:
+            return (i, "\n".join([*words, *[words[0]] * 30]), "en")
+        return (i, " ".join(words), "en")
+
+    docs = spark.createDataFrame([doc(i) for i in range(6000)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 100 < 90).cast("int").alias("quality"))
+    kept = quality.quality_verdicts(docs, labels).filter("not base_failed").collect()
+    good = [r.kept for r in kept if r.doc_id % 100 < 90]
+    assert sum(good) >= 0.96 * len(good)
+    assert not any(r.kept for r in kept if r.doc_id % 100 >= 90)
+
+
 def test_empty_and_clashing(no_docs, odd_docs, no_labels):
     assert quality.quality_verdicts(no_docs, no_labels).count() == 0
     assert quality.good_documents(odd_docs, no_labels).columns == odd_docs.columns
