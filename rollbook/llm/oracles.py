@@ -68,6 +68,112 @@ SELECT g.doc_id, coalesce(len(g.g), 0)::BIGINT AS n_shingles, min(r.b) AS compon
 FROM g JOIN r ON g.doc_id = r.a GROUP BY g.doc_id, g.g
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (SELECT x, min(doc_id) AS first FROM t GROUP BY x),
+d AS (
+  SELECT t.doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x))::INT
+    + 8 * regexp_matches(x, '[#$%&*|]')::INT + 16 * coalesce(t.doc_id > first, false)::INT AS fails
+  FROM t JOIN firsts USING (x)
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM d LEFT JOIN l USING (doc_id) GROUP BY part, fails
+), f AS (SELECT chr((65 + i)::INT) AS f, (1 << i)::INT AS bit FROM range(5) r(i)),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+  SELECT filter_order, k::INT AS step, bits[k] AS bit, coalesce(list_sum(bits[1:k - 1]), 0)::INT AS before
+  FROM orders, range(1, 6) r(k)
+), each AS (
+  SELECT part, filter_order, step, bit,
+    sum(n) FILTER (fails & (bit | before) = 0) AS kept,
+    sum(n) FILTER (fails & bit > 0 AND fails & before = 0) AS removed,
+    sum(n) FILTER (fails & bit > 0 AND fails & before > 0) AS redundant,
+    sum(n) FILTER (fails = bit) AS unique_fails,
+    sum(good) FILTER (fails & bit > 0 AND fails & before = 0) AS good_lost,
+    sum(toxic) FILTER (fails & bit > 0 AND fails & before = 0) AS toxic_lost
+  FROM c, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM each
+"""
+
+OP12 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body,
+    coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS changed,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+        lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) AS crc
+  FROM documents
+), leaf AS (
+  SELECT row_number() OVER () AS id, doc_id, tree, sha256(head || body) AS leaf,
+    sha256(head || CASE WHEN crc % 3 = 0 THEN changed ELSE body END) AS altered,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, sha256(head || body)) - 1 AS place,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM d
+), low(level, tree, place, n, h) AS (
+  SELECT 0, tree, place, n, leaf FROM leaf
+  UNION ALL
+  SELECT level + 1, tree, place // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY place))
+  FROM low WHERE n > 1 GROUP BY level, tree, place // 8, n
+), tops AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1
+), high(level, place, n, h) AS (
+  SELECT 0, place, n, h FROM tops
+  UNION ALL
+  SELECT level + 1, place // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY place))
+  FROM high WHERE n > 1 GROUP BY level, place // 8, n
+), runs AS (
+  SELECT false AS upper, tree, level, place // 8 AS run, string_agg(h, '' ORDER BY place) AS h FROM low
+  WHERE n > 1 GROUP BY tree, level, place // 8
+  UNION ALL
+  SELECT true, '', level, place // 8, string_agg(h, '' ORDER BY place) FROM high WHERE n > 1 GROUP BY level, place // 8
+), way(id, tree, level, place, siblings, folded) AS (
+  SELECT id, tree, 0, place, '', altered FROM leaf
+  UNION ALL
+  SELECT id, w.tree, w.level + 1, w.place // 8,
+    siblings || r.h[1:64 * (w.place % 8)] || r.h[64 * (w.place % 8) + 65:],
+    sha256(r.h[1:64 * (w.place % 8)] || folded || r.h[64 * (w.place % 8) + 65:])
+  FROM way w JOIN runs r ON NOT r.upper AND r.tree = w.tree AND r.level = w.level AND r.run = w.place // 8
+), half AS (
+  SELECT id, any_value(tree) AS tree, arg_max(siblings, level) AS siblings, arg_max(folded, level) AS folded
+  FROM way GROUP BY id
+), rest(id, level, place, siblings, folded) AS (
+  SELECT id, 0, place, siblings, folded FROM half JOIN tops USING (tree)
+  UNION ALL
+  SELECT id, w.level + 1, w.place // 8,
+    siblings || r.h[1:64 * (w.place % 8)] || r.h[64 * (w.place % 8) + 65:],
+    sha256(r.h[1:64 * (w.place % 8)] || folded || r.h[64 * (w.place % 8) + 65:])
+  FROM rest w JOIN runs r ON r.upper AND r.level = w.level AND r.run = w.place // 8
+), ends AS (
+  SELECT id, arg_max(siblings, level) AS siblings, arg_max(folded, level) AS folded FROM rest GROUP BY id
+)
+SELECT doc_id, leaf, tops.h AS subroot, (SELECT h FROM high WHERE n = 1) AS root,
+  sha256(siblings) AS proof_sha256, folded AS folded_root,
+  folded = (SELECT h FROM high WHERE n = 1) AS verified
+FROM leaf JOIN ends USING (id) JOIN tops USING (tree)
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_top_k": OP1, "op5_ngram_jaccard": OP5, "op9_chat_format": OP9}
+    return {
+        "op1_top_k": OP1,
+        "op5_ngram_jaccard": OP5,
+        "op9_chat_format": OP9,
+        "op11_filter_audit": OP11,
+        "op12_merkle_manifest": OP12,
+    }

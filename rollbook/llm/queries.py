@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import chat, jaccard, langid, licenses, mixing, packing, pii, quality, suffix_dedup, topk
+from rollbook.llm import (
+    audit,
+    chat,
+    jaccard,
+    langid,
+    licenses,
+    merkle,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    suffix_dedup,
+    topk,
+)
 from rollbook.llm.common import docs_table, keep
 
 
@@ -90,6 +104,19 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return audit.filter_audit(docs_table(spark, folder), labels)
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(docs_table(spark, folder))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(docs_table(spark, folder))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_top_k": op1_top_k,
@@ -102,4 +129,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_simhash_near_dedup": op13_simhash_near_dedup,
     }
