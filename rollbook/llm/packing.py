@@ -10,6 +10,7 @@ squared fills rises, so that nearly empty bins run empty.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 import zlib
@@ -27,14 +28,16 @@ from rollbook.llm.common import keep
 LENGTH = 1024
 END_ID = 2
 GROUP_PIECES = 16_384  # pieces packed in one task
-SEARCH_BINS = 256  # underfull bins that one round of the local search looks at
-ROUNDS = 8
 STEP_CHARS = 1_000_000  # code points tokenised at once, whole texts or parts of them
 STEP_ROWS = 500  # rows whose texts are in memory as strings at once
-KNOWN_WORDS = 400_000  # distinct words a task remembers
-WORDS_AT_ONCE = 2_048  # given to the tokenizer in one call
+KNOWN_WORDS = 800_000  # distinct words a task remembers
+WORDS_AT_ONCE = 2_048  # texts given to the tokenizer in one call
+JOINED = 32  # words of one such text
 SAFE_CUT = re.compile(r"[A-Za-z](?= [A-Za-z])")
-FAST_CODES = 0x250  # code points whose class is looked up; texts with others take the plain way
+FAST_CODES = 0x250  # code points whose class is looked up; parts with others take the plain way
+RARE_CODES = re.compile(f"[^\0-{chr(FAST_CODES - 1)}]+")
+# Fixed: how the tokenizer splits texts for which the fast way holds.
+SPLITS = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 # Fixed: the classes of the tokenizer's splitting pattern.
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -104,7 +107,12 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        added = self.plain.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]  # texts with one take the plain way
+        self.fast = self._splits_as_known()
+        vocab = self.plain.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max([*vocab.values(), *added, 0]) + 1, dtype=np.int64)
+        self.width[list(vocab.values())] = [len(t) for t in vocab]  # a byte is spelled as one character
         self.kinds = code_classes()
         self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
         self.keys = np.zeros(0, dtype=np.uint64)  # sorted hashes of the known words
@@ -115,13 +123,26 @@ class WordTokenizer:
         self.spelled_at = np.zeros(0, dtype=np.int64)
         self.spelled_size = np.zeros(0, dtype=np.int64)
 
+    def _splits_as_known(self) -> bool:
+        """Whether the file holds the pre-tokenizer that ``split_starts`` follows."""
+        if self.plain.normalizer is not None or self.plain.pre_tokenizer is None:
+            return False
+        found = json.loads(self.plain.pre_tokenizer.__getstate__())
+        return all(found.get(k) == v for k, v in SPLITS.items())
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens; works in steps of bounded size."""
+        """Ids of each text as the tokenizer in the file gives them, without those that it adds
+        around a text; works in steps of bounded size."""
         parts, owner = [], []
         for i, text in enumerate(texts):
-            for part in safe_parts(text):
-                parts.append(part)
+            if not self.fast or any(a in text for a in self.added):
+                parts.append(text)
                 owner.append(i)
+                continue
+            for part in safe_parts(text):
+                for piece in rare_apart(part):
+                    parts.append(piece)
+                    owner.append(i)
         found: list[list[np.ndarray]] = [[] for _ in texts]
         start = 0
         while start < len(parts):
@@ -141,7 +162,7 @@ class WordTokenizer:
             c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
             if len(c) == 0:
                 out[i] = np.zeros(0, dtype=np.uint32)
-            elif c.max() < FAST_CODES:
+            elif self.fast and c.max() < FAST_CODES and not any(a in text for a in self.added):
                 fast.append(i)
                 codes.append(c)
             else:
@@ -222,14 +243,19 @@ class WordTokenizer:
         sizes = np.zeros(len(texts), dtype=np.int64)
         order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
         many = int(joins.sum())
-        for at in range(0, many, WORDS_AT_ONCE):
-            some = order[at : min(many, at + WORDS_AT_ONCE)]
-            e = self.plain.encode("".join([texts[i] for i in some]), add_special_tokens=False)
-            counts = np.bincount(np.array(e.word_ids))
-            if len(counts) != len(some):
+        for at in range(0, many, WORDS_AT_ONCE * JOINED):
+            some = order[at : min(many, at + WORDS_AT_ONCE * JOINED)]
+            joined = ["".join([texts[i] for i in some[k : k + JOINED]]) for k in range(0, len(some), JOINED)]
+            every = [e.ids for e in self.plain.encode_batch_fast(joined, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(every), np.uint32)
+            # no token crosses words: their ends in bytes are ends of tokens too
+            ends = np.cumsum(self.width[ids])
+            words = np.cumsum([len(texts[i].encode()) for i in some])
+            last = np.searchsorted(ends, words)
+            if not len(ids) or ends[-1] != words[-1] or (ends[last] != words).any():
                 raise ValueError("the tokenizer splits joined words otherwise")
-            sizes[some] = counts
-            found.append(np.array(e.ids, dtype=np.uint32))
+            sizes[some] = np.diff(last, prepend=-1)
+            found.append(ids)
         for at in range(many, len(texts), WORDS_AT_ONCE):
             some = order[at : at + WORDS_AT_ONCE]
             part = self.plain.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)
@@ -279,14 +305,14 @@ class WordTokenizer:
         length = stop - at
         shift = np.cumsum(length) - length
         spelled = codes[np.repeat(at - shift, length) + np.arange(int(length.sum()))]
-        keys = np.concatenate([self.keys, words[new]])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, ids_at])[order]
-        self.size = np.concatenate([self.size, sizes])[order]
+        # both are sorted: the new words go in between
+        to = np.searchsorted(self.keys, words[new])
+        self.keys = np.insert(self.keys, to, words[new])
+        self.at = np.insert(self.at, to, ids_at)
+        self.size = np.insert(self.size, to, sizes)
         self.ids = np.concatenate([self.ids, ids])
-        self.spelled_at = np.concatenate([self.spelled_at, len(self.spelled) + shift])[order]
-        self.spelled_size = np.concatenate([self.spelled_size, length])[order]
+        self.spelled_at = np.insert(self.spelled_at, to, len(self.spelled) + shift)
+        self.spelled_size = np.insert(self.spelled_size, to, length)
         self.spelled = np.concatenate([self.spelled, spelled])
 
 
@@ -306,12 +332,38 @@ def safe_parts(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def rare_apart(text: str) -> Iterator[str]:
+    """A text cut at safe places so that rare code points stand in small parts of their own."""
+    try:
+        text.encode("latin-1")  # quickly tells most texts without any
+        found = None
+    except UnicodeEncodeError:
+        found = RARE_CODES.search(text)
+    if not found:
+        yield text
+        return
+    cuts = [m.start() + 1 for m in SAFE_CUT.finditer(text)]
+    at = 0
+    for rare in RARE_CODES.finditer(text):
+        if rare.start() < at:
+            continue  # in the part before
+        k = bisect.bisect_right(cuts, rare.start())
+        begin = cuts[k - 1] if k else 0
+        stop = cuts[k] if k < len(cuts) else len(text)
+        if begin > at:
+            yield text[at:begin]
+        yield text[max(at, begin) : stop]
+        at = stop
+    if at < len(text):
+        yield text[at:]
+
+
 def pack_group(lengths: list[int], room: int) -> list[int]:
     """Bin of each piece: best fit in descending order, then the local search."""
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
     by_free: list[list[int]] = [[] for _ in range(room + 1)]
     open_sizes = 0  # bit f is set if some bin has f tokens free
-    bins: list[list[int]] = []
+    place = np.zeros(len(lengths), dtype=np.int64)
     free: list[int] = []
     for i in order:
         need = lengths[i]
@@ -322,85 +374,101 @@ def pack_group(lengths: list[int], room: int) -> list[int]:
             if not by_free[size]:
                 open_sizes &= ~(1 << size)
         else:
-            b, size = len(bins), room
-            bins.append([])
+            b, size = len(free), room
             free.append(room)
-        bins[b].append(i)
+        place[i] = b
         free[b] = size - need
         if free[b]:
             by_free[free[b]].append(b)
             open_sizes |= 1 << free[b]
-    least = -(-sum(lengths) // room)
-    for _ in range(ROUNDS):
-        if sum(1 for b in bins if b) <= least or not _improve(bins, free, lengths, room):
-            break
-    place = [0] * len(lengths)
-    for k, b in enumerate(b for b in bins if b):
-        for i in b:
-            place[i] = k
-    return place
-
-
-def _improve(bins: list[list[int]], free: list[int], lengths: list[int], room: int) -> bool:
-    """One round over the emptiest bins; tells whether the squared fill has risen."""
-    under = sorted((b for b in range(len(bins)) if bins[b] and free[b]), key=lambda b: -free[b])
-    under = under[:SEARCH_BINS]
-    better = False
-    for a in under:  # gives: every exchange moves tokens from it to a fuller bin
-        for b in reversed(under):
-            if not bins[a]:
+    LocalSearch(np.array(lengths, dtype=np.int64), place, np.array(free, dtype=np.int64), room).run()
+    return np.unique(place, return_inverse=True)[1].tolist()
+
+
+class LocalSearch:
+    """Moves and swaps between underfull bins, each raising the sum of squared fills.
+
+    A giver passes tokens on to a bin that is at least as full: a piece, one or two pieces for
+    one, or one for two. Of all exchanges of a giver the one that passes on most is made, until
+    no giver has any, or as few bins are left as the pieces fill.
+    """
+
+    def __init__(self, size: np.ndarray, place: np.ndarray, free: np.ndarray, room: int):
+        self.size, self.place, self.free, self.room = size, place, free, room
+        self.least = -(-int(size.sum()) // room)
+        self.used = len(free)
+
+    def run(self) -> None:
+        better = True
+        while better:
+            better = False
+            for giver in np.argsort(-self.free, kind="stable"):
+                while self.used > self.least and 0 < self.free[giver] < self.room and self._pass_on(giver):
+                    better = True
+
+    def _pass_on(self, giver: int) -> bool:
+        room_left = self.free[self.place]
+        mine = self._distinct(np.flatnonzero(self.place == giver))
+        takers = (self.place != giver) & (room_left > 0) & (room_left <= self.free[giver])
+        theirs = np.flatnonzero(takers)
+        if not len(theirs):
+            return False
+        nothing = np.zeros(len(theirs), dtype=np.int64)
+        best: tuple = (0,)
+        for out in [(i,) for i in mine] + self._pairs(mine):
+            total = int(self.size[list(out)].sum())
+            if len(out) == 1:
+                best = max(best, self._fit(total, out, nothing, room_left[theirs], theirs[:, None], moved=True))
+            best = max(best, self._fit(total, out, self.size[theirs], room_left[theirs], theirs[:, None]))
+        two = self._taker_pairs(theirs)
+        if len(two):
+            for i in mine:
+                total = int(self.size[i])
+                both = self.size[two].sum(axis=1)
+                best = max(best, self._fit(total, (i,), both, room_left[two[:, 0]], two))
+        if not best[0]:
+            return False
+        gain, out, back, taker = best
+        self.place[list(out)] = taker
+        self.place[list(back)] = giver
+        self.free[taker] -= gain
+        self.free[giver] += gain
+        self.used -= int(self.free[giver] == self.room)
+        return True
+
+    def _fit(self, total, out, given, left, rows, moved=False) -> tuple:
+        """The taker's pieces that leave least space when ``out`` comes for them."""
+        gain = total - given
+        gain = np.where((gain > 0) & (gain <= left), gain, 0)
+        k = int(gain.argmax())
+        if not gain[k]:
+            return (0,)
+        return int(gain[k]), out, () if moved else tuple(rows[k].tolist()), int(self.place[rows[k, 0]])
+
+    def _distinct(self, pieces: np.ndarray) -> list[int]:
+        """Up to two pieces of each size: more of a bin's equal ones offer nothing new."""
+        order = pieces[np.argsort(self.size[pieces], kind="stable")]
+        third = np.zeros(len(order), dtype=bool)
+        third[2:] = self.size[order[2:]] == self.size[order[:-2]]
+        return order[~third].tolist()
+
+    @staticmethod
+    def _pairs(pieces: list[int]) -> list[tuple[int, int]]:
+        return [(i, j) for n, i in enumerate(pieces) for j in pieces[n + 1 :]]
+
+    def _taker_pairs(self, pieces: np.ndarray) -> np.ndarray:
+        """Pairs of pieces of one bin, of all bins, as rows."""
+        order = pieces[np.lexsort((self.size[pieces], self.place[pieces]))]
+        third = np.zeros(len(order), dtype=bool)
+        third[2:] = (self.size[order[2:]] == self.size[order[:-2]]) & (self.place[order[2:]] == self.place[order[:-2]])
+        order = order[~third]
+        found = []
+        for shift in range(1, len(order)):
+            same = self.place[order[shift:]] == self.place[order[:-shift]]
+            if not same.any():
                 break
-            if a == b or not bins[b] or free[b] > free[a] or not free[b]:
-                continue
-            found = _exchange(bins[a], bins[b], free[b], lengths)
-            if found:
-                out, back = found
-                for i in out:
-                    bins[a].remove(i)
-                for i in back:
-                    bins[b].remove(i)
-                bins[a] += back
-                bins[b] += out
-                moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-                free[a] += moved
-                free[b] -= moved
-                better = True
-    return better
-
-
-def _exchange(
-    giver: list[int], taker: list[int], space: int, lengths: list[int]
-) -> tuple[list[int], list[int]] | None:
-    """The move, swap, or two-for-one swap that fills most of the taker's space."""
-    best, choice = 0, None
-
-    def offer(gain: int, out: list[int], back: list[int]) -> None:
-        nonlocal best, choice
-        if best < gain <= space:
-            best, choice = gain, (out, back)
-
-    small = sorted(taker, key=lambda i: lengths[i])
-    sizes = [lengths[i] for i in small]
-
-    def match(total: int, out: list[int]) -> None:
-        """Swap ``out`` for the one piece of the taker that leaves least space."""
-        k = bisect.bisect_left(sizes, total - space)
-        if k < len(sizes):
-            offer(total - sizes[k], out, [small[k]])
-
-    for n, i in enumerate(giver):
-        offer(lengths[i], [i], [])
-        match(lengths[i], [i])
-        for j in giver[n + 1 :]:
-            match(lengths[i] + lengths[j], [i, j])
-    pairs = sorted(
-        (lengths[i] + lengths[j], i, j) for n, i in enumerate(taker) for j in taker[n + 1 :]
-    )
-    for i in giver:
-        k = bisect.bisect_left(pairs, (lengths[i] - space,))
-        if k < len(pairs):
-            offer(lengths[i] - pairs[k][0], [i], [pairs[k][1], pairs[k][2]])
-    return choice
+            found.append(np.stack([order[:-shift][same], order[shift:][same]], axis=1))
+        return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
 
 
 def _cut(
