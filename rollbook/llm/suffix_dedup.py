@@ -8,15 +8,18 @@ its context, all strings that hold it.
 1. Anchors are dealt by hash, with a hash of their context. If the whole context also
    stands in a smaller document, it goes at once. Where one anchor has several contexts
    (near the edges of repeats), the first document of each context asks for a close look.
-2. The close look sorts the suffixes at all strings of these contexts: a merge sort whose
-   comparisons find the common extension of two suffixes by binary search on prefix
-   polynomial hashes. Neighbours with a common extension of a whole string are checked
+2. The close look sorts suffixes of these contexts: a merge sort whose comparisons find the
+   common extension of two suffixes by binary search on prefix polynomial hashes. First the
+   contexts of an anchor are sorted by what follows and by what precedes it: neighbours tell
+   how far any other context agrees on either side. Strings that lie within both reaches are
+   then sorted themselves; neighbours with a common extension of a whole string are checked
    byte by byte, and take the smallest id of their run.
 
 Hot strings are safe: a task passes on only the smallest document of each context, and an
 anchor that has many contexts within a task is asked for at once, so that few rows of it
-meet. Anchors with very many contexts overall are not sorted in one task: their strings are
-grouped by themselves.
+meet. An anchor with many contexts overall is cut by the bytes next to it: a string holds
+half a side before the anchor, or half a side behind it. Cuts that still have very many
+contexts are not sorted in one task: their strings are grouped by themselves.
 """
 
 from __future__ import annotations
@@ -38,10 +41,12 @@ STEP = 1 << 20  # bytes per numpy pass
 OVERLAP = 4 * WINDOW  # of the parts of a text that is longer than that
 BUCKET_ANCHORS = 300_000
 MANY_CONTEXTS = 64  # of one anchor within a task, from which they are asked for at once
-HOT_CONTEXTS = 50_000  # of one anchor overall, from which its strings are grouped by themselves
+CUT_CONTEXTS = 2_000  # of one anchor overall, from which it is cut by the bytes next to it
+HOT_CONTEXTS = 50_000  # of one cut, from which its strings are grouped by themselves
 MARK = 0xFFFFFFFF  # place of a row that only tells that an anchor has other contexts
 DEAL_ROWS = 2_500  # documents whose anchors are in memory at once
 CELL_CONTEXTS = 8_000
+CHECKED = 1 << 16  # strings compared byte by byte at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 NONE = np.uint64(2**64 - 1)
@@ -311,39 +316,53 @@ def suffix_order(data: np.ndarray, hashes: PrefixHashes, at: np.ndarray, group:
         width *= 2
 
 
+def _reach(data: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """How far each suffix agrees, up to SIDE bytes, with any other of its group."""
+    hashes = PrefixHashes(data)
+    order = suffix_order(data, hashes, at, group, SIDE)
+    at, group = at[order], group[order]
+    shared = np.zeros(len(at) + 1, dtype=np.int64)
+    shared[1:-1] = np.where(group[1:] == group[:-1], common_extension(hashes, at[1:], at[:-1], SIDE), 0)
+    out = np.empty(len(at), dtype=np.int64)
+    out[order] = np.maximum(shared[1:], shared[:-1])
+    return out
+
+
 def _close_look(group: pa.Table) -> pa.Table:
     """(doc_id, low, high): stretches that go, from the contexts of one cell."""
     nothing = pa.table({c: pa.array([], pa.int64()) for c in ("doc_id", "low", "high")})
-    look = group.column("look").to_numpy()
-    doc = group.column("doc_id").to_numpy()
-    low = group.column("low").to_numpy()
-    side = group.column("side").to_numpy()
+    look, doc, low, side, least, most = (
+        group.column(c).to_numpy() for c in ("look", "doc_id", "low", "side", "least", "most")
+    )
     data, bounds = context_bytes(group.column("context"))
-    size = np.diff(bounds)
-    hashes = PrefixHashes(data)
+    begin, size = bounds[:-1], np.diff(bounds)
     _, gram = np.unique(look, return_inverse=True)
-
-    # half a context must be shared with another document for any string to be
-    begin = bounds[:-1]
-    half = SIDE // 2
-    use_left = _shared(gram, hashes, begin + side - half, begin + side + GRAM, doc, side >= half)
-    use_right = _shared(gram, hashes, begin + side, begin + side + GRAM + half, doc, size - side >= GRAM + half)
-
-    count = np.maximum(0, size - WINDOW + 1)
+    margin = np.zeros(WINDOW, dtype=np.uint8)
+    ahead = np.concatenate([data, margin])
+    behind = np.concatenate([data[::-1], margin])
+    right = np.minimum(_reach(ahead, begin + side + GRAM, gram), size - side - GRAM)
+    left = np.minimum(_reach(behind, len(data) - begin - side, gram), side)
+
+    # a string has as many bytes before its anchor as are shared on the left, at most
+    before = np.minimum(left, most)
+    count = np.maximum(0, before - np.maximum(SIDE - right, least) + 1)
     owner = np.repeat(np.arange(len(doc)), count)
-    shift = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    before = side[owner] - shift  # bytes of the string before its anchor
-    live = np.where(before >= half, use_left[owner], False) | np.where(before <= SIDE - half, use_right[owner], False)
-    owner, shift = owner[live], shift[live]
     if not len(owner):
         return nothing
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    shift = (side - before)[owner] + within
     at = begin[owner] + shift
-    order = suffix_order(data, hashes, at, gram[owner], WINDOW)
-    at, owner, shift = at[order], owner[order], shift[order]
-    equal = (gram[owner][1:] == gram[owner][:-1]) & (common_extension(hashes, at[1:], at[:-1], WINDOW) >= WINDOW)
+    # equal strings have their anchor at the same place
+    place = gram[owner] * (SIDE + 1) + before[owner] - within
+    hashes = PrefixHashes(ahead)
+    order = suffix_order(ahead, hashes, at, place, WINDOW)
+    at, owner, shift, place = at[order], owner[order], shift[order], place[order]
+    equal = (place[1:] == place[:-1]) & (common_extension(hashes, at[1:], at[:-1], WINDOW) >= WINDOW)
     # collision check: neighbours taken for equal are compared byte by byte
-    for j in range(WINDOW):
-        equal[equal] = data[at[1:][equal] + j] == data[at[:-1][equal] + j]
+    strings = np.lib.stride_tricks.sliding_window_view(data, WINDOW)
+    taken = np.flatnonzero(equal)
+    for some in np.split(taken, range(CHECKED, len(taken), CHECKED)):
+        equal[some] = (strings[at[some + 1]] == strings[at[some]]).all(axis=1)
     run = np.cumsum(np.append(True, ~equal)) - 1
     heads = np.flatnonzero(np.append(True, ~equal))
     first = np.minimum.reduceat(doc[owner], heads)
@@ -359,23 +378,6 @@ def _close_look(group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc[owner[goes[head]]]), "low": pa.array(start[head]), "high": pa.array(start[tail] + WINDOW)})
 
 
-def _shared(gram, hashes, start, stop, doc, usable) -> np.ndarray:
-    """Which stretches occur, under the same gram, in more than one document."""
-    out = np.zeros(len(doc), dtype=bool)
-    index = np.flatnonzero(usable)
-    if not len(index):
-        return out
-    value = mix64(hashes(start[index], stop[index])) ^ mix64(gram[index].astype(np.uint64))
-    order = np.argsort(value, kind="stable")
-    sorted_value = value[order]
-    heads = np.flatnonzero(np.append(True, sorted_value[1:] != sorted_value[:-1]))
-    ids = doc[index][order]
-    many = np.minimum.reduceat(ids, heads) != np.maximum.reduceat(ids, heads)
-    lengths = np.diff(np.append(heads, len(order)))
-    out[index[order]] = np.repeat(many, lengths)
-    return out
-
-
 def context_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     parts = column.to_pylist()
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
@@ -400,12 +402,33 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _cut(contexts: DataFrame) -> DataFrame:
+    """Contexts of anchors with many of them, under new names: anchor and half a side before it,
+    for strings that hold those bytes, and anchor and half a side behind it for the others."""
+    half = SIDE // 2
+    before = F.struct(
+        F.lit(half).alias("least"), F.lit(SIDE).alias("most"), (F.col("side") - half).alias("from"), (F.col("side") >= half).alias("holds")
+    )
+    behind = F.struct(
+        F.lit(0).alias("least"), F.lit(half - 1).alias("most"), F.col("side").alias("from"),
+        (F.length("context") - F.col("side") >= GRAM + half).alias("holds"),
+    )
+    bytes_ = F.substring("context", (F.col("cut.from") + 1).cast("int"), F.lit(GRAM + half))
+    return (
+        contexts.drop("least", "most")
+        .withColumn("cut", F.explode(F.array(before, behind)))
+        .filter("cut.holds")
+        .select(F.xxhash64("look", "cut.least", bytes_).alias("look"), "doc_id", "low", "side", "context", "cut.least", "cut.most")
+    )
+
+
 def _strings_of(contexts: DataFrame) -> DataFrame:
-    """(doc_id, low, high) from contexts of hot anchors: every string is a row, the smallest
-    document of equal ones is found with partial minima, so no anchor meets in one task."""
-    last = F.length("context") - WINDOW
-    strings = contexts.filter(last >= 0).select(
-        "doc_id", "low", "context", F.explode(F.sequence(F.lit(0), last)).alias("shift")
+    """(doc_id, low, high) from contexts of hot cuts: every string is a row, the smallest
+    document of equal ones is found with partial minima, so no cut meets in one task."""
+    begin = F.greatest(F.lit(0), F.col("side") - F.col("most"))
+    last = F.least(F.length("context") - WINDOW, F.col("side") - F.col("least"))
+    strings = contexts.filter(last >= begin).select(
+        "doc_id", "low", "context", F.explode(F.sequence(begin.cast("int"), last.cast("int"))).alias("shift")
     ).select(
         "doc_id",
         (F.col("low") + F.col("shift")).alias("low"),
@@ -451,18 +474,22 @@ def repeats(docs: DataFrame) -> DataFrame:
     contexts = texts.join(by_doc, "doc_id").mapInArrow(
         _contexts, "look long, doc_id long, low long, side long, context binary"
     )
-    hot = keep(
-        asks.groupBy("look").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_CONTEXTS),
-        "repeat-hot",
-    ).select("look")
-    many = not hot.isEmpty()
-    sorted_ = contexts.join(hot, "look", "left_anti") if many else contexts
+    contexts = contexts.withColumns({"least": F.lit(0), "most": F.lit(SIDE)})
+    large = _many(asks, CUT_CONTEXTS)
+    strings = None
+    if not large.isEmpty():
+        cut = keep(_cut(contexts.join(large, "look", "left_semi")), "repeat-cuts")
+        hot = _many(cut, HOT_CONTEXTS)
+        if not hot.isEmpty():
+            strings = _strings_of(cut.join(hot, "look", "left_semi"))
+            cut = cut.join(hot, "look", "left_anti")
+        contexts = contexts.join(large, "look", "left_anti").unionByName(cut)
     looked = (
-        sorted_.groupBy(F.pmod(F.xxhash64("look"), F.lit(cells)))
+        contexts.groupBy(F.pmod(F.xxhash64("look"), F.lit(cells)))
         .applyInArrow(_close_look, "doc_id long, low long, high long")
     )
-    if many:
-        looked = looked.unionByName(_strings_of(contexts.join(hot, "look")))
+    if strings is not None:
+        looked = looked.unionByName(strings)
     whole = settled.filter(F.col("look").isNull()).select(
         "doc_id",
         F.greatest(F.lit(0), F.col("at") - SIDE).cast("long").alias("low"),
@@ -471,6 +498,12 @@ def repeats(docs: DataFrame) -> DataFrame:
     return whole.unionByName(looked)
 
 
+def _many(contexts: DataFrame, most: int) -> DataFrame:
+    """The anchors or cuts with more than ``most`` contexts."""
+    counts = contexts.groupBy("look").agg(F.count(F.lit(1)).alias("n"))
+    return keep(counts.filter(F.col("n") > most).select("look"), "repeat-many")
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and ``kept``, the bytes that are left, of every row."""
     found = (

@@ -45,10 +45,17 @@ def tangled(seed):
 
 
 @pytest.mark.parametrize(
-    "seed, bucket, step, many, hot",
-    [(1, 300_000, 1 << 20, 64, 50_000), (2, 50, 1 << 10, 2, 50_000), (3, 500, 256, 1, 3), (4, 50, 256, 64, 2)],
+    "seed, bucket, step, many, cut, hot",
+    [
+        (1, 300_000, 1 << 20, 64, 2_000, 50_000),
+        (2, 50, 1 << 10, 2, 2, 50_000),
+        (3, 500, 256, 1, 3, 3),
+        (4, 50, 256, 64, 1, 2),
+        (5, 300_000, 1 << 20, 64, 1, 50_000),
+    ],
 )
-def test_against_brute_force(spark, monkeypatch, seed, bucket, step, many, hot):
+def test_against_brute_force(spark, monkeypatch, seed, bucket, step, many, cut, hot):
+    monkeypatch.setattr(suffix_dedup, "CUT_CONTEXTS", cut)
     monkeypatch.setattr(suffix_dedup, "MANY_CONTEXTS", many)
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
     monkeypatch.setattr(suffix_dedup, "BUCKET_ANCHORS", bucket)
