@@ -12,29 +12,48 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"  # fixed: words are runs of anything but ASCII white space
 
 
+_own_folders: dict[str, str] = {}  # of local sessions without spark.checkpoint.dir
+_kept: list[str] = []  # what ``keep`` has written and ``release`` has not deleted
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach, from ``spark.checkpoint.dir``; local sessions may lack it."""
+    """The folder all executors reach, from ``spark.checkpoint.dir``.
+
+    Where it is unset a local session gets a folder of its own; on a cluster that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="rollbook-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="rollbook-llm-")
+    return _own_folders[app]
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written once to the shared folder and read from there.
 
-    Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation. ``release`` deletes
+    what is kept, once results that read it are written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rollbook-llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all tables that ``keep`` has written in this process. Call it when no result that
+    still reads them is open."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _kept:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_kept.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` evaluated once per row, however often ``use`` names it."""
     return F.element_at(F.transform(F.array(value), use), 1)

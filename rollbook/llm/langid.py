@@ -21,6 +21,7 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 STEP = 1 << 18  # code points per numpy pass: bounds the memory for any text
 UNKNOWN = "und"
+LANGUAGES = 256  # of a model at most: bounds what is collected and broadcast
 LETTER = re.compile(r"[^\W\d_]")
 # odd multipliers of the n-gram hash, one per place
 MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -56,21 +57,47 @@ class Model:
     log_prior: np.ndarray
     log_prob: np.ndarray  # buckets x languages
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not text or not LETTER.search(text):
-            return UNKNOWN, 0.0
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        logs = self.log_prior.copy()
-        for start in range(0, len(codes), STEP):
-            for order in ORDERS:
-                buckets = gram_buckets(codes[start : start + STEP + order - 1], order)
-                if len(buckets) > 1 << (BUCKETS_LOG2 - 2):  # dense: one product per bucket
-                    counts = np.bincount(buckets, minlength=1 << BUCKETS_LOG2)
-                    logs += counts.astype(np.float32) @ self.log_prob
-                else:  # sparse: only the rows that occur
-                    logs += self.log_prob.take(buckets, axis=0).sum(axis=0)
-        best = int(np.argmax(logs))
-        return self.languages[best], float(1.0 / np.exp(logs - logs[best]).sum())
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and posterior probability of each text, scored many at a time."""
+        known = [i for i, t in enumerate(texts) if self.languages and t and LETTER.search(t)]
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        codes = [
+            np.frombuffer(texts[i].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            for i in known
+        ]
+        at = 0
+        while at < len(known):
+            stop, size = at + 1, len(codes[at])
+            while stop < len(known) and size + len(codes[stop]) <= STEP:
+                size += len(codes[stop])
+                stop += 1
+            for i, logs in zip(known[at:stop], self._score(codes[at:stop]), strict=True):
+                best = int(np.argmax(logs))
+                out[i] = (self.languages[best], float(1.0 / np.exp(logs - logs[best]).sum()))
+            at = stop
+        return out
+
+    def _score(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Log posteriors (texts x languages), up to a constant per text.
+
+        The n-grams of all texts are the entries of one sparse count matrix, row by row; its
+        product with the log probabilities is summed per row in doubles. A text longer than a
+        step comes alone and is summed in steps.
+        """
+        logs = np.repeat(self.log_prior[None, :], len(texts), axis=0)
+        joined = np.concatenate(texts)
+        ends = np.cumsum([len(t) for t in texts])
+        step = max(1, STEP * 4 // max(4, len(self.languages)))
+        for order in ORDERS:
+            for start in range(0, len(joined), step):
+                buckets = gram_buckets(joined[start : start + step + order - 1], order)
+                row = np.searchsorted(ends, np.arange(start, start + len(buckets)), side="right")
+                whole = np.arange(start, start + len(buckets)) + order <= ends[row]
+                buckets, row = buckets[whole], row[whole]
+                if len(row):
+                    heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                    logs[row[heads]] += np.add.reduceat(self.log_prob[buckets], heads, axis=0)
+        return logs
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -116,9 +143,14 @@ def count_grams(docs: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame) -> Model:
     """Model of all rows with a non-null ``lang``; null texts count for the prior only.
 
-    The driver receives at most buckets + 1 rows per language, never documents.
+    The driver receives at most buckets + 1 rows per language, never documents. A table with
+    more than LANGUAGES values of ``lang`` is an error, since the model would grow with them.
     """
-    table = count_grams(labelled.filter(F.col("lang").isNotNull())).toPandas()
+    labelled = labelled.filter(F.col("lang").isNotNull())
+    found = labelled.select("lang").distinct().limit(LANGUAGES + 1).count()
+    if found > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: clean the labels first")
+    table = count_grams(labelled).toPandas()
     docs = table[table["bucket"] == -1].set_index("lang")["n"]
     languages = sorted(docs.index)
     counts = np.full((1 << BUCKETS_LOG2, len(languages)), SMOOTHING)
@@ -127,7 +159,7 @@ def fit(labelled: DataFrame) -> Model:
     counts[grams["bucket"], grams["lang"].map(place).astype(int)] += grams["n"]
     log_prob = np.log(counts / counts.sum(axis=0)) if languages else counts
     prior = np.log(docs[languages].to_numpy() / docs.sum()) if languages else np.zeros(0)
-    return Model(languages, prior.astype(np.float64), log_prob.astype(np.float32))
+    return Model(languages, prior.astype(np.float64), log_prob)
 
 
 def predict_languages(docs: DataFrame, model: Model, *carry: Column) -> DataFrame:
@@ -138,12 +170,12 @@ def predict_languages(docs: DataFrame, model: Model, *carry: Column) -> DataFram
     The score is the posterior probability. Repeated rows are scored one by one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*(carry or (F.col("doc_id"),)), F.col("text").alias("text_"))
-    kept = [f for f in rows.schema.fields if f.name != "text_"]
+    rows = docs.select(*(carry or (F.col("doc_id"),)), F.col("text").alias("text_to_judge"))
+    kept = [f for f in rows.schema.fields if f.name != "text_to_judge"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [shared.value.predict(text) for text in batch["text_"]]
+            found = shared.value.predict(batch["text_to_judge"].tolist())
             out = batch[[f.name for f in kept]].copy()
             out["lang_pred"] = [lang for lang, _ in found]
             out["score"] = np.array([score for _, score in found], dtype=float)

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice, takewhile
 
 import numpy as np
 import pandas as pd
@@ -115,9 +116,9 @@ def tokens_of(text: str) -> list[tuple[int, int]]:
 
 def shape(token: str) -> str:
     """Character classes with runs folded: ``555-7713`` gives ``0-0``."""
-    token = re.sub(r"[0-9]+", "0", token[:64])
+    token = re.sub(r"[0-9]+", "0", token)
     token = re.sub(r"[A-Z]+", "A", token)
-    return re.sub(r"[^\W\d_A]+", "a", token)[:16]
+    return re.sub(r"[^\W\d_A]+", "a", token)
 
 
 def features(text: str, start: int, end: int) -> list[int]:
@@ -130,11 +131,11 @@ def features(text: str, start: int, end: int) -> list[int]:
         "bias",
         f"shape {shape(token)}",
         f"length {min(len(token), 40) // 4}",
-        f"digits {min(sum('0' <= c <= '9' for c in token[:80]), 20)}",
+        f"digits {min(len(re.sub(r"[^0-9]+", "", token)), 20)}",
         f"before {before[-1][-12:] if before else ''}",
         f"before2 {before[-2][-12:] if len(before) > 1 else ''}",
         f"after {after[0][:12] if after else ''}",
-        f"secret {named} {bool(SECRET_FORM.fullmatch(token[:256]))}",
+        f"secret {named} {bool(SECRET_FORM.fullmatch(token))}",
         f"plus {text[max(0, start - 1) : start]!r}",
     ]
     return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % BUCKETS for n in names]
@@ -146,10 +147,9 @@ def rule_labels(text: str, tokens: list[tuple[int, int]], base: list[tuple[int,
     for start, end in tokens:
         while k < len(base) and base[k][2] <= start and base[k][0] < start:
             k += 1
-        label = next(
-            (kind for a, kind, b in base[k : k + 8] if a < end and b > start), OTHER
-        )
-        if label == OTHER and SECRET_FORM.fullmatch(text[start:end][:256]):
+        near = takewhile(lambda span: span[0] < end, islice(base, k, None))
+        label = next((kind for _, kind, b in near if b > start), OTHER)
+        if label == OTHER and SECRET_FORM.fullmatch(text, start, end):
             if NAMED_SECRET.search(text, max(0, start - CONTEXT), start):
                 label = KINDS.index("secret")
         labels.append(label)
@@ -246,13 +246,20 @@ def half_link(skip: float, kinds: int) -> float:
 
 
 def marginals(
-    field: Field, found: np.ndarray, chain: np.ndarray, skips: np.ndarray, shared: np.ndarray | None = None
+    field: Field,
+    found: np.ndarray,
+    chain: np.ndarray,
+    skips: np.ndarray,
+    shared: np.ndarray | None = None,
+    owner: np.ndarray | None = None,
 ) -> np.ndarray:
     """Label probabilities of all tokens by loopy message passing.
 
     ``chain`` and ``skips`` are pairs of token numbers (first, second), ``shared`` pairs of a
     shared node and a token: any two tokens of a node are tied as by a skip link. All messages
-    of a round are sent at once and averaged with the last, until they settle.
+    of a round are sent at once and averaged with the last, until they settle. ``owner`` is the
+    number of each token's text (default: one text): a text's messages stop when they have
+    settled, so its probabilities do not depend on the texts beside it.
     """
     tokens = len(found)
     shared = np.zeros((0, 2), np.int64) if shared is None else shared.reshape(-1, 2).astype(np.int64)
@@ -278,15 +285,20 @@ def marginals(
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])  # [message, from label, to label]
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         sent = np.zeros((len(sender), kinds))
+        owner = np.zeros(tokens, dtype=np.int64) if owner is None else owner
+        text_of = np.concatenate([owner[edges[:, 1]], owner[edges[:, 1]]])  # of each message
+        going = np.arange(len(sender))
         for _ in range(ROUNDS):
             beliefs = own.copy()
             np.add.at(beliefs, taker, sent)
-            free = beliefs[sender] - sent[back]
-            new = np.logaddexp.reduce(free[:, :, None] + pair, axis=1)
+            free = beliefs[sender[going]] - sent[back[going]]
+            new = np.logaddexp.reduce(free[:, :, None] + pair[going], axis=1)
             new -= new.max(axis=1, keepdims=True)
-            moved = np.abs(new - sent).max()
-            sent = 0.5 * (sent + new)
-            if moved < SETTLED:
+            moved = np.zeros(len(text_of) and int(text_of.max()) + 1)
+            np.maximum.at(moved, text_of[going], np.abs(new - sent[going]).max(axis=1))
+            sent[going] = 0.5 * (sent[going] + new)
+            going = going[moved[text_of[going]] >= SETTLED]
+            if not len(going):
                 break
         beliefs = own.copy()
         np.add.at(beliefs, taker, sent)
@@ -329,7 +341,7 @@ def field_spans(
     added: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
     if not starts:
         return added
-    chance = marginals(field, np.array(found), np.array(chain), np.array(skips), np.array(shared))
+    chance = marginals(field, np.array(found), np.array(chain), np.array(skips), np.array(shared), np.array(owner))
     label = chance.argmax(axis=1)
     for node in np.flatnonzero((label != OTHER) & (chance.max(axis=1) >= SURE)):
         number, start, end = owner[node], starts[node], ends[node]

@@ -1,10 +1,12 @@
 """Exact top-k search by inner product with sequential access only (no random access).
 
 Each dimension is a list sorted by its component. Lists are read in step from their better
-end: after a depth of d entries, a vector's component is either read, or known to lie beyond
-the last entry read. That gives every vector a lower and an upper bound of its score. The
-k-th best lower bound is the threshold: once no other vector's upper bound can pass it,
-reading stops and the few vectors left get their final scores.
+end; every entry read is added to the sum of its vector. After a depth of d entries an unread
+component is known to lie between the last entry read and the end of its list. That gives
+every vector a lower and an upper bound of its score. The k-th best lower bound is the
+threshold: once no outsider's upper bound can pass it, only entries of the vectors left are
+still added, until their sums are their final scores. No component is read but in the order
+of its list, and none twice.
 
 Vectors and queries meet in blocks of a bounded size; each block pair keeps its k best per
 query, and these are merged.
@@ -22,80 +24,109 @@ SCALE = 64
 VECTORS_PER_BLOCK = 8_192
 QUERIES_PER_BLOCK = 1_024
 QUERIES_AT_ONCE = 128
-DEPTHS = (1 / 8, 1 / 3, 2 / 3)  # of the lists, between the looks at the bounds
-FEW = 64  # candidates per query beyond k that are resolved rather than read on for
-LIMIT = 1 << 20  # components are held within this: sums of 4096 products stay exact in a double
+FIRST_DEPTH = 64  # entries of each list read before the first look at the bounds
+EXACT = 1 << 52  # sums below this are exact in a double; beyond, whole numbers are summed
 
 
 def whole_vectors(table: DataFrame, vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, v): rows with a usable vector, components floor(scale * x) as whole numbers.
 
     Vectors that are null or hold a null or non-finite component are left out. Components
-    beyond the limit of exact arithmetic are held at it.
+    are long: what lies beyond that range is held at its end.
     """
 
     def finite(x: Column) -> Column:
         return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
     doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
-    clipped = F.transform(
-        doubles,
-        lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(LIMIT)), F.lit(-LIMIT)).cast("int"),
-    )
+    whole = F.transform(doubles, lambda x: F.floor(x * scale).cast("long"))
     usable = F.col(vector).isNotNull() & F.forall(doubles, finite)
-    return table.select("vec_id", F.when(usable, clipped).alias("v")).filter(
+    return table.select("vec_id", F.when(usable, whole).alias("v")).filter(
         F.col("v").isNotNull() & F.col("vec_id").isNotNull()
     )
 
 
+class Lists:
+    """The sorted lists of a block of vectors, and each vector's place in them."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.x = ids, x
+        self.order = np.argsort(x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(x, self.order, axis=0)
+        self.place = np.empty(x.shape, dtype=np.int32)
+        np.put_along_axis(self.place, self.order, np.arange(len(x), dtype=np.int32)[:, None], axis=0)
+
+
 def bounded_search(
-    ids: np.ndarray,
-    x: np.ndarray,
-    query_ids: np.ndarray,
-    q: np.ndarray,
-    k: int,
-    depths: tuple[float, ...] = DEPTHS,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query index, vec_id, score) of the k best rows of one block for each query.
-
-    ``x`` holds the block's vectors, ``q`` the queries, as doubles with whole values. The
-    query's own row takes no part. Ties go to the smaller id.
+    lists: Lists, query_ids: np.ndarray, q: np.ndarray, k: int, first: int = FIRST_DEPTH
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query index, vec_id, score) of the k best rows of one block for each query, and how many
+    entries were added to a sum.
+
+    ``q`` holds the queries, of the type of the block's components. The query's own row takes
+    no part. Ties go to the smaller id.
     """
-    n = len(x)
-    lists = np.sort(x, axis=0)  # the sorted lists, one column per dimension
-    up, down = np.maximum(q, 0.0), np.minimum(q, 0.0)
-    own = query_ids[:, None] == ids[None, :]
-    live = ~own
-    for depth in depths:
-        d = int(depth * n)
-        if d < k or d >= n:
-            continue
-        # read so far: the d largest where the weight is positive, the d smallest otherwise
-        last_high, last_low = lists[n - d], lists[d - 1]
-        read_high, read_low = x >= last_high, x <= last_low
-        # not yet read: between the worst entry of the list and the last one read
-        upper = up @ np.where(read_high, x, last_high).T + down @ np.where(read_low, x, last_low).T
-        lower = up @ np.where(read_high, x, lists[0]).T + down @ np.where(read_low, x, lists[-1]).T
-        lower[own] = -np.inf
-        threshold = np.partition(lower, n - k, axis=1)[:, n - k]
-        live &= upper >= threshold[:, None]
-        if live.sum(axis=1).max() <= k + FEW:
-            break
+    ids, x = lists.ids, lists.x
+    n, size = x.shape
+    kind = x.dtype.type if x.dtype != object else object
+    up, down = np.maximum(q, 0).T, np.minimum(q, 0).T  # dimension x query
+    sums = np.zeros((n, len(q)), dtype=kind)
+    live = ids[:, None] != query_ids[None, :]
+    dim_reads = 0
+    depth = 0
+    while depth < n and size:
+        to = min(n, 2 * depth or first)
+        wanted = live.any(axis=1)
+        for d in range(size):
+            for weights, rows in (
+                (up[d], lists.order[n - to : n - depth, d]),
+                (down[d], lists.order[depth:to, d]),
+            ):
+                who = np.flatnonzero(weights)
+                rows = rows[wanted[rows]]
+                if len(who) and len(rows):
+                    sums[rows[:, None], who] += x[rows, d][:, None] * weights[who]
+                    dim_reads += len(rows) * len(who)
+        depth = to
+        if depth < n:
+            live = _still_in(lists, sums, live, up, down, depth, k)
     out_q, out_id, out_score = [], [], []
     for i in range(len(q)):
-        left = np.flatnonzero(live[i])
-        scores = x[left] @ q[i]
-        best = np.lexsort((ids[left], -scores))[:k]
+        left = np.flatnonzero(live[:, i])
+        scores = sums[left, i]
+        best = sorted(range(len(left)), key=lambda j: (-scores[j], ids[left[j]]))[:k] if kind is object else np.lexsort((ids[left], -scores))[:k]
         out_q.append(np.full(len(best), i))
         out_id.append(ids[left][best])
         out_score.append(scores[best])
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score)
+    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score), dim_reads
+
+
+def _still_in(
+    lists: Lists, sums: np.ndarray, live: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int, k: int
+) -> np.ndarray:
+    """The pairs of vector and query that can still be among the k best, by their bounds."""
+    rows = np.flatnonzero(live.any(axis=1))
+    place, n = lists.place[rows], len(lists.x)
+    kind = sums.dtype
+    unread_high, unread_low = (place < n - depth).astype(kind), (place >= depth).astype(kind)
+    some = sums[rows]
+    # an unread component lies between the last entry read and the end of its list
+    upper = some + unread_high @ (up * lists.sorted[n - depth][:, None]) + unread_low @ (down * lists.sorted[depth - 1][:, None])
+    lower = some + unread_high @ (up * lists.sorted[0][:, None]) + unread_low @ (down * lists.sorted[-1][:, None])
+    out = live.copy()
+    for i in range(sums.shape[1]):
+        mine = live[rows, i]
+        bounds = lower[mine, i]
+        if len(bounds) > k:
+            threshold = np.sort(bounds)[-k] if kind == object else np.partition(bounds, -k)[-k]
+            out[rows, i] &= upper[:, i] >= threshold
+    return out
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its k best other rows of ``vectors``.
 
-    Both tables have vec_id (a key) and v (array of int, see ``whole_vectors``); other
+    Both tables have vec_id (a key) and v (array of long, see ``whole_vectors``); other
     columns are ignored. Vectors whose length differs from the query's have no score with
     it. Repeated rows of an id count as often as they occur, but never for their own id.
     Empty tables give no rows.
@@ -120,12 +151,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             if not len(cand):
                 continue
             ids = cand["vec_id"].to_numpy(dtype=np.int64)
-            x = np.stack(cand["v"].to_numpy()).astype(np.float64).reshape(len(cand), size)
+            x = np.stack(cand["v"].to_numpy()).reshape(len(cand), size)
             qid = asks["vec_id"].to_numpy(dtype=np.int64)
-            q = np.stack(asks["v"].to_numpy()).astype(np.float64).reshape(len(asks), size)
+            q = np.stack(asks["v"].to_numpy()).reshape(len(asks), size)
+            most = [max(map(abs, (int(v.max()), int(v.min())))) if v.size else 0 for v in (x, q)]
+            kind = np.float64 if max(size, 1) * most[0] * most[1] < EXACT else object
+            lists, q = Lists(ids, x.astype(kind)), q.astype(kind)
             for at in range(0, len(q), QUERIES_AT_ONCE):
                 part = slice(at, at + QUERIES_AT_ONCE)
-                i, vec, score = bounded_search(ids, x, qid[part], q[part], min(k, len(x)))
+                i, vec, score, _ = bounded_search(lists, qid[part], q[part], min(k, len(x)))
                 found.append(
                     pd.DataFrame({"query_id": qid[part][i], "vec_id": vec, "score": score})
                 )

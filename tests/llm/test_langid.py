@@ -29,9 +29,9 @@ def test_matches_plain_bayes(spark):
         for lang, prior in (("de", 1 / 4), ("en", 2 / 4), ("fr", 1 / 4)):
             smooth = counts[lang] + langid.SMOOTHING
             logs.append(np.log(prior) + found @ np.log(smooth / smooth.sum()))
-        lang, score = model.predict(text)
+        lang, score = model.predict(["x", text, None, text])[1]
         assert lang == ("de", "en", "fr")[int(np.argmax(logs))]
-        assert score == pytest.approx(1 / np.exp(logs - max(logs)).sum(), rel=1e-2, abs=1e-6)
+        assert score == pytest.approx(1 / np.exp(logs - max(logs)).sum(), rel=1e-9, abs=1e-12)
 
 
 def test_awkward_rows(spark, odd_docs, odd_rows, no_docs):
@@ -43,3 +43,26 @@ def test_awkward_rows(spark, odd_docs, odd_rows, no_docs):
     empty = langid.fit(no_docs)
     assert langid.predict_languages(no_docs, empty).count() == 0
     assert {r.lang_pred for r in langid.predict_languages(odd_docs, empty).collect()} == {"und"}
+
+
+def test_a_batch_scores_like_single_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "aé b c", "x"), (2, "d e f g", "y")], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    texts = ["a", "b c d", None, "", "12", "é" * 50, "g f e d c b a " * 9, "a"]
+    alone = [model.predict([t])[0] for t in texts]
+    assert model.predict(texts) == alone
+    monkeypatch.setattr(langid, "STEP", 7)
+    assert [lang for lang, _ in model.predict(texts)] == [lang for lang, _ in alone]
+    assert [s for _, s in model.predict(texts)] == pytest.approx([s for _, s in alone])
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, "text", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        langid.fit(docs)
+
+
+def test_clashing_names(odd_docs):
+    named = odd_docs.withColumnRenamed("key_", "text_").withColumnRenamed("weight", "lang_pred")
+    assert langid.predict_languages(named, langid.fit(named)).count() == odd_docs.count()

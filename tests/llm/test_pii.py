@@ -133,3 +133,33 @@ def test_awkward_rows(spark, odd_docs, odd_rows, no_docs):
     masked = clean.filter("doc_id = 10").first()
     assert "Mail [email] or [phone], host [ip]." in masked.text and masked.n_chars == len(masked.text)
     assert pii.redact(no_docs, pii.train_field(no_docs)).count() == 0
+
+
+def test_a_secret_is_judged_as_a_whole():
+    secret = "key=" + "a1" * 128
+    for tail, want in (("", "secret"), ("~~~%%%", None)):
+        text = secret + tail + " end"
+        tokens = pii.tokens_of(text)
+        labels = pii.rule_labels(text, [(4, e) for _, e in tokens], [])
+        assert labels == [pii.KINDS.index("secret") if want else pii.OTHER]
+    assert pii.shape("a" * 70 + "-9") == "a-0"
+
+
+def test_a_token_may_touch_many_base_spans():
+    text = "1.1.1.1" + "/2.2.2.2" * 20
+    base = pii.base_spans(text)
+    late = [(base[15][0], len(text))]
+    assert len(base) > 16 and pii.rule_labels(text, late, base) == [pii.KINDS.index("ip")]
+
+
+def test_probabilities_do_not_depend_on_other_texts():
+    rng = np.random.default_rng(6)
+    field = pii.Field(rng.normal(size=(pii.BUCKETS, 6)), rng.normal(size=(6, 6)))
+    found = rng.integers(0, pii.BUCKETS, (12, 9))
+    chain = np.array([(0, 1), (1, 2), (4, 5), (5, 6), (6, 7), (9, 10)])
+    skips = np.array([(0, 2), (4, 7), (9, 11)])
+    owner = np.repeat([0, 1, 2], [4, 5, 3])
+    together = pii.marginals(field, found, chain, skips, None, owner)
+    for text, low, high in ((0, 0, 4), (1, 4, 9), (2, 9, 12)):
+        own = [x[(x[:, 0] >= low) & (x[:, 0] < high)] - low for x in (chain, skips)]
+        assert np.array_equal(pii.marginals(field, found[low:high], *own), together[low:high])
