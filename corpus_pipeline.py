@@ -12,28 +12,41 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollbook.llm import jaccard, mixing, packing, pii, quality
-from rollbook.llm.common import docs_table, keep, shared_dir
+from rollbook.llm.common import docs_table, keep, release, shared_dir
 from rollbook.llm.queries import tokenizer_file
 
 
+NEAR_NGRAM, NEAR_PERCENT = 5, 80  # near copies: words of a shingle, and what texts share
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules with certified cutoffs; documents that they reject go."""
+    """Quality rules with certified cutoffs; documents that they reject go.
+
+    A null or empty text has no words and goes; texts are judged whole, whatever their length.
+    Repeated rows and rows without a doc_id are judged one by one. Without labels the base
+    rules decide alone; an empty table stays so.
+    """
     return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join; of each group of near copies the smallest doc_id stays.
 
-    Documents that belong to no group stay, those without a doc_id too. Rows that repeat a
-    doc_id that stays all stay.
+    Near copies share 80 percent of their five-word shingles. Documents that belong to no
+    group stay, those without a doc_id, a text or a word too. Rows that repeat a doc_id that
+    stays all stay. Texts are compared whole, whatever their length; an empty table stays so.
     """
-    found = jaccard.jaccard_components(docs)
+    found = jaccard.jaccard_components(docs, ngram=NEAR_NGRAM, percent=NEAR_PERCENT)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets are replaced by the name of their kind."""
+    """Personal data and secrets are replaced by the name of their kind.
+
+    No row goes. Null and empty texts stay as they are, whole texts of any length are searched,
+    repeated rows one by one. ``n_chars`` follows the text; an empty table stays so.
+    """
     return pii.redact(docs, pii.train_field(docs))
 
 
@@ -41,7 +54,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their targets; a document is there as often as the mix takes it.
 
     The mix is drawn without the texts, which are shuffled once, to meet its decisions.
-    Rows that agree in id, source and size share what the mix takes of them.
+    Rows that agree in id, source and size share what the mix takes of them. Null texts have
+    size 0 and are not drawn; long texts are taken whole or not at all; an empty table stays so.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     key = F.xxhash64("doc_id", "source", "size").alias("key_")
@@ -63,7 +77,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document tokenised and packed into sequences of 1024 tokens."""
+    """Every document tokenised and packed into sequences of 1024 tokens.
+
+    A null or empty text is its end token alone; long texts are cut into pieces; repeated rows
+    are packed one by one. An empty table gives no pieces.
+    """
     return packing.pack(packing.tokenise(docs, tokenizer_file()))
 
 
@@ -86,5 +104,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{base}/{k}")
+        release(spark)  # what the stage has put down on its way
         docs = spark.read.schema(out.schema).parquet(f"{base}/{k}")
     return docs
