@@ -40,7 +40,8 @@ def test_stages_against_brute_force(spark, tmp_path):
     good, single, masked, mixed, packed = rows.values()
     # too few labels to certify a cutoff here: the base rules alone decide
     assert sorted(r.doc_id for r in good) == sorted(r.doc_id for r in source if not counted(r.text)[-1])
-    roots = similar({r.doc_id: r.text for r in good})
+    roots = similar({r.doc_id: r.text for r in good}, corpus_pipeline.NEAR_NGRAM, corpus_pipeline.NEAR_PERCENT)
+    assert (corpus_pipeline.NEAR_NGRAM, corpus_pipeline.NEAR_PERCENT) == (5, 80)
     assert sorted(r.doc_id for r in single) == sorted(i for i, (_, root) in roots.items() if root == i)
     texts = {r.doc_id: r.text for r in single}
     assert sorted(texts) == sorted(r.doc_id for r in masked)
