@@ -54,8 +54,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their targets; a document is there as often as the mix takes it.
 
     The mix is drawn without the texts, which are shuffled once, to meet its decisions.
-    Rows that agree in id, source and size share what the mix takes of them. Null texts have
-    size 0 and are not drawn; long texts are taken whole or not at all; an empty table stays so.
+    Rows that agree in id, source and size share what the mix takes of them. A text
+    without words is taken once an epoch; long texts are taken whole or not at all; an empty
+    table stays so.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     key = F.xxhash64("doc_id", "source", "size").alias("key_")
