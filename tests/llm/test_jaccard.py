@@ -10,15 +10,17 @@ from rollbook.llm.queries import op5_ngram_jaccard
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
+def shingles(text, ngram=3):
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = WORD.findall(lowered)
-    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else ({tuple(w)} if w else set())
+    if len(w) < ngram:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + ngram]) for i in range(len(w) - ngram + 1)}
 
 
-def brute(texts):
+def brute(texts, ngram=3, percent=90):
     """doc_id -> (n_shingles, smallest doc_id in reach), all pairs compared."""
-    sets = {i: shingles(t) for i, t in texts.items()}
+    sets = {i: shingles(t, ngram) for i, t in texts.items()}
     root = {i: i for i in sets}
     ids = sorted(sets)
 
@@ -30,7 +32,7 @@ def brute(texts):
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {i: (len(sets[i]), find(i)) for i in ids}
@@ -82,7 +84,7 @@ def test_similar_sets_share_a_signature(share):
             more = (100 * len(b) - 90 * size) // 90
             b = np.concatenate([b, pool[size : size + max(0, more)]])
             both = size - drop
-            assert 100 * both >= 90 * (size + len(b) - both)
+            assert 100 * both >= percent * (size + len(b) - both)
             x, y = (set(jaccard.signatures(np.sort(s), frequent, 90).tolist()) for s in (a, b))
             assert x & y or set(a) == set(b)
 
