@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,7 +15,18 @@ from rollbook.functions.columns import to_whole
 
 # Arrival order of a CSV row. Stable once written with the row at ingest;
 # recomputing it on another read of the files is not.
-FILE_ORDER = ("src_file", "src_block", "src_row")
+FILE_ORDER = ("src_path", "src_block", "src_row")
+
+# Where a row of a file comes from.
+LINEAGE = {
+    "src_file": "string",
+    "src_path": "string",
+    "src_modified": "timestamp",
+    "src_block": "bigint",
+}
+
+# Identity of an arriving file, as the stream of a feed's files has it.
+ARRIVAL = ("path", "modificationTime", "length")
 
 
 def find_source(spark: SparkSession, candidates: Sequence[str]) -> str:
@@ -39,9 +51,12 @@ def _csv_schema(name: str) -> str:
 
 
 def with_file(df: DataFrame) -> DataFrame:
+    """Adds where each row comes from. Files of one name in different folders differ by path."""
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("src_file"),
+        F.col("_metadata.file_path").alias("src_path"),
+        F.col("_metadata.file_modification_time").alias("src_modified"),
         F.col("_metadata.file_block_start").alias("src_block"),
     )
 
@@ -65,6 +80,25 @@ def feed_header(columns: Sequence[str], name: str) -> dict[str, str]:
     return named
 
 
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
+    """The files behind ``paths`` by their header line, read in one pass over all of them.
+
+    The header is the first line with any text in it; a file without one has no rows either.
+    """
+    if not isinstance(paths, str) and not paths:
+        return {}
+    lines = spark.read.text(paths)
+    first = (
+        lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        .filter(F.trim("value") != "")
+        .select("file", "block", "value", F.monotonically_increasing_id().alias("row"))
+        .groupBy("file")
+        .agg(F.min_by("value", F.struct("block", "row")).alias("header"))
+    )
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return {r.header: r.files for r in sorted(found, key=lambda r: r.files)}
+
+
 def read_bronze_csv(spark: SparkSession, paths: str | Sequence[str], name: str) -> DataFrame:
     """All shards of a feed as text columns, with malformed lines kept in ``_corrupt``.
 
@@ -72,25 +106,38 @@ def read_bronze_csv(spark: SparkSession, paths: str | Sequence[str], name: str)
     misspellings are mapped, other names are an error. Files with one header are read
     together. Measures stay text until silver types them, so one bad number loses nothing.
     """
-    files: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(paths).inputFiles()):
-        header = tuple(spark.read.options(header=True).csv(file).columns)
-        files.setdefault(header, []).append(file)
     parts = []
-    for header, shards in files.items():
+    for line, shards in file_headers(spark, paths).items():
+        header = next(csv.reader([line.removeprefix("\ufeff")]), [])
         known = feed_header(header, name)
         schema = ", ".join(f"`{c}` string" for c in header) + ", _corrupt string"
         reader = spark.read.schema(schema).options(
             header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt"
         )
         named = with_file(reader.csv(shards)).withColumnsRenamed(known)
-        parts.append(named.select(*SCHEMAS[name], "_corrupt", "src_file", "src_block"))
+        parts.append(named.select(*SCHEMAS[name], "_corrupt", *LINEAGE))
     if not parts:
         empty = spark.createDataFrame([], _csv_schema(name))
-        parts = [empty.withColumns({"src_file": F.lit(""), "src_block": F.lit(0).cast("bigint")})]
+        parts = [empty.withColumns({c: F.lit(None).cast(t) for c, t in LINEAGE.items()})]
     return with_row_number(reduce(DataFrame.unionByName, parts))
 
 
+def read_arrivals(arrivals: DataFrame) -> DataFrame:
+    """The rows of a micro-batch of arriving files (see ``stream_csv``), by their headers.
+
+    The driver receives the paths of one micro-batch, ``max_files`` at most.
+    """
+    spark = arrivals.sparkSession
+    found = arrivals.select("path", "feed").distinct().collect()
+    feeds = {r.feed for r in found}
+    if len(feeds) > 1:
+        raise ValueError(f"files of several feeds in one batch: {sorted(feeds)}")
+    if not found:
+        name = arrivals.schema["feed"].metadata["feed"]
+        return read_bronze_csv(spark, [], name)
+    return read_bronze_csv(spark, sorted(r.path for r in found), feeds.pop())
+
+
 def read_profile_csv(
     spark: SparkSession, paths: str | Sequence[str], spec: TableSpec
 ) -> DataFrame:
@@ -108,14 +155,15 @@ def scan(spark: SparkSession, table: str) -> DataFrame:
 
 
 def stream_csv(spark: SparkSession, path: str, name: str, max_files: int = 1000) -> DataFrame:
-    """The same feed as a stream of arriving files; the sink numbers the rows."""
-    reader = spark.readStream.schema(_csv_schema(name)).options(
-        header=True,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord="_corrupt",
-        maxFilesPerTrigger=max_files,
+    """The arriving files of a feed as a stream: path, time, length and feed of each.
+
+    Their rows are read by the sink (see ``read_arrivals``): each file by its own header.
+    """
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary"
     )
-    return with_file(reader.csv(path))
+    files = reader.option("maxFilesPerTrigger", max_files).load(path)
+    return files.select(*ARRIVAL, F.lit(name).alias("feed", metadata={"feed": name}))
 
 
 def stream_topic(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:

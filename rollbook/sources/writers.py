@@ -47,6 +47,12 @@ def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
+def write_parts(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+    """Replace all that ``path`` holds, by the partition columns if there are any."""
+    writer = (by_partition(df, parts) if parts else df).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(path)
+
+
 def refresh_table(
     df: DataFrame,
     path: str,

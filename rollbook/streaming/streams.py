@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +12,7 @@ from rollbook.catalog import TableSpec
 from rollbook.operators.dedup import dedup_keep_first
 from rollbook.plans.silver import silver_split
 from rollbook.sources import readers, writers
+from rollbook.streaming import ledger
 
 
 def _start(writer, available_now: bool) -> StreamingQuery:
@@ -35,64 +34,54 @@ def append_parquet(
     return _start(writer, available_now)
 
 
-def run_name(checkpoint: str) -> str:
-    """Name of the run that a checkpoint belongs to: the same after every restart."""
-    return f"r{zlib.crc32(checkpoint.encode()):08x}"
+def _rows(batch: DataFrame) -> DataFrame:
+    """The rows of a micro-batch: arriving files are read, other rows are there already."""
+    return readers.read_arrivals(batch) if set(readers.ARRIVAL) <= set(batch.columns) else batch
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table under ``path`` with its run and batch columns; None before the first batch."""
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException:  # no such folder, or no batch in it with a schema yet
-        return None
-    return table if "run" in table.columns else None
+def _stamped(rows: DataFrame, source: str) -> DataFrame:
+    return rows.withColumns({"source": F.lit(source), "ingest_ts": F.current_timestamp()})
 
 
-def _arrival(columns: Sequence[str]) -> list[str]:
-    """Columns that name what arrived: the file of a feed, or the place of a message."""
-    if "src_file" in columns:
-        return ["src_file"]
-    return [c for c in ("topic", "partition", "offset") if c in columns]
-
-
-def _of_other_runs(rows: DataFrame, table: DataFrame | None, run: str, keys: list[str]) -> DataFrame:
-    """``rows`` without those whose keys another run has stored already."""
-    if table is None or not keys:
-        return rows
-    known = table.filter(F.col("run") != run).select(*keys).distinct()
-    return rows.join(known, keys, "left_anti")
-
-
-def _part(path: str, run: str) -> str:
-    return f"{path}/run={run}"
-
-
-def store_bronze(batch: DataFrame, batch_id: int, path: str, source: str, run: str) -> None:
-    """Write a micro-batch as a partition of its run; a retried batch replaces its own.
-
-    Files or messages that another run has stored are left out, so a stream that starts
-    anew with other batches adds nothing twice, and overwrites nothing.
-    """
-    new = _of_other_runs(batch, _stored(batch.sparkSession, path), run, _arrival(batch.columns))
-    stamped = new.withColumns({"source": F.lit(source), "ingest_ts": F.current_timestamp()})
-    writers.write_batch(stamped, _part(path, run), batch_id)
+def _by_ledger(
+    checkpoint: str,
+    ledger_path: str,
+    tables: dict[str, Sequence[str]],
+    write: Callable[[DataFrame, str, int], None],
+) -> Callable[[DataFrame, int], None]:
+    """A sink that gives ``write`` what no other batch has stored, with run and batch number,
+    and records it when all tables are written."""
+    started = False
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        nonlocal started
+        spark = batch.sparkSession
+        run = ledger.run_id(spark, checkpoint)
+        book = ledger.stored(spark, ledger_path)
+        if not started:
+            ledger.clear_unfinished(spark, book, tables, run, batch_id)
+            started = True
+        new = ledger.unseen(batch, ledger.of_other_batches(book, run, batch_id))
+        write(_rows(new), run, batch_id)
+        ledger.record(ledger.entries(new), ledger_path, run, batch_id)
 
-def _numbered(batch: DataFrame) -> DataFrame:
-    """Rows of file feeds numbered in their arrival order."""
-    return readers.with_row_number(batch) if "src_file" in batch.columns else batch
+    return store
 
 
 def bronze_stream(
     rows: DataFrame, path: str, checkpoint: str, source: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append-only raw rows with source and ingest time, one partition per run and micro-batch."""
-    run = run_name(checkpoint)
+    """Append-only raw rows with source and ingest time, one partition per run and micro-batch.
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        store_bronze(_numbered(batch), batch_id, path, source, run)
+    A retried batch replaces its own partition. What another run has stored is left out, by
+    the ledger beside the table, so a stream that starts anew adds nothing twice and
+    overwrites nothing; a file that was written anew under its old name is a new arrival.
+    """
 
+    def write(new: DataFrame, run: str, batch_id: int) -> None:
+        writers.write_parts(_stamped(new, source), ledger.batch_path(path, run, batch_id))
+
+    store = _by_ledger(checkpoint, f"{path}-ledger", {path: ()}, write)
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 
@@ -106,43 +95,37 @@ def silver_stream(
     aliases: dict[str, DataFrame] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Split each micro-batch into ``valid`` and ``quarantine``, then store it as ``bronze``.
+    """Split each micro-batch into ``valid`` and ``quarantine``, and store it as ``bronze``.
 
-    All three tables are laid out by run and batch. A batch replaces its own partitions
-    only. Keys in ``valid`` are unique over all batches of all runs, whatever the split
-    into batches; what arrives again is known by its file or message and left out. Bronze
-    is written last: a file it holds has its silver rows, and a run that was killed before
-    can be taken up by its own checkpoint or by a new one. One stream writes at a time.
+    All three tables are laid out by run and batch; a batch replaces its own partitions only.
+    Keys in ``valid`` are unique over all batches of all runs, whatever the split into
+    batches. What arrives again is known by the ``ledger`` and left out; a batch that is not
+    in it was killed on its way and is emptied when the next stream starts. One stream writes
+    at a time.
     """
     valid_path, quarantine_path = f"{folder}/valid", f"{folder}/quarantine"
-    bronze_path, run = f"{folder}/bronze", run_name(checkpoint)
+    bronze_path = f"{folder}/bronze"
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        numbered = _numbered(batch)
-        arrival = _arrival(batch.columns)
-        new = _of_other_runs(numbered, _stored(spark, bronze_path), run, arrival)
+    def write(new: DataFrame, run: str, batch_id: int) -> None:
+        spark = new.sparkSession
         valid, quarantine = silver_split(new, spec, aliases)
         first = dedup_keep_first(valid, spec.keys, spec.order).withColumn(
             "month", F.date_format(spec.date, "yyyy-MM")
         )
-        earlier = _stored(spark, valid_path)
+        earlier = ledger.stored(spark, valid_path)
         if earlier is not None:
             # a partition column limits the read to the months that the batch touches; years
             # have four digits, so there are at most 120,000 of them
             months = F.broadcast(first.select("month").distinct())
-            own = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
-            seen = earlier.filter(~own).join(months, "month", "left_semi").select(*spec.keys)
+            seen = ledger.of_other_batches(earlier, run, batch_id)
+            seen = seen.join(months, "month", "left_semi").select(*spec.keys)
             first = first.join(seen, list(spec.keys), "left_anti")
-        out = writers.by_partition(first, ["month"]).write.mode("overwrite")
-        out.option("partitionOverwriteMode", "static").partitionBy("month").parquet(
-            f"{_part(valid_path, run)}/batch_id={batch_id}"
-        )
-        # a file is in one micro-batch as a whole, so its name is enough here too
-        rejected = _of_other_runs(quarantine, _stored(spark, quarantine_path), run, arrival)
-        writers.write_batch(rejected, _part(quarantine_path, run), batch_id)
-        store_bronze(numbered, batch_id, bronze_path, source, run)
+        writers.write_parts(first, ledger.batch_path(valid_path, run, batch_id), ["month"])
+        writers.write_parts(quarantine, ledger.batch_path(quarantine_path, run, batch_id))
+        writers.write_parts(_stamped(new, source), ledger.batch_path(bronze_path, run, batch_id))
 
+    tables = {valid_path: ["month"], quarantine_path: (), bronze_path: ()}
+    store = _by_ledger(checkpoint, f"{folder}/ledger", tables, write)
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 

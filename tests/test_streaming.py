@@ -13,7 +13,7 @@ from rollbook.catalog import KEY, TableSpec
 from rollbook.operators import dedup
 from rollbook.plans.silver import silver_split, silver_table
 from rollbook.sources import readers
-from rollbook.streaming import streams
+from rollbook.streaming import ledger, streams
 
 HEADER = "date,state,district,pincode,age_0_5,age_5_17,age_18_greater"
 SPEC = TableSpec(
@@ -106,8 +106,9 @@ def test_replay_after_a_kill_and_without_the_old_files(spark, feed, tmp_path):
         for t in ("valid", "quarantine", "bronze")
     }
     # killed before the last batch was stored as bronze: its silver rows are there
-    (last,) = glob.glob(f"{out}/bronze/run=*/batch_id=1")
-    shutil.rmtree(last)
+    for table in ("bronze", "ledger"):  # which is written last
+        (last,) = glob.glob(f"{out}/{table}/run=*/batch_id=1")
+        shutil.rmtree(last)
     run_silver(spark, feed, out, str(tmp_path / "cp2"), 1000)
     # the first files are retired; a new checkpoint sees the last one only
     for f in ("part_0.csv", "part_1.csv"):
@@ -117,6 +118,108 @@ def test_replay_after_a_kill_and_without_the_old_files(spark, feed, tmp_path):
         assert rows_of(spark.read.parquet(f"{out}/{t}"), *SPEC.data_columns) == rows, t
 
 
+def batch_result(spark, folders, spec=SPEC):
+    """(valid keys and measures, all raw rows) of all files, in batch."""
+    raw = readers.read_bronze_csv(spark, folders, "enrolment")
+    return (
+        rows_of(silver_table(raw, spec), *spec.data_columns),
+        rows_of(raw, *spec.data_columns),
+    )
+
+
+def stream_result(spark, out):
+    return tuple(rows_of(spark.read.parquet(f"{out}/{t}"), *SPEC.data_columns) for t in ("valid", "bronze"))
+
+
+def csv_file(path, rows, when=1_700_000_000, header=HEADER):
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("\n".join([header, *rows]) + "\n")
+    os.utime(path, (when, when))
+
+
+def day(n, pin, value="1"):
+    return f"{n}-1-2025,Asia,North,{560000 + pin},{value},2,3"
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for k, name in enumerate(("a", "b")):
+        csv_file(tmp_path / name / "data.csv", [day(1 + i, 10 * k + i) for i in range(5)])
+    out = str(tmp_path / "out")
+    for name in ("a", "b"):
+        run_silver(spark, str(tmp_path / name), out, str(tmp_path / f"cp-{name}"))
+    want = batch_result(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert stream_result(spark, out) == want and len(want[0]) == 10
+    bronze = str(tmp_path / "bronze")
+    for name in ("a", "b", "a"):
+        run_bronze(spark, str(tmp_path / name), bronze, str(tmp_path / f"cpb-{name}"))
+    assert rows_of(spark.read.parquet(bronze), *SPEC.data_columns) == want[1]
+
+
+def test_a_checkpoint_wiped_and_used_again(spark, feed, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    run_silver(spark, feed, out, checkpoint, 1)
+    want = batch_result(spark, feed)
+    assert stream_result(spark, out) == want
+    for files in (2, 1000, 1):  # the same path, another split into batches
+        shutil.rmtree(checkpoint)
+        run_silver(spark, feed, out, checkpoint, files)
+        assert stream_result(spark, out) == want
+    for f in ("part_0.csv", "part_1.csv"):  # the old files are gone: their rows stay
+        os.remove(os.path.join(feed, f))
+    shutil.rmtree(checkpoint)
+    run_silver(spark, feed, out, checkpoint)
+    assert stream_result(spark, out) == want
+
+
+def test_a_file_written_anew_is_a_new_arrival(spark, tmp_path):
+    path, out = tmp_path / "in" / "data.csv", str(tmp_path / "out")
+    csv_file(path, [day(1, 1), day(2, 2)])
+    run_silver(spark, str(path.parent), out, str(tmp_path / "cp1"))
+    csv_file(path, [day(1, 1, "7"), day(3, 3)], when=1_700_000_100)
+    run_silver(spark, str(path.parent), out, str(tmp_path / "cp2"))
+    run_silver(spark, str(path.parent), out, str(tmp_path / "cp3"))
+    valid, bronze = stream_result(spark, out)
+    # bronze has both versions, silver the first row of each key
+    assert len(bronze) == 4 and [r[4] for r in valid] == [1, 1, 1]
+    assert {r[3] for r in valid} == {"560001", "560002", "560003"}
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    csv_file(folder / "a.csv", [day(1, 1)])
+    csv_file(folder / "b.csv", ["9,Goa,2-1-2025,South,403001,8,7"], 1_700_000_001, "age_5_17,state,date,district,pincode,age_0_5,age_18_greater")
+    run_silver(spark, str(folder), out, str(tmp_path / "cp"), 1000)
+    assert stream_result(spark, out) == batch_result(spark, str(folder))
+    goa = spark.read.parquet(f"{out}/valid").filter("state = 'Goa'").first()
+    assert (str(goa.date), goa.age_0_5, goa.age_5_17, goa.age_18_greater) == ("2025-01-02", 8, 9, 7)
+
+
+def test_a_batch_that_was_killed_is_done_again(spark, feed, tmp_path):
+    out, want = str(tmp_path / "out"), batch_result(spark, feed)
+    run_silver(spark, feed, out, str(tmp_path / "cp1"), 1)
+    # killed after valid and quarantine of the last batch, before bronze and ledger
+    for table in ("bronze", "ledger"):
+        (last,) = glob.glob(f"{out}/{table}/run=*/batch_id=2")
+        shutil.rmtree(last)
+    shutil.rmtree(str(tmp_path / "cp1"))
+    run_silver(spark, feed, out, str(tmp_path / "cp1"), 1000)
+    assert stream_result(spark, out) == want
+
+
+def test_messages_are_known_by_their_offsets(spark):
+    batch = spark.createDataFrame([("t", p, o) for p in (0, 1) for o in range(10)], "topic string, partition int, offset bigint")
+    book = spark.createDataFrame(
+        [("t", 0, 0, 2, "a", 0), ("t", 0, 3, 5, "a", 1), ("t", 1, 4, 4, "a", 0), ("u", 1, 0, 9, "a", 0), ("t", None, 0, 9, "a", 0), ("t", 0, 9, 9, "b", 3)],
+        "arrival string, part int, low bigint, high bigint, run string, batch_id int",
+    )
+    ranges = {tuple(r) for r in ledger.offset_ranges(book).collect()}
+    assert ranges == {("t", 0, 0, 5), ("t", 0, 9, 9), ("t", 1, 4, 4), ("u", 1, 0, 9)}
+    left = ledger.unseen(batch, ledger.of_other_batches(book, "b", 2))
+    assert rows_of(left, "partition", "offset") == sorted([(0, o) for o in (6, 7, 8, 9)] + [(1, o) for o in range(10) if o != 4], key=repr)
+    found = {tuple(r) for r in ledger.entries(batch).collect()}
+    assert found == {("t", 0, 0, 9), ("t", 1, 0, 9)}
+
+
 @pytest.fixture
 def events(spark, sf001, tmp_path):
     """The events table as three files in event order."""
