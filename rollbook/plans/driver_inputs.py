@@ -113,6 +113,68 @@ class DriverInputs:
             )
         )
 
+    @cached_property
+    def changes(self) -> DataFrame:
+        """A change log: events as inserts, updates and deletes of a user's value per type."""
+        number = F.col("event_id") % 10
+        kind = F.when(number == 0, "delete").when(number < 4, "insert").otherwise("update")
+        return self.table("events").select(
+            "user_id", "event_type", "event_id", kind.alias("kind"), "value", F.to_date("ts").alias("day")
+        )
+
+    @cached_property
+    def spellings(self) -> DataFrame:
+        """The nation of each customer, misspelt now and then: a letter lost, doubled or changed."""
+        nations = self.table("nation").select("n_nationkey", F.concat(F.lit("The "), "n_name").alias("name"))
+        rows = self.table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+
+        def every(n: int) -> Column:
+            return F.col("c_custkey") % n == 0
+
+        return rows.select(
+            F.when(every(97), F.replace("name", F.lit("ATI"), F.lit("TI")))
+            .when(every(89), F.replace("name", F.lit("ATI"), F.lit("AATI")))
+            .when(every(83), F.replace("name", F.lit("ATI"), F.lit("ETI")))
+            .when(every(79), F.upper(F.concat(F.lit("  "), "name")))
+            .when(every(73), F.lit(None))
+            .when(every(71), F.lit("  "))
+            .otherwise(F.col("name"))
+            .alias("label")
+        )
+
+    @cached_property
+    def messages(self) -> DataFrame:
+        """Events as JSON messages of a feed, some of them broken."""
+
+        def every(n: int) -> Column:
+            return F.col("event_id") % n == 0
+
+        def pair(name: str, value: Column) -> Column:
+            return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+
+        body = F.concat_ws(
+            ",",
+            pair("date", F.date_format("ts", "d-M-yyyy")),
+            pair("state", F.col("event_type")),
+            pair("pincode", (F.col("user_id") + 100000).cast("string")),
+            pair("age_0_5", (F.col("event_id") % 7).cast("string")),
+            F.when(every(11), pair("camp", (F.col("event_id") % 5).cast("string"))),
+        )
+        value = (
+            F.when(every(29), F.lit(None))
+            .when(every(23), "[1,2]")
+            .when(every(19), F.concat(F.lit("{"), body))
+            .when(every(17), '{"camp":"1"}')
+            .otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+        )
+        return self.table("events").select(
+            value.cast("binary").alias("value"),
+            F.lit("feed").alias("topic"),
+            (F.col("event_id") % 3).cast("int").alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("ts").alias("timestamp"),
+        )
+
     @cached_property
     def aliases(self) -> DataFrame:
         """District alias table: lower-case nation name to its printed name."""

@@ -430,6 +430,52 @@ def all_oracles() -> dict[str, str]:
             from lineitem join part on l_partkey = p_partkey
             where cast(l_shipdate as date)
               between date '1995-01-01' + p_size and date '1995-01-01' + p_size + 1000""",
+        "bucketed_interval_join": """
+            select l_orderkey, l_linenumber, l_partkey, cast(l_shipdate as date) as date, k::INTEGER as k,
+              date '1994-01-01' + (p_size + 45 * k)::INTEGER as start_date,
+              date '1994-01-01' + (p_size + 45 * k + 60)::INTEGER as end_date
+            from lineitem join part on l_partkey = p_partkey, range(41) r(k)
+            where cast(l_shipdate as date) between date '1994-01-01' + (p_size + 45 * k)::INTEGER
+              and date '1994-01-01' + (p_size + 45 * k + 60)::INTEGER""",
+        "change_log_state": """
+            select user_id, event_type, value, cast(ts as date) as day from (
+              select *, row_number() over (partition by user_id, event_type order by event_id desc) as n from events)
+            where n = 1 and event_id % 10 <> 0""",
+        "alias_proposals": """
+            with named as (
+              select c_custkey as k, 'The ' || n_name as name from customer join nation on c_nationkey = n_nationkey),
+            labels as (
+              select lower(trim(case when k % 97 = 0 then replace(name, 'ATI', 'TI')
+                when k % 89 = 0 then replace(name, 'ATI', 'AATI') when k % 83 = 0 then replace(name, 'ATI', 'ETI')
+                when k % 79 = 0 then upper('  ' || name) when k % 73 = 0 then null when k % 71 = 0 then '  '
+                else name end)) as label from named),
+            counts as (select label, count(*) as n from labels where label <> '' group by label),
+            pairs as (
+              select a.label as alias, b.label as canonical, a.n as n_alias, b.n as n_canonical,
+                levenshtein(a.label, b.label)::INTEGER as distance
+              from counts a join counts b on b.n >= 10 * a.n where levenshtein(a.label, b.label) <= 1)
+            select * from pairs
+            qualify row_number() over (partition by alias order by n_canonical desc, distance, canonical) = 1""",
+        "messages_parsed": """
+            select strftime(ts, '%-d-%-m-%Y') as date, event_type as state, null::VARCHAR as district,
+              cast(user_id + 100000 as varchar) as pincode, cast(event_id % 7 as varchar) as age_0_5,
+              null::VARCHAR as age_5_17, null::VARCHAR as age_18_greater,
+              case when event_id % 11 = 0 then '{"camp":"' || event_id % 5 || '"}' end as rest,
+              'feed' as topic, (event_id % 3)::INTEGER as partition, event_id as "offset", ts as event_ts
+            from events where event_id % 29 > 0 and event_id % 23 > 0 and event_id % 19 > 0 and event_id % 17 > 0""",
+        "messages_dead_letters": """
+            select case when event_id % 29 = 0 then null when event_id % 23 = 0 then '[1,2]'
+                when event_id % 19 = 0 then '{"date":"' || strftime(ts, '%-d-%-m-%Y') || '","state":"' || event_type
+                  || '","pincode":"' || (user_id + 100000) || '","age_0_5":"' || event_id % 7 || '"'
+                  || case when event_id % 11 = 0 then ',"camp":"' || event_id % 5 || '"' else '' end
+                else '{"camp":"1"}' end as raw,
+              case when event_id % 29 = 0 then 'no value' when event_id % 23 = 0 then 'not an object'
+                when event_id % 19 = 0 then 'unreadable JSON' else 'no declared field' end as reason,
+              'feed' as topic, (event_id % 3)::INTEGER as partition, event_id as "offset", ts as event_ts
+            from events where event_id % 29 = 0 or event_id % 23 = 0 or event_id % 19 = 0 or event_id % 17 = 0""",
+        "window_day_totals": """
+            select date_trunc('day', ts) as window_start, event_type, count(*) as rows, round(sum(value), 4) as value
+            from events group by all""",
         "table_shape": _raw("select count(*) as rows, cast(7 as bigint) as columns from raw"),
         "dup_full_count": _raw("select v as full_duplicates from dup_full", DUPLICATE_COUNTS),
         "dup_key_count": _raw("select v as key_duplicates from dup_key", DUPLICATE_COUNTS),

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from rollbook.catalog import KEY, SCHEMAS, SPECS, conform_schema
 from rollbook.functions import columns as fn
-from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
+from rollbook.operators import aliases, changes, contracts, dedup, gold, keys, profile, reports, stats
 from rollbook.plans.driver_inputs import DriverInputs
 from rollbook.plans.silver import silver_split, silver_table
-from rollbook.sources import writers
+from rollbook.sources import readers, writers
+from rollbook.streaming import streams
 
 ENROL = SPECS["enrolment"]
 MEASURES = list(ENROL.measures)
@@ -322,6 +323,47 @@ def active_interval_join(t):
     return gold.active_interval_join(fact, dim, "l_partkey", "date")
 
 
+@query
+def bucketed_interval_join(t):
+    start = F.date_add(F.lit("1994-01-01").cast("date"), F.col("p_size") + 45 * F.col("k"))
+    dim = t.table("part").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(40)))).select(
+        F.col("p_partkey").alias("l_partkey"), "k", start.alias("start_date"), F.date_add(start, 60).alias("end_date")
+    )
+    fact = t.table("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("date")
+    )
+    return gold.bucketed_interval_join(fact, dim, "l_partkey", "date")
+
+
+@query
+def change_log_state(t):
+    state = changes.latest(t.changes, ["user_id", "event_type"], "event_id")
+    return changes.live(state, "event_id")
+
+
+@query
+def alias_proposals(t):
+    return aliases.propose_aliases(t.spellings, "label")
+
+
+@query
+def messages_parsed(t):
+    rows, _ = readers.split_messages(t.messages, "enrolment")
+    return rows.withColumn("rest", F.to_json("rest"))
+
+
+@query
+def messages_dead_letters(t):
+    _, dead = readers.split_messages(t.messages, "enrolment")
+    return dead
+
+
+@query
+def window_day_totals(t):
+    totals = streams.window_totals(t.table("events"), "ts", ["event_type"], ["value"])
+    return totals.withColumn("value", F.round("value", 4))
+
+
 # --- aggregations -----------------------------------------------------------------
 
 

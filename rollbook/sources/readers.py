@@ -183,5 +183,36 @@ def parse_messages(messages: DataFrame, name: str) -> DataFrame:
     ).select(*[f"body.`{c}`" for c in SCHEMAS[name]], "topic", "partition", "offset", "event_ts")
 
 
+def split_messages(messages: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(feed rows, dead letters) of JSON messages; together they are all messages.
+
+    A feed row has the declared columns as text and in ``rest`` (VARIANT) the fields beyond
+    them. A dead letter keeps its raw value and the reason: no value, unreadable JSON, not an
+    object, or none of the declared fields. Both keep topic, partition, offset and event time.
+    """
+    place = ["topic", "partition", "offset", F.col("timestamp").alias("event_ts")]
+    text = F.col("value").cast("string")
+    fields = F.from_json(text, "map<string,string>")
+    tagged = messages.withColumns({"text_": text, "json_": F.try_parse_json(text)}).withColumn(
+        "fields_", F.when(F.schema_of_variant("json_").startswith("OBJECT"), fields)
+    )
+    known = F.array(*[F.lit(c) for c in SCHEMAS[name]])
+    reason = (
+        F.when(F.col("text_").isNull(), "no value")
+        .when(F.col("json_").isNull(), "unreadable JSON")
+        .when(F.col("fields_").isNull(), "not an object")
+        .when(~F.arrays_overlap(F.map_keys("fields_"), known), "no declared field")
+    )
+    judged = tagged.withColumn("reason", reason)
+    beyond = F.map_filter("fields_", lambda k, v: ~F.array_contains(known, k))
+    good = judged.filter(F.col("reason").isNull()).select(
+        *[F.col("fields_").getItem(c).alias(c) for c in SCHEMAS[name]],
+        F.when(F.size(beyond) > 0, F.try_parse_json(F.to_json(beyond))).alias("rest"),
+        *place,
+    )
+    dead = judged.filter(F.col("reason").isNotNull()).select(F.col("text_").alias("raw"), "reason", *place)
+    return good, dead
+
+
 # Arrival order of a message row.
 MESSAGE_ORDER = ("event_ts", "topic", "partition", "offset")
