@@ -24,7 +24,8 @@ SCALE = 64
 VECTORS_PER_BLOCK = 8_192
 QUERIES_PER_BLOCK = 1_024
 QUERIES_AT_ONCE = 128
-FIRST_DEPTH = 64  # entries of each list read before the first look at the bounds
+FIRST_DEPTH = 256  # entries of each list read before the first look at the bounds
+DEEPER = 8  # times as deep the next look is
 EXACT = 1 << 52  # sums below this are exact in a double; beyond, whole numbers are summed
 
 
@@ -72,33 +73,33 @@ def bounded_search(
     up, down = np.maximum(q, 0).T, np.minimum(q, 0).T  # dimension x query
     sums = np.zeros((n, len(q)), dtype=kind)
     live = ids[:, None] != query_ids[None, :]
-    dim_reads = 0
+    reads = 0
     depth = 0
     while depth < n and size:
-        to = min(n, 2 * depth or first)
-        wanted = live.any(axis=1)
-        for d in range(size):
-            for weights, rows in (
-                (up[d], lists.order[n - to : n - depth, d]),
-                (down[d], lists.order[depth:to, d]),
-            ):
-                who = np.flatnonzero(weights)
-                rows = rows[wanted[rows]]
-                if len(who) and len(rows):
-                    sums[rows[:, None], who] += x[rows, d][:, None] * weights[who]
-                    dim_reads += len(rows) * len(who)
+        to = min(n, DEEPER * depth or first)
+        rows = np.flatnonzero(live.any(axis=1))
+        place = lists.place[rows]
+        for weights, read in (
+            (up, (place >= n - to) & (place < n - depth)),
+            (down, (place >= depth) & (place < to)),
+        ):
+            # the entries of this step, all else zero: one product adds them for all queries
+            sums[rows] += np.where(read, x[rows], 0) @ weights
+            reads += int(read.sum(axis=0) @ np.count_nonzero(weights, axis=1))
         depth = to
         if depth < n:
             live = _still_in(lists, sums, live, up, down, depth, k)
     out_q, out_id, out_score = [], [], []
     for i in range(len(q)):
         left = np.flatnonzero(live[:, i])
+        if len(left) > k:
+            left = left[sums[left, i] >= _kth_largest(sums[left, i], k)]
         scores = sums[left, i]
-        best = sorted(range(len(left)), key=lambda j: (-scores[j], ids[left[j]]))[:k] if kind is object else np.lexsort((ids[left], -scores))[:k]
+        best = sorted(range(len(left)), key=lambda j: (-scores[j], ids[left[j]]))[:k]
         out_q.append(np.full(len(best), i))
         out_id.append(ids[left][best])
         out_score.append(scores[best])
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score), dim_reads
+    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score), reads
 
 
 def _still_in(
@@ -108,21 +109,28 @@ def _still_in(
     rows = np.flatnonzero(live.any(axis=1))
     place, n = lists.place[rows], len(lists.x)
     kind = sums.dtype
-    unread_high, unread_low = (place < n - depth).astype(kind), (place >= depth).astype(kind)
+    unread = np.concatenate([place < n - depth, place >= depth], axis=1).astype(kind)
     some = sums[rows]
+
+    def rest(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        return some + unread @ np.concatenate([up * high[:, None], down * low[:, None]])
+
     # an unread component lies between the last entry read and the end of its list
-    upper = some + unread_high @ (up * lists.sorted[n - depth][:, None]) + unread_low @ (down * lists.sorted[depth - 1][:, None])
-    lower = some + unread_high @ (up * lists.sorted[0][:, None]) + unread_low @ (down * lists.sorted[-1][:, None])
+    upper = rest(lists.sorted[n - depth], lists.sorted[depth - 1])
+    lower = rest(lists.sorted[0], lists.sorted[-1])
     out = live.copy()
     for i in range(sums.shape[1]):
         mine = live[rows, i]
         bounds = lower[mine, i]
         if len(bounds) > k:
-            threshold = np.sort(bounds)[-k] if kind == object else np.partition(bounds, -k)[-k]
-            out[rows, i] &= upper[:, i] >= threshold
+            out[rows, i] &= upper[:, i] >= _kth_largest(bounds, k)
     return out
 
 
+def _kth_largest(values: np.ndarray, k: int):
+    return np.sort(values)[-k] if values.dtype == object else np.partition(values, -k)[-k]
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its k best other rows of ``vectors``.
 
