@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollbook.operators.reshape import let, settled
+
 SKETCH_ACCURACY = 10_000
 STEPS = 32  # cuts are searched in two steps of this many
 CELLS = STEPS * STEPS
@@ -35,24 +37,26 @@ def exact_quantiles(
 
     ``probs`` ascend. Nulls and NaN are left out; a group without values has no rows.
     """
-    return quantiles_of_counts(value_counts(df, value, *([by] if by else [])), probs, by)
+    counts = settled(value_counts(df, value, *([by] if by else [])))
+    return quantiles_of_counts(counts, probs, by)
 
 
 def quantiles_of_counts(
     counts: DataFrame, probs: Sequence[float], by: str | None = None
 ) -> DataFrame:
-    """``exact_quantiles`` of a table (by, v, n) in which each value stands once."""
+    """``exact_quantiles`` of a table (by, v, n) in which each value stands once.
+
+    The table is read three times: settle it first.
+    """
     group = [by] if by else []
     counts = counts.filter(F.col("v").isNotNull() & ~F.isnan("v")).select(*group, "v", "n")
     even = [i / CELLS for i in range(1, CELLS)]
     cuts = counts.groupBy(*group).agg(
         F.percentile_approx("v", even, SKETCH_ACCURACY).alias("cuts")
     )
-    if by:
-        cut = counts.join(cuts, by)
-    else:
-        cut = counts.withColumn("cuts", cuts.select("cuts").scalar())
-    celled = cut.select(*group, "v", "n", _cell(F.col("v"), F.col("cuts")).alias("cell"))
+    cut = counts.join(cuts, by) if by else counts.withColumn("cuts", cuts.select("cuts").scalar())
+    cell = let(F.col("cuts"), lambda c: _cell(F.col("v"), c))
+    celled = cut.select(*group, "v", "n", cell.alias("cell"))
 
     # at most CELLS rows per group from here to the targets
     along = Window.partitionBy(*group).orderBy("cell")
@@ -126,4 +130,4 @@ def _cell(value: Column, cuts: Column) -> Column:
         between = F.slice(cuts, k * STEPS + 1, F.lit(STEPS - 1))
         return k * STEPS + F.size(F.filter(between, lambda c: c <= value))
 
-    return F.element_at(F.transform(F.array(step), fine), 1)
+    return let(step, fine)

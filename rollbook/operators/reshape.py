@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` written once into the plan, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, computed once into the session's checkpoint folder.
+
+    Steps that read a table several times then do not repeat what led to it, in the plan or in
+    the work. A session without ``spark.checkpoint.dir`` gets the rows as they are.
+    """
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
+
+
 def metric_rows(
     row: DataFrame, metrics: Sequence[str], name: str = "metric", value: str = "value"
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rollbook.functions.columns import classify, parse_date
 from rollbook.operators.profile import group_month_total, monthly_rows, monthly_total
 from rollbook.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts
+from rollbook.operators.reshape import let, settled
 
 
 def zscore_global(df: DataFrame, value: Column, name: str = "z") -> DataFrame:
@@ -131,26 +132,17 @@ def decile_edges(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     return edges.select(F.posexplode("edges").alias("idx", "edge"))
 
 
-def _edges_array(df: DataFrame, value: str, bins: int) -> Column:
-    """Sorted distinct edges as one scalar array of at most ``bins`` + 1 values."""
-    return _distinct_edges(exact_quantiles(df, value, _even_probs(bins)))
-
+def _bin_of(value: str) -> Column:
+    """1-based bin of a value between the sorted edges in ``edges``; null outside them."""
+    v = F.col(value).cast("double")
 
-def _distinct_edges(quantiles: DataFrame) -> Column:
-    return quantiles.agg(F.array_sort(F.collect_set("quantile"))).scalar()
+    def place(e: Column) -> Column:
+        last = F.size(e) - 1
+        reached = F.size(F.filter(e, lambda x: x <= v))
+        inside = (v >= F.get(e, F.lit(0))) & (v <= F.get(e, last))
+        return F.when(inside, F.least(reached, last))
 
-
-def _bin_of(value: str, bins: int) -> Column:
-    """1-based bin of a value in the ``edges`` column; null outside the edges."""
-    v = F.col(value).cast("double")
-    edges = F.col("edges")
-    last = F.size(edges) - 1
-    reached = reduce(
-        add,
-        [F.coalesce((F.get(edges, F.lit(i)) <= v).cast("int"), F.lit(0)) for i in range(bins + 1)],
-    )
-    inside = (v >= F.get(edges, F.lit(0))) & (v <= F.get(edges, last))
-    return F.when(inside, F.least(reached, last))
+    return let(F.col("edges"), place)
 
 
 def histogram(df: DataFrame, value: str, base: DataFrame, bins: int = 10) -> DataFrame:
@@ -159,27 +151,18 @@ def histogram(df: DataFrame, value: str, base: DataFrame, bins: int = 10) -> Dat
     Bins are half-open and the last one is closed; values outside are dropped and
     empty bins are kept with 0.
     """
-    edged = df.select(value).withColumn("edges", _edges_array(base, value, bins))
-    counts = edged.withColumn("bin", _bin_of(value, bins)).agg(
-        F.max("edges").alias("edges"),
-        *[F.count_if(F.col("bin") == b).alias(f"n{b}") for b in range(1, bins + 1)],
+    edges = settled(exact_quantiles(base, value, _even_probs(bins)).agg(F.array_sort(F.collect_set("quantile")).alias("edges")))
+    edged = df.select(value).withColumn("edges", edges.scalar())
+    binned = edged.select(_bin_of(value).alias("bin")).filter(F.col("bin").isNotNull())
+    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    bounds = edges.select(F.posexplode("edges").alias("at", "lower_edge"), "edges").select(
+        (F.col("at") + 1).alias("bin"), "lower_edge", F.get("edges", F.col("at") + 1).alias("upper_edge")
     )
-    rows = counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(b).alias("bin"),
-                        F.get("edges", F.lit(b - 1)).alias("lower_edge"),
-                        F.get("edges", F.lit(b)).alias("upper_edge"),
-                        F.col(f"n{b}").alias("n"),
-                    )
-                    for b in range(1, bins + 1)
-                ]
-            )
-        )
+    return (
+        bounds.filter(F.col("upper_edge").isNotNull())
+        .join(counts, "bin", "left")
+        .select("bin", "lower_edge", "upper_edge", F.coalesce("n", F.lit(0)).alias("n"))
     )
-    return rows.filter(F.col("upper_edge").isNotNull())
 
 
 def psi_drift(
@@ -187,17 +170,18 @@ def psi_drift(
 ) -> DataFrame:
     """(period, psi): population stability index of each period against the first one.
 
-    The source is read once, into counts of each value per period. The first
-    period, its deciles and the bins of all periods come from those counts; bins
+    The source is read once, into counts of each value per period (see ``settled``). The
+    first period, its deciles and the bins of all periods come from those counts; bins
     are summed side by side, so no period x bin grid has to be built and one row
     per period is left. Null psi if fewer than three distinct edges exist.
     """
-    counts = value_counts(df.filter(F.col(period).isNotNull()), value, period)
+    counts = settled(value_counts(df.filter(F.col(period).isNotNull()), value, period))
     first = counts.agg(F.min(period)).scalar()
     base = quantiles_of_counts(counts.filter(F.col(period) == first), _even_probs(bins))
-    binned = counts.withColumn("edges", _distinct_edges(base)).withColumn("bin", _bin_of("v", bins))
+    edges = settled(base.agg(F.array_sort(F.collect_set("quantile")).alias("edges")))
+    binned = counts.withColumn("edges", edges.scalar()).select(period, "n", _bin_of("v").alias("bin"))
+    n_edges = edges.select(F.size("edges")).scalar()
     counts = binned.groupBy(period).agg(
-        F.max(F.size("edges")).alias("n_edges"),
         *[
             F.coalesce(F.sum(F.when(F.col("bin") == b, F.col("n"))), F.lit(0)).alias(f"n{b}")
             for b in range(1, bins + 1)
@@ -207,7 +191,7 @@ def psi_drift(
     total = F.greatest(reduce(add, [F.col(f"n{b}") for b in range(1, bins + 1)]), F.lit(1))
     shares = counts.select(
         period,
-        "n_edges",
+        n_edges.alias("n_edges"),
         *[F.greatest(F.col(f"n{b}") / total, F.lit(1e-6)).alias(f"a{b}") for b in range(1, bins + 1)],
     )
     # one row per period remains, so a single ordered window is small
