@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.columns import (
+    DAY_FIRST,
     format_key_date,
     normalize_name,
     normalize_pincode,
@@ -20,14 +21,19 @@ from rollbook.operators.reshape import metric_rows
 KEY_COLUMNS = ("date_key", "state_key", "district_key", "pincode_key")
 
 
-def key_columns(df: DataFrame, compat: bool = False, date_text: bool = True) -> DataFrame:
+def key_columns(
+    df: DataFrame,
+    compat: bool = False,
+    date_text: bool = True,
+    formats: tuple[str, ...] = DAY_FIRST,
+) -> DataFrame:
     """The four normalised key columns of each row, before ``distinct``.
 
     Rows whose date cannot be read go. A null label also removes the row, or,
     with ``compat``, turns into the text ``nan`` as pandas would have it.
     ``date_text=False`` leaves the date a date, where no one reads the key.
     """
-    day = parse_date("date")
+    day = parse_date("date", formats)
 
     def text(c):
         return F.coalesce(c, F.lit("nan")) if compat else c
@@ -50,9 +56,11 @@ def complete(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def conformed_key(df: DataFrame, compat: bool = False) -> DataFrame:
+def conformed_key(
+    df: DataFrame, compat: bool = False, formats: tuple[str, ...] = DAY_FIRST
+) -> DataFrame:
     """Distinct normalised (date, state, district, pincode) keys."""
-    return key_columns(df, compat).distinct()
+    return key_columns(df, compat, formats=formats).distinct()
 
 
 def distinct_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -90,7 +98,10 @@ def key_intersect(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def key_presence(
-    tables: Mapping[str, DataFrame], compat: bool = False, date_text: bool = True
+    tables: Mapping[str, DataFrame],
+    compat: bool = False,
+    date_text: bool = True,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """One row per conformed key over all tables, with an ``in_<table>`` flag each.
 
@@ -98,7 +109,7 @@ def key_presence(
     place of one distinct per table and one join per pair.
     """
     tagged = [
-        key_columns(df, compat, date_text).select(
+        key_columns(df, compat, date_text, formats).select(
             *KEY_COLUMNS, *[F.lit(other == name).alias(f"in_{other}") for other in tables]
         )
         for name, df in tables.items()
@@ -115,20 +126,28 @@ def _only(a: str, b: str):
 
 
 def coverage_summary(
-    enrol: DataFrame, demo: DataFrame, bio: DataFrame, compat: bool = False
+    enrol: DataFrame,
+    demo: DataFrame,
+    bio: DataFrame,
+    compat: bool = False,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """(metric, value): keys of one table missing in another, four ways."""
-    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False)
+    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False, formats=formats)
     pairs = [("enroll", "demo"), ("enroll", "bio"), ("demo", "enroll"), ("bio", "enroll")]
     counts = seen.agg(*[_only(a, b).alias(f"{a}_not_in_{b}") for a, b in pairs])
     return metric_rows(counts, counts.columns)
 
 
 def coverage_pct(
-    enrol: DataFrame, demo: DataFrame, bio: DataFrame, compat: bool = False
+    enrol: DataFrame,
+    demo: DataFrame,
+    bio: DataFrame,
+    compat: bool = False,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """One row: enrolment key count and the percentage found in each other table."""
-    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False)
+    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False, formats=formats)
     keys = F.count_if("in_enroll")
 
     def pct(other):
@@ -138,7 +157,10 @@ def coverage_pct(
     return seen.agg(keys.alias("enroll_key_count"), pct("demo"), pct("bio"))
 
 
-def conformed_wide(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def conformed_wide(
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
+    formats: tuple[str, ...] = DAY_FIRST,
+) -> DataFrame:
     """All tables' measures on one conformed key, null where a table lacks the key.
 
     Equal to a full outer join of the pre-aggregated tables, but done as one
@@ -148,7 +170,7 @@ def conformed_wide(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Dat
     parts = []
     for df, measures in tables.values():
         conformed = df.select(
-            parse_date("date").alias("date_key"),
+            parse_date("date", formats).alias("date_key"),
             normalize_name("state").alias("state_key"),
             normalize_name("district").alias("district_key"),
             normalize_pincode("pincode").alias("pincode_key"),

@@ -12,7 +12,7 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.columns import is_blank, month_of, parse_date
+from rollbook.functions.columns import DAY_FIRST, is_blank, month_of, parse_date
 from rollbook.operators.quantiles import exact_quantiles
 from rollbook.operators.reshape import aggregate_per_column, metric_rows
 
@@ -214,9 +214,11 @@ def fd_violation_count(df: DataFrame, determinant: str, dependent: str, metric:
     )
 
 
-def date_range(df: DataFrame, date: str = "date") -> DataFrame:
+def date_range(
+    df: DataFrame, date: str = "date", formats: tuple[str, ...] = DAY_FIRST
+) -> DataFrame:
     """One row: first date, last date and number of values that are no date."""
-    return df.select(parse_date(date).alias("d")).agg(
+    return df.select(parse_date(date, formats).alias("d")).agg(
         F.min("d").alias("min_date"),
         F.max("d").alias("max_date"),
         F.count_if(F.col("d").isNull()).alias("null_dates"),
@@ -235,9 +237,11 @@ def text_length_distribution(df: DataFrame, text: Column) -> DataFrame:
 MONTH_START = "month_start_"
 
 
-def _with_month_start(df: DataFrame, date: str, keep_invalid_month: bool) -> DataFrame:
+def _with_month_start(
+    df: DataFrame, date: str, keep_invalid_month: bool, formats: tuple[str, ...]
+) -> DataFrame:
     """Adds the month as a date: grouping on it is cheaper than on formatted text."""
-    rows = df.withColumn(MONTH_START, F.trunc(parse_date(date), "month"))
+    rows = df.withColumn(MONTH_START, F.trunc(parse_date(date, formats), "month"))
     return rows if keep_invalid_month else rows.filter(F.col(MONTH_START).isNotNull())
 
 
@@ -246,21 +250,30 @@ def _month_text(keep_invalid_month: bool = False) -> Column:
 
 
 def monthly_total(
-    df: DataFrame, total: Column, date: str = "date", keep_invalid_month: bool = False
+    df: DataFrame,
+    total: Column,
+    date: str = "date",
+    keep_invalid_month: bool = False,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """(month, total); ``keep_invalid_month`` adds a NaT month for unreadable dates."""
     sums = (
-        _with_month_start(df, date, keep_invalid_month)
+        _with_month_start(df, date, keep_invalid_month, formats)
         .groupBy(MONTH_START)
         .agg(F.sum(total).alias("total"))
     )
     return sums.select(_month_text(keep_invalid_month), "total")
 
 
-def monthly_rows(df: DataFrame, date: str = "date", keep_invalid_month: bool = False) -> DataFrame:
+def monthly_rows(
+    df: DataFrame,
+    date: str = "date",
+    keep_invalid_month: bool = False,
+    formats: tuple[str, ...] = DAY_FIRST,
+) -> DataFrame:
     """(month, row_count)."""
     counts = (
-        _with_month_start(df, date, keep_invalid_month)
+        _with_month_start(df, date, keep_invalid_month, formats)
         .groupBy(MONTH_START)
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
@@ -268,11 +281,15 @@ def monthly_rows(df: DataFrame, date: str = "date", keep_invalid_month: bool = F
 
 
 def group_month_total(
-    df: DataFrame, total: Column, group: str = "state", date: str = "date"
+    df: DataFrame,
+    total: Column,
+    group: str = "state",
+    date: str = "date",
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """(group, month, total); rows with a null group or unreadable date are left out."""
     sums = (
-        _with_month_start(df.filter(F.col(group).isNotNull()), date, False)
+        _with_month_start(df.filter(F.col(group).isNotNull()), date, False, formats)
         .groupBy(group, MONTH_START)
         .agg(F.sum(total).alias("total"))
     )

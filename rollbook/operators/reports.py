@@ -82,7 +82,9 @@ def quality_metrics(df: DataFrame, spec: TableSpec, wanted: set[str]) -> DataFra
         spelling = df.select(normalize_name("district").alias("name"), "district")
         parts.append(fd_violation_count(spelling, "name", "district", "spelling_variants"))
     if "anomalies" in wanted:
-        anomalies = state_month_anomaly(df, row_total(*spec.measures), date=spec.date).agg(
+        anomalies = state_month_anomaly(
+            df, row_total(*spec.total_measures), date=spec.date, formats=spec.date_formats
+        ).agg(
             F.count_if(F.col("anomaly_class") != "normal").alias("anomalies")
         )
         parts.append(metric_rows(anomalies, ["anomalies"]))

@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.functions.columns import classify, parse_date
+from rollbook.functions.columns import DAY_FIRST, classify, parse_date
 from rollbook.operators.profile import group_month_total, monthly_rows, monthly_total
 from rollbook.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts
 from rollbook.operators.reshape import let, settled
@@ -54,10 +54,14 @@ def pct_change(
 
 
 def mom_growth(
-    df: DataFrame, total: Column, date: str = "date", last_n: int | None = None
+    df: DataFrame,
+    total: Column,
+    date: str = "date",
+    last_n: int | None = None,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """(month, total, mom_growth_pct) of the national series, optionally its last months."""
-    monthly = monthly_total(df, total, date)
+    monthly = monthly_total(df, total, date, formats=formats)
     # one row per calendar month remains, so a single ordered window is small
     previous = F.lag("total").over(Window.orderBy("month"))
     growth = F.try_divide(F.col("total").cast("double"), previous.cast("double")) - 1
@@ -72,13 +76,14 @@ def state_month_anomaly(
     date: str = "date",
     pct: float = 0.6,
     z: float = 3.0,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> DataFrame:
     """(group, month, total, pct_change, z, anomaly_class).
 
     With sample std a series of n months has |z| at most (n - 1) / sqrt(n), so at
     z = 3 a series of ten months or fewer cannot flag; both limits are parameters.
     """
-    return score_series(group_month_total(df, total, group, date), group, pct, z)
+    return score_series(group_month_total(df, total, group, date, formats), group, pct, z)
 
 
 def score_series(
@@ -215,10 +220,12 @@ def psi_drift(
     return result.select(period, psi.alias("psi"))
 
 
-def month_completeness(df: DataFrame, date: str = "date") -> DataFrame:
+def month_completeness(
+    df: DataFrame, date: str = "date", formats: tuple[str, ...] = DAY_FIRST
+) -> DataFrame:
     """(month, row_count, min_date, max_date): every calendar month, missing ones with 0."""
     days = (
-        df.select(parse_date(date).alias("d"))
+        df.select(parse_date(date, formats).alias("d"))
         .filter(F.col("d").isNotNull())
         .groupBy(F.trunc("d", "month").alias("month_start"))
         .agg(
@@ -239,21 +246,29 @@ def month_completeness(df: DataFrame, date: str = "date") -> DataFrame:
     )
 
 
-def freshness(df: DataFrame, as_of: str, group: str = "state", date: str = "date") -> DataFrame:
+def freshness(
+    df: DataFrame,
+    as_of: str,
+    group: str = "state",
+    date: str = "date",
+    formats: tuple[str, ...] = DAY_FIRST,
+) -> DataFrame:
     """(group, max_date, lag_days): age of the newest date at ``as_of`` (ISO text)."""
     return (
         df.filter(F.col(group).isNotNull())
         .groupBy(group)
-        .agg(F.max(parse_date(date)).alias("max_date"))
+        .agg(F.max(parse_date(date, formats)).alias("max_date"))
         .withColumn(
             "lag_days", F.datediff(F.lit(as_of).cast("date"), "max_date").cast("bigint")
         )
     )
 
 
-def last_n_months(df: DataFrame, n: int, date: str = "date") -> DataFrame:
+def last_n_months(
+    df: DataFrame, n: int, date: str = "date", formats: tuple[str, ...] = DAY_FIRST
+) -> DataFrame:
     """(month, row_count) of the last ``n`` months that have rows."""
-    return monthly_rows(df, date).orderBy(F.desc("month")).limit(n)
+    return monthly_rows(df, date, formats=formats).orderBy(F.desc("month")).limit(n)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:

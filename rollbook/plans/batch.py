@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.catalog import SPECS, TableSpec
-from rollbook.functions.columns import month_of, parse_date, row_total
+from rollbook.functions.columns import DAY_FIRST, month_of, parse_date, row_total
 from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
 from rollbook.plans.silver import typed_measures, write_silver
 from rollbook.sources import readers, writers
@@ -125,9 +125,9 @@ def run_profile(
         ),
         "outliers": stats.zscore_outliers(df, spec.keys, total),
         "drift": stats.psi_drift(by_month, "total", "month"),
-        "anomalies": stats.state_month_anomaly(df, total),
-        "trend": stats.mom_growth(df, total),
-        "months": stats.month_completeness(df),
+        "anomalies": stats.state_month_anomaly(df, total, date=spec.date, formats=spec.date_formats),
+        "trend": stats.mom_growth(df, total, spec.date, formats=spec.date_formats),
+        "months": stats.month_completeness(df, spec.date, spec.date_formats),
         "summary_metrics": reports.summary_metrics(df, spec),
         "rule_status": reports.rule_status(df, spec),
         "risk_register": reports.risk_register(df, spec),
@@ -139,14 +139,19 @@ def run_profile(
 
 
 def run_coverage(
-    enrol: DataFrame, demo: DataFrame, bio: DataFrame, folder: str, compat: bool = True
+    enrol: DataFrame,
+    demo: DataFrame,
+    bio: DataFrame,
+    folder: str,
+    compat: bool = True,
+    formats: tuple[str, ...] = DAY_FIRST,
 ) -> None:
     """The cross-table coverage summary and the four missing-key lists as CSV."""
     sets = {
-        name: keys.conformed_key(df, compat)
+        name: keys.conformed_key(df, compat, formats)
         for name, df in {"enrollment": enrol, "demographic": demo, "biometric": bio}.items()
     }
-    summary = keys.coverage_summary(enrol, demo, bio, compat)
+    summary = keys.coverage_summary(enrol, demo, bio, compat, formats)
     writers.write_report_csv(summary, f"{folder}/cross_table_coverage_summary")
     pairs = [
         ("enrollment", "demographic"),
