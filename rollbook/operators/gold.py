@@ -131,7 +131,11 @@ def kpi_rollup(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     Rows are combined to the finest level first, so the grouping sets multiply
     that small table and not the raw rows.
     """
-    finest = _monthly(df, ["state", "district"], measures)
+    return month_rollup(_monthly(df, ["state", "district"], measures), measures)
+
+
+def month_rollup(finest: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """``kpi_rollup`` of a table (state, district, month, measures) that may hold partial sums."""
     sets = [["month", "state", "district"], ["month", "state"], ["month"]]
     return finest.groupingSets(sets, "month", "state", "district").agg(
         F.grouping_id().cast("bigint").alias("level"), *[F.sum(m).alias(m) for m in measures]
@@ -140,12 +144,33 @@ def kpi_rollup(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 def kpi_cube(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Cross totals over state and month with ``level`` 0 to 3."""
-    finest = _monthly(df, ["state"], measures)
+    return month_cube(_monthly(df, ["state"], measures), measures)
+
+
+def month_cube(finest: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """``kpi_cube`` of a table (state, month, measures) that may hold partial sums."""
+    finest = finest.groupBy("state", "month").agg(*[F.sum(m).alias(m) for m in measures])
     return finest.cube("state", "month").agg(
         F.grouping_id().cast("bigint").alias("level"), *[F.sum(m).alias(m) for m in measures]
     )
 
 
+def month_sums(df: DataFrame, measures: Sequence[str], total: Column, date: str = "date") -> DataFrame:
+    """(month, state, district, rows, measures, total): the table that all monthly marts follow from."""
+    start = F.trunc(date, "month").alias("month_start_")
+    sums = df.groupBy("state", "district", start).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in measures], F.sum(total).alias("total")
+    )
+    return sums.select(month_of("month_start_").alias("month"), "state", "district", "rows", *measures, "total")
+
+
+def merge_month_sums(partial: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Partial ``month_sums`` of any split of the rows made one: late rows are added to their month."""
+    return partial.groupBy("month", "state", "district").agg(
+        *[F.sum(c).alias(c) for c in ("rows", *measures, "total")]
+    )
+
+
 def _monthly(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Measures summed per key and month; the month is formatted after the sum."""
     sums = df.groupBy(*keys, F.trunc("date", "month").alias("month_start_")).agg(
@@ -251,7 +276,17 @@ def dense_location_month(
     both where a stray date may stretch it. Each location's months lie in one row, so
     neither a cross join nor a join with a month spine takes place.
     """
-    monthly = _monthly(df, location, measures)
+    return dense_months(_monthly(df, location, measures), measures, location, first, last)
+
+
+def dense_months(
+    monthly: DataFrame,
+    measures: Sequence[str],
+    location: Sequence[str] = ("state", "district"),
+    first: str | None = None,
+    last: str | None = None,
+) -> DataFrame:
+    """``dense_location_month`` of a table with one row per location and month."""
     known = F.filter(
         F.collect_list(F.struct("month", F.struct(*measures).alias("sums"))),
         lambda x: x["month"].isNotNull(),

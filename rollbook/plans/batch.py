@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.catalog import SPECS, TableSpec
-from rollbook.functions.columns import DAY_FIRST, month_of, parse_date, row_total
+from rollbook.functions.columns import DAY_FIRST, parse_date, row_total
 from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
-from rollbook.plans.silver import typed_measures, write_silver
-from rollbook.sources import readers, writers
+from rollbook.plans.silver import silver_tables, typed_measures, write_silver
+from rollbook.sources import readers, snapshots, writers
 
 
 def run_bronze(
@@ -62,41 +62,88 @@ def run_silver(
     name: str,
     folder: str,
     aliases: dict[str, DataFrame] | None = None,
+    publish: bool = False,
 ) -> tuple[str, str]:
-    """Silver valid and quarantine tables of a feed from its bronze table."""
-    bronze = spark.read.parquet(f"{folder}/bronze/{name}")
-    return write_silver(bronze, bronze_spec(name), f"{folder}/silver/{name}", aliases)
+    """Silver valid and quarantine tables of a feed from its bronze table.
 
+    With ``publish`` both become visible at once, as a new version (see ``snapshots``).
+    """
+    bronze, spec = spark.read.parquet(f"{folder}/bronze/{name}"), bronze_spec(name)
+    out = f"{folder}/silver/{name}"
+    if not publish:
+        return write_silver(bronze, spec, out, aliases)
+    snapshots.publish(spark, out, silver_tables(bronze, spec, aliases))
+    return snapshots.path_of(spark, out, "valid"), snapshots.path_of(spark, out, "quarantine")
+
+
+def month_marts(spec: TableSpec, monthly: DataFrame) -> dict[str, DataFrame]:
+    """The monthly marts of a feed, from its ``gold.month_sums``: whole or merged from a stream."""
+    series = monthly.groupBy("state", "month").agg(F.sum("total").alias("total"))
+    marts = {
+        "kpi_rollup": gold.month_rollup(monthly, spec.measures),
+        "kpi_cube": gold.month_cube(monthly, spec.measures),
+        "trend": stats.trend_mart(series),
+        "rank": stats.rank_locations(series, 10),
+        "anomaly": stats.score_series(series),
+        "dense": gold.dense_months(monthly, spec.measures),
+    }
+    if spec.name == "identity_voter_link":
+        marts["linkage"] = gold.linkage_kpi(monthly, ["month", "state"])
+    if spec.name == "voter_registry":
+        marts["net_change"] = gold.net_change_kpi(monthly, ["month", "state"])
+    return marts
 
-def run_gold(spark: SparkSession, name: str, folder: str) -> dict[str, str]:
-    """Dimensions, fact, KPI roll-up, trend and anomaly marts of one feed."""
+
+def run_gold(
+    spark: SparkSession,
+    name: str,
+    folder: str,
+    publish: bool = False,
+    schemes: DataFrame | None = None,
+) -> dict[str, str]:
+    """Dimensions, fact and monthly marts of one feed; returns each table's path.
+
+    Silver is read for the dimensions, the fact and once for all monthly marts, whose sums per
+    month, state and district are written first. ``schemes`` (scheme_id, scheme_type) adds the
+    funnel of the scheme feed. With ``publish`` silver is read by its latest version, and all
+    tables become visible at once.
+    """
     spec = SPECS[name]
-    silver = spark.read.parquet(f"{folder}/silver/{name}/valid")
+    stored = f"{folder}/silver/{name}"
+    silver = snapshots.read(spark, stored, "valid") if publish else spark.read.parquet(f"{stored}/valid")
     out = f"{folder}/gold/{name}"
     money = [c for c, kind in spec.attributes.items() if kind.startswith("decimal") and c in silver.columns]
-    carried = [*spec.measures, *money]
-    series = (
-        silver.groupBy("state", month_of(spec.date).alias("month"))
-        .agg(F.sum(row_total(*spec.total_measures)).alias("total"))
-    )
+    fact = gold.fact_table(silver, [*spec.measures, *money], spec.date, spec.label_keys)
+    sums = gold.month_sums(silver, spec.measures, row_total(*spec.total_measures), spec.date)
+    writers.refresh_table(sums, f"{folder}/work/{name}/month_sums")
+    monthly = spark.read.parquet(f"{folder}/work/{name}/month_sums")
     tables = {
         "dim_date": gold.dim_date(silver),
         "dim_location": gold.dim_location(silver),
-        "fact": gold.fact_table(silver, carried, spec.date, spec.label_keys).withColumn(
-            "year", F.col("date_key").substr(1, 4).cast("int")
-        ),
-        "kpi_rollup": gold.kpi_rollup(silver, spec.measures),
-        "kpi_cube": gold.kpi_cube(silver, spec.measures),
-        "trend": stats.trend_mart(series),
-        "rank": stats.rank_locations(series, 10),
-        "anomaly": stats.score_series(series),
+        "fact": fact.withColumn("year", F.col("date_key").substr(1, 4).cast("int")),
+        **month_marts(spec, monthly),
     }
+    if name == "scheme_beneficiary" and schemes is not None:
+        tables["funnel"] = gold.scheme_funnel_kpi(fact, schemes)
+    parts = {table: ["year"] if table == "fact" else [] for table in tables}
+    if publish:
+        snapshots.publish(spark, out, {t: (df, parts[t]) for t, df in tables.items()})
+        return {table: snapshots.path_of(spark, out, table) for table in tables}
     for table, df in tables.items():
-        parts = ["year"] if table == "fact" else []
-        writers.refresh_table(df, f"{out}/{table}", parts)
+        writers.refresh_table(df, f"{out}/{table}", parts[table])
     return {table: f"{out}/{table}" for table in tables}
 
 
+def run_stream_gold(spark: SparkSession, spec: TableSpec, folder: str, out: str) -> int:
+    """Publish the monthly marts of a streamed feed from the sums that its batches have stored.
+
+    ``folder`` is the one of ``silver_stream``. The work grows with months and locations, not
+    with rows; returns the version.
+    """
+    monthly = gold.merge_month_sums(spark.read.parquet(f"{folder}/monthly"), spec.measures)
+    return snapshots.publish(spark, out, {t: (df, ()) for t, df in month_marts(spec, monthly).items()})
+
+
 def run_profile(
     spark: SparkSession, raw: DataFrame, spec: TableSpec, folder: str
 ) -> dict[str, DataFrame]:

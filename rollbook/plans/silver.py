@@ -79,6 +79,19 @@ def silver_table(
     return dedup_keep_first(valid, spec.keys, spec.order)
 
 
+def silver_tables(
+    bronze: DataFrame,
+    spec: TableSpec,
+    aliases: dict[str, DataFrame] | None = None,
+    partition_by: Sequence[str] = ("month",),
+) -> dict[str, tuple[DataFrame, Sequence[str]]]:
+    """``valid`` and ``quarantine`` of a bronze table, each with its partition columns."""
+    month = F.date_format(spec.date, "yyyy-MM")
+    _, quarantine = silver_split(bronze, spec, aliases)
+    valid = silver_table(bronze, spec, aliases).withColumn("month", month)
+    return {"valid": (valid, partition_by), "quarantine": (quarantine, ())}
+
+
 def write_silver(
     bronze: DataFrame,
     spec: TableSpec,
@@ -91,13 +104,6 @@ def write_silver(
     ``bronze`` should be a written table: it is scanned once per output, and the
     quarantine scan ends in the map stage. Rows are not cached.
     """
-    valid_path, quarantine_path = f"{folder}/valid", f"{folder}/quarantine"
-    silver = silver_table(bronze, spec, aliases).withColumn(
-        "month", F.date_format(spec.date, "yyyy-MM")
-    )
-    writers.by_partition(silver, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(valid_path)
-    _, quarantine = silver_split(bronze, spec, aliases)
-    quarantine.write.mode("overwrite").parquet(quarantine_path)
-    return valid_path, quarantine_path
+    for name, (df, parts) in silver_tables(bronze, spec, aliases, partition_by).items():
+        writers.write_parts(df, f"{folder}/{name}", parts)
+    return f"{folder}/valid", f"{folder}/quarantine"

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.catalog import TableSpec
+from rollbook.functions.columns import row_total
+from rollbook.operators import changes, gold
 from rollbook.operators.dedup import dedup_keep_first
 from rollbook.plans.silver import silver_split
 from rollbook.sources import readers, writers
@@ -97,14 +99,15 @@ def silver_stream(
 ) -> StreamingQuery:
     """Split each micro-batch into ``valid`` and ``quarantine``, and store it as ``bronze``.
 
-    All three tables are laid out by run and batch; a batch replaces its own partitions only.
+    What it adds to the totals of a month and place goes into ``monthly``, from which the marts
+    are kept up to date (see ``run_stream_gold``). All four tables are laid out by run and batch; a batch replaces its own partitions only.
     Keys in ``valid`` are unique over all batches of all runs, whatever the split into
     batches. What arrives again is known by the ``ledger`` and left out; a batch that is not
     in it was killed on its way and is emptied when the next stream starts. One stream writes
     at a time.
     """
     valid_path, quarantine_path = f"{folder}/valid", f"{folder}/quarantine"
-    bronze_path = f"{folder}/bronze"
+    bronze_path, monthly_path = f"{folder}/bronze", f"{folder}/monthly"
 
     def write(new: DataFrame, run: str, batch_id: int) -> None:
         spark = new.sparkSession
@@ -120,11 +123,15 @@ def silver_stream(
             seen = ledger.of_other_batches(earlier, run, batch_id)
             seen = seen.join(months, "month", "left_semi").select(*spec.keys)
             first = first.join(seen, list(spec.keys), "left_anti")
-        writers.write_parts(first, ledger.batch_path(valid_path, run, batch_id), ["month"])
+        stored = ledger.batch_path(valid_path, run, batch_id)
+        writers.write_parts(first, stored, ["month"])
+        kept = spark.read.schema(first.schema).parquet(stored)  # what is new, not computed again
+        sums = gold.month_sums(kept, spec.measures, row_total(*spec.total_measures), spec.date)
+        writers.write_parts(sums, ledger.batch_path(monthly_path, run, batch_id))
         writers.write_parts(quarantine, ledger.batch_path(quarantine_path, run, batch_id))
         writers.write_parts(_stamped(new, source), ledger.batch_path(bronze_path, run, batch_id))
 
-    tables = {valid_path: ["month"], quarantine_path: (), bronze_path: ()}
+    tables = {valid_path: ["month"], quarantine_path: (), bronze_path: (), monthly_path: ()}
     store = _by_ledger(checkpoint, f"{folder}/ledger", tables, write)
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
@@ -157,3 +164,33 @@ def window_totals(
         )
         .select(F.col("w.start").alias("window_start"), *by, "rows", *measures)
     )
+
+
+def change_stream(
+    rows: DataFrame,
+    folder: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    sequence: str,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Store the latest change of each key of every micro-batch (see ``changes.latest``).
+
+    Batches are not merged into one another when they come: ``changed_rows`` takes the latest
+    over all of them with one aggregate, so changes may come late, out of order and again.
+    """
+    path = f"{folder}/changes"
+
+    def write(new: DataFrame, run: str, batch_id: int) -> None:
+        state = changes.latest(new.drop(*set(ledger.MESSAGE) & set(new.columns)), keys, sequence)
+        writers.write_parts(state, ledger.batch_path(path, run, batch_id))
+
+    store = _by_ledger(checkpoint, f"{folder}/ledger", {path: ()}, write)
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return _start(writer, available_now)
+
+
+def changed_rows(spark: SparkSession, folder: str, keys: Sequence[str], sequence: str) -> DataFrame:
+    """The live rows of a table whose changes a ``change_stream`` has stored."""
+    stored = spark.read.parquet(f"{folder}/changes").drop("run", "batch_id")
+    return changes.live(changes.merge(stored, keys=keys, sequence=sequence), sequence)
