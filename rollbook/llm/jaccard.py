@@ -32,7 +32,8 @@ NGRAM = 3
 PERCENT = 90
 FREQUENT = 16  # sets seen to share a token, from which it counts as frequent
 FREQUENT_MOST = 1 << 20  # frequent tokens at most; the most frequent ones: bounds the broadcast
-CHUNK = 1 << 21  # bytes of text per numpy pass
+STEP_BYTES = 1 << 19  # bytes of text per numpy pass
+CHUNK = 1 << 21  # tokens of the sets of a chunk
 PAIRED = 128  # up to so many sets of a signature are paired one by one
 CELLS = 256  # of the count sketch that screens pairs
 BLOCK_SETS = 1_500
@@ -60,7 +61,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8), offsets
 
 
-def row_chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
+def row_chunks(offsets: np.ndarray, size: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer row is a range of its own."""
     start, rows = 0, len(offsets) - 1
     while start < rows:
