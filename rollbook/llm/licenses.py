@@ -1,9 +1,10 @@
 """License scan by diagonal voting, in built-in column expressions only.
 
-Every word 3-gram of a text is looked up among the 3-grams of the licence templates. A hit
-at word ``pos`` of the text and ``tpos`` of a template votes for the diagonal
-``pos - tpos``; neighbouring diagonals (words put in or left out) are merged, and a span
-counts if it holds enough of the template's distinct 3-grams.
+The rolling hash of every word 3-gram of a text is looked up among those of the licence
+templates. A hit at word ``pos`` of the text and ``tpos`` of a template votes for the diagonal
+``pos - tpos``; neighbouring diagonals (words put in or left out) are merged. Spans are
+verified word by word: hits whose words are not the template's are left out, and a span counts
+if the words that it has in line with the template are enough of the template's words.
 """
 
 from __future__ import annotations
@@ -41,33 +42,34 @@ TEMPLATES = {
 }
 K = 3
 NEAR = 2  # diagonals this close belong to one span
-COVER = 0.6  # share of a template's 3-grams that a span must hold
+COVER = 0.6  # share of a template's words that a span must hold in line
+BROADCAST_GRAMS = 200_000  # template grams up to which the table is broadcast
+UPPER = "abcdefghijklmnopqrstuvwxyz".upper()
 
 
-def template_grams(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(g0, g1, g2, places): each distinct 3-gram with the templates and positions that hold it.
+def words_of(text: Column) -> Column:
+    """Words of a text, A-Z in lower case; a null text has none."""
+    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
+    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
-    As many rows as the templates have words: a side of a fixed size.
-    """
-    rows = []
-    for label, text in templates.items():
-        w = text.split()
-        grams = max(1, len(set(zip(w, w[1:], w[2:], strict=False))))
-        rows += [
-            F.struct(
-                *[F.lit(x).alias(f"g{j}") for j, x in enumerate(w[i : i + K])],
-                F.struct(F.lit(label).alias("label"), F.lit(i).alias("tpos"), F.lit(grams).alias("grams")).alias("place"),
-            )
-            for i in range(len(w) - K + 1)
-        ]
+
+def template_grams(templates: DataFrame) -> DataFrame:
+    """(gram, places): the hash of each distinct 3-gram of the templates (label, text), and where
+    it stands: label, place, words, and how many words the template has."""
+    words = templates.select("label", words_of(F.col("text")).alias("t")).filter(F.size("t") >= K)
+    each = words.select("label", "t", F.explode(F.sequence(F.lit(0), F.size("t") - K)).alias("tpos"))
     return (
-        spark.range(1)
-        .select(F.explode(F.array(*rows)).alias("r"))
-        .groupBy("r.g0", "r.g1", "r.g2")
-        .agg(F.collect_list("r.place").alias("places"))
+        each.withColumn("words", F.slice("t", F.col("tpos") + 1, F.lit(K)))
+        .groupBy(F.xxhash64(*[F.get("words", F.lit(j)) for j in range(K)]).alias("gram"))
+        .agg(F.collect_list(F.struct("label", "tpos", "words", F.size("t").alias("size"))).alias("places"))
     )
 
 
+def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
+    """(label, text) of the given templates, by default of the notices above."""
+    return spark.createDataFrame(list((templates or TEMPLATES).items()), "label string, text string")
+
+
 def _base(w: Column, pos: Column) -> Column:
     """Label of the base phrase that starts at a word, or null; phrases cannot start together."""
     label = F.lit(None).cast("string")
@@ -80,18 +82,25 @@ def _base(w: Column, pos: Column) -> Column:
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] | None = None, cover: float = COVER
+    docs: DataFrame, templates: DataFrame | None = None, cover: float = COVER
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, spans) of every whole text.
 
     ``documents``: row_id, doc_id, n_words, n_base, first_word, last_word, base_labels (array).
     ``spans``: row_id, doc_id, label, first_word, last_word, votes, coverage.
-    Needs doc_id and text; other columns are ignored. Null texts are empty. Every row is
-    scanned on its own (``row_id`` tells repeated rows apart). A text with hits for many
-    templates has a span for each; overlapping spans all stay.
+    ``templates`` has label and text (default: the notices above); of any number, whole licence
+    texts too. Templates of fewer than 3 words are never found.
+    Needs doc_id and text; other columns are ignored. Null texts are empty, texts of any length
+    are scanned whole. Every row is scanned on its own (``row_id`` tells repeated rows apart). A
+    text with hits for many templates has a span for each; overlapping spans all stay. An empty
+    table gives no rows.
     """
-    grams = template_grams(docs.sparkSession, templates or TEMPLATES)
-    w = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0))
+    if templates is None:
+        templates = template_table(docs.sparkSession)
+    grams = keep(template_grams(templates), "license-grams")
+    if grams.count() <= BROADCAST_GRAMS:
+        grams = F.broadcast(grams)
+    w = words_of(F.col("text"))
     pos = F.col("pos")
     words = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", w.alias("w"))
     # one row per word, and one at -1 for the document itself
@@ -106,13 +115,16 @@ def scan_licenses(
         "doc_id",
         "n_words",
         "pos",
-        *[F.when(pos >= 0, F.get("w", pos + j)).alias(f"w{j}") for j in range(K)],
+        F.when(pos >= 0, F.slice("w", F.greatest(pos, F.lit(0)) + 1, F.lit(K))).alias("words"),
         F.when(pos >= 0, _base(F.col("w"), pos)).alias("base"),
     )
-    same = [F.col(f"w{j}") == F.col(f"g{j}") for j in range(K)]
+    rolling = F.when(F.size("words") == K, F.xxhash64(*[F.get("words", F.lit(j)) for j in range(K)]))
+    met = each.withColumn("rolling", rolling).join(grams, F.col("rolling") == F.col("gram"), "left")
+    # a hash may be shared by chance: the words decide
+    places = F.filter("places", lambda p: p["words"] == F.col("words"))
     hits = keep(
-        each.join(F.broadcast(grams), same[0] & same[1] & same[2], "left")
-        .filter((pos < 0) | F.col("base").isNotNull() | F.col("places").isNotNull())
+        met.withColumn("places", places)
+        .filter((pos < 0) | F.col("base").isNotNull() | (F.size("places") > 0))
         .select("row_id", "doc_id", "n_words", "pos", "base", "places"),
         "license-hits",
     )
@@ -126,7 +138,7 @@ def scan_licenses(
 
     votes = (
         hits.select("row_id", "doc_id", "pos", F.explode("places").alias("at"))
-        .groupBy("row_id", "doc_id", "at.label", "at.grams", (pos - F.col("at.tpos")).alias("diagonal"))
+        .groupBy("row_id", "doc_id", "at.label", "at.size", (pos - F.col("at.tpos")).alias("diagonal"))
         .agg(
             F.collect_set("at.tpos").alias("seen"),
             F.min("pos").alias("first_word"),
@@ -135,16 +147,21 @@ def scan_licenses(
     )
     along = Window.partitionBy("row_id", "doc_id", "label").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(along) > NEAR
+    # template words that stand in the text, in line with a diagonal of the span
+    in_line = F.array_distinct(
+        F.flatten(F.transform("seen", lambda t: F.transform(F.sequence(F.lit(0), F.lit(K - 1)), lambda j: t + j)))
+    )
     spans = (
         votes.withColumn("new", F.coalesce(far, F.lit(True)).cast("int"))
         .withColumn("span", F.sum("new").over(along))
-        .groupBy("row_id", "doc_id", "label", "grams", "span")
+        .groupBy("row_id", "doc_id", "label", "size", "span")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("votes"),
+            F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"),
             F.min("first_word").cast("long").alias("first_word"),
             F.max("last_word").cast("long").alias("last_word"),
         )
-        .withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / F.col("grams")))
+        .withColumn("votes", F.size("seen"))
+        .withColumn("coverage", F.size(in_line) / F.col("size"))
         .filter(F.col("coverage") >= cover)
         .select("row_id", "doc_id", "label", "first_word", "last_word", "votes", "coverage")
     )
