@@ -78,14 +78,19 @@ def split_valid_quarantine(
     return valid, tagged.filter(F.size("reasons") > 0)
 
 
+def failed_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """One row: rows checked, and how many fail each rule."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(_fails(rule)).alias(name) for name, rule in rules.items()],
+    )
+
+
 def quality_score(
     df: DataFrame, rules: Mapping[str, Column], severities: Mapping[str, str]
 ) -> DataFrame:
     """One row: rows checked and the severity-weighted percentage of rules passed."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(_fails(rule)).alias(name) for name, rule in rules.items()],
-    )
+    counts = failed_rows(df, rules)
     weights = {name: SEVERITY_WEIGHT[severities[name]] for name in rules}
     lost = sum(
         F.col(name) / F.greatest("rows", F.lit(1)) * weight for name, weight in weights.items()

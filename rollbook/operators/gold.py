@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollbook.catalog import LOCATION
 from rollbook.functions.columns import hash_key, month_of, normalize_name, pct_of, title_name
+from rollbook.operators.reshape import settled
 
 
 def canonicalize(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
@@ -276,7 +277,7 @@ def dense_location_month(
     both where a stray date may stretch it. Each location's months lie in one row, so
     neither a cross join nor a join with a month spine takes place.
     """
-    return dense_months(_monthly(df, location, measures), measures, location, first, last)
+    return dense_months(settled(_monthly(df, location, measures)), measures, location, first, last)
 
 
 def dense_months(

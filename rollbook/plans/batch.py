@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rollbook.catalog import SPECS, TableSpec
 from rollbook.functions.columns import DAY_FIRST, parse_date, row_total
-from rollbook.operators import contracts, dedup, gold, keys, profile, reports, stats
+from rollbook.operators import contracts, dedup, gold, keys, profile, reports, sketches, stats
 from rollbook.plans.silver import silver_tables, typed_measures, write_silver
 from rollbook.sources import readers, snapshots, writers
 
@@ -185,6 +185,27 @@ def run_profile(
     return result
 
 
+def run_sketches(spark: SparkSession, name: str, folder: str, batch_id: int) -> dict[str, DataFrame]:
+    """Add one bronze batch to the feed's running profile; returns ``profile`` and ``history``.
+
+    Only the batch itself is read. Its sketches and its failed rows per rule are stored under
+    ``folder/sketch``; profile and history are put together from what all batches have stored.
+    """
+    spec, base = bronze_spec(name), f"{folder}/sketch/{name}"
+    rows = typed_measures(spark.read.parquet(f"{folder}/bronze/{name}/batch_id={batch_id}"), spec)
+    found = sketches.column_sketches(rows, spec.data_columns, spec.measures)
+    writers.write_batch(found, f"{base}/columns", batch_id)
+    rules = contracts.silver_rules(spec)
+    failed = contracts.failed_rows(rows, rules)
+    writers.write_batch(failed, f"{base}/scores", batch_id)
+    merged = sketches.merge_sketches(spark.read.parquet(f"{base}/columns"))
+    scores = spark.read.parquet(f"{base}/scores")
+    return {
+        "profile": sketches.sketch_profile(merged),
+        "history": sketches.score_history(scores, contracts.rule_severities(spec)),
+    }
+
+
 def run_coverage(
     enrol: DataFrame,
     demo: DataFrame,

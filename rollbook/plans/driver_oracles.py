@@ -479,6 +479,16 @@ def all_oracles() -> dict[str, str]:
         "table_shape": _raw("select count(*) as rows, cast(7 as bigint) as columns from raw"),
         "dup_full_count": _raw("select v as full_duplicates from dup_full", DUPLICATE_COUNTS),
         "dup_key_count": _raw("select v as key_duplicates from dup_key", DUPLICATE_COUNTS),
+        "merged_sketches": _raw(
+            " union all ".join(
+                f"""select '{c}' as "column", count(*) as rows, count(*) filter ({c} is null) as null_count,
+                  {"count(*) filter (trim(" + c + ") = '')" if c in ("date", "state", "district", "pincode") else "0::BIGINT"} as blank_count,
+                  {f"min({c})::DOUBLE" if c.startswith("age") else "null::DOUBLE"} as min,
+                  {f"max({c})::DOUBLE" if c.startswith("age") else "null::DOUBLE"} as max,
+                  true as unique_within_bound from raw"""
+                for c in ("date", "state", "district", "pincode", "age_0_5", "age_5_17", "age_18_greater")
+            )
+        ),
         "null_profile": _raw(
             _per_column(
                 f"select '@c' as \"column\", count(*) filter (@c is null) as null_count, "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollbook.catalog import KEY, SCHEMAS, SPECS, conform_schema
 from rollbook.functions import columns as fn
-from rollbook.operators import aliases, changes, contracts, dedup, gold, keys, profile, reports, stats
+from rollbook.operators import aliases, changes, contracts, dedup, gold, keys, profile, reports, sketches, stats
 from rollbook.plans.driver_inputs import DriverInputs
 from rollbook.plans.silver import silver_split, silver_table
 from rollbook.sources import readers, writers
@@ -407,6 +407,20 @@ def column_profile(t):
     return profile.column_profile(t.enrolment, COLUMNS)
 
 
+@query
+def merged_sketches(t):
+    """Sketches of three parts of the table, merged: exact counts, and whether estimates hold."""
+    parts = [t.enrolment.filter(F.col("ingest_seq") % 3 == k) for k in range(3)]
+    stored = [sketches.column_sketches(p, COLUMNS, MEASURES) for p in parts]
+    merged = sketches.merge_sketches(keys.union_shards(stored))
+    unique = profile.column_profile(t.enrolment, COLUMNS).select("column", "unique_count")
+    off = F.abs(F.col("unique_estimate") - F.col("unique_count"))
+    near = off <= F.greatest(sketches.DISTINCT_ERROR * F.col("unique_count"), F.lit(1))
+    return sketches.sketch_profile(merged).join(unique, "column").select(
+        "column", "rows", "null_count", "blank_count", "min", "max", near.alias("unique_within_bound")
+    )
+
+
 @query
 def describe_numeric(t):
     return profile.describe_numeric(t.enrolment, MEASURES)
