@@ -32,15 +32,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_folders[app]
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def keep(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame:
     """The same rows, written once to the shared folder and read from there.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation. ``release`` deletes
-    what is kept, once results that read it are written.
+    what is kept, once results that read it are written. ``batch_bytes`` bounds the Arrow
+    batches that tasks get meanwhile: rows of whole texts are wide.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rollbook-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_BYTES, None)
+    try:
+        if batch_bytes:
+            spark.conf.set(ARROW_BYTES, str(batch_bytes))
+        df.write.parquet(path)
+    finally:
+        if batch_bytes and before is not None:
+            spark.conf.set(ARROW_BYTES, before)
     _kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

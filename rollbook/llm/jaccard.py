@@ -33,11 +33,14 @@ PERCENT = 90
 FREQUENT = 16  # sets seen to share a token, from which it counts as frequent
 FREQUENT_MOST = 1 << 20  # frequent tokens at most; the most frequent ones: bounds the broadcast
 STEP_BYTES = 1 << 19  # bytes of text per numpy pass
-CHUNK = 1 << 21  # tokens of the sets of a chunk
+CHUNK = 1 << 19  # tokens of the sets of a chunk
+BATCH_BYTES = 4 << 20  # of the Arrow batches that texts come in
+SIGN_ROWS = 1_000  # texts whose signatures are in memory at once
+SEEN = 1 << 18  # sets that a task remembers to have signed
 PAIRED = 128  # up to so many sets of a signature are paired one by one
 CELLS = 256  # of the count sketch that screens pairs
 BLOCK_SETS = 1_500
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 750_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
@@ -329,7 +332,7 @@ def similar_sets(
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
-    profile = keep(_profile(docs, ngram), "shingle-sets")
+    profile = keep(_profile(docs, ngram), "shingle-sets", BATCH_BYTES)
     of_docs = profile.filter(F.col("doc_id").isNotNull())
     often = (
         profile.filter(F.col("doc_id").isNull())
@@ -345,9 +348,9 @@ def similar_sets(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies of a set within a task need no second signature
-        for batch in batches:
+        for batch in (b.slice(i, SIGN_ROWS) for b in batches for i in range(0, b.num_rows, SIGN_ROWS)):
             sigs, owners, sizes = [], [], []
-            if len(seen) > CHUNK:
+            if len(seen) > SEEN:
                 seen.clear()
             for s in shingle_sets(batch.column("text"), ngram):
                 owner = mix64(s + _PLACES[3]).sum(dtype=np.uint64)
@@ -373,7 +376,7 @@ def similar_sets(
         .filter(F.col("low") != F.col("high"))
         .select("sig", "rows")
     )
-    posted = keep(signed.join(shared, "sig"), "postings")
+    posted = keep(signed.join(shared, "sig"), "postings", BATCH_BYTES)
     near = _paired(posted, of_docs, percent).union(_starred(posted, percent))
     grouped = keep(
         components(near).withColumnsRenamed({"node": "h1", "root": "bundle"}), "set-bundles"
@@ -422,6 +425,7 @@ def similar_sets(
         .groupBy("cell")
         .applyInPandas(verify, "a long, b long"),
         "set-links",
+        BATCH_BYTES,
     )
     members = of_docs.join(classes, ["h1", "h2", "n"], "left").select(
         "doc_id",
