@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.operators.reshape import metric_rows
+from rollbook.operators.reshape import metric_rows, settled
 from rollbook.operators.skew import semi_join_spread
 
 
@@ -35,7 +35,7 @@ def count_duplicates(df: DataFrame, keys: Sequence[str], metric: str = "duplicat
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once; rows of hot keys are not shuffled."""
-    repeated = key_counts(df, keys).filter("n > 1")
+    repeated = settled(key_counts(df, keys).filter("n > 1"))
     return semi_join_spread(df, repeated, keys)
 
 

@@ -108,8 +108,9 @@ def key_presence(
     All keys are de-duplicated and matched in a single combined aggregation, in
     place of one distinct per table and one join per pair.
     """
+    raw = ("date", "state", "district", "pincode")
     tagged = [
-        key_columns(df, compat, date_text, formats).select(
+        key_columns(df.select(*raw).distinct(), compat, date_text, formats).select(
             *KEY_COLUMNS, *[F.lit(other == name).alias(f"in_{other}") for other in tables]
         )
         for name, df in tables.items()
@@ -164,17 +165,21 @@ def conformed_wide(
     """All tables' measures on one conformed key, null where a table lacks the key.
 
     Equal to a full outer join of the pre-aggregated tables, but done as one
-    union and one combined aggregation: one shuffle, and no hot join key.
+    union and one combined aggregation: no hot join key. Each table is summed by its raw
+    key first, so a date or name is parsed once and not with every row that holds it.
     """
     all_measures = [m for _, measures in tables.values() for m in measures]
     parts = []
     for df, measures in tables.values():
-        conformed = df.select(
+        raw = df.groupBy("date", "state", "district", "pincode").agg(
+            *[F.sum(F.col(m).cast("bigint")).alias(m) for m in measures]
+        )
+        conformed = raw.select(
             parse_date("date", formats).alias("date_key"),
             normalize_name("state").alias("state_key"),
             normalize_name("district").alias("district_key"),
             normalize_pincode("pincode").alias("pincode_key"),
-            *[F.col(m).cast("bigint").alias(m) for m in measures],
+            *measures,
         )
         parts.append(conformed.filter(complete(KEY_COLUMNS)))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollbook.catalog import KEY, SCHEMAS, SPECS, conform_schema
 from rollbook.functions import columns as fn
 from rollbook.operators import aliases, changes, contracts, dedup, gold, keys, profile, reports, sketches, stats
+from rollbook.operators.reshape import settled
 from rollbook.plans.driver_inputs import DriverInputs
 from rollbook.plans.silver import silver_split, silver_table
 from rollbook.sources import readers, writers
@@ -301,7 +302,7 @@ def conformed_wide(t):
 
 @query
 def fact_star_join(t):
-    silver = silver_table(t.enrolment, ENROL, {"district": t.aliases})
+    silver = settled(silver_table(t.enrolment, ENROL, {"district": t.aliases}))
     fact = gold.fact_table(silver, ["ingest_seq", *MEASURES])
     dated = gold.fact_to_dim(
         fact, gold.dim_date(silver).select("date_key", "year", "quarter", "month"), "date_key"
