@@ -40,7 +40,7 @@ SEEN = 1 << 18  # sets that a task remembers to have signed
 PAIRED = 128  # up to so many sets of a signature are paired one by one
 CELLS = 256  # of the count sketch that screens pairs
 BLOCK_SETS = 1_500
-BLOCK_TOKENS = 750_000
+BLOCK_TOKENS = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
@@ -178,12 +178,18 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """
     count = len(sets)
     sizes = np.array([len(s) for s in sets])
+    # tokens numbered in order, in 32 bits: a block is small, its arrays should be too
     flat = np.concatenate(sets)
-    _, token = np.unique(flat, return_inverse=True)
-    owner = np.repeat(np.arange(count), sizes)
-    order = np.argsort(token, kind="stable")
-    posting = owner[order]
-    begin = np.searchsorted(token[order], np.arange(token.max() + 2))
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    number = np.cumsum(np.append(False, flat[1:] != flat[:-1]), dtype=np.int32)
+    del flat
+    token = np.empty(len(order), dtype=np.int32)
+    token[order] = number
+    posting = np.repeat(np.arange(count, dtype=np.int32), sizes)[order]
+    del order
+    begin = np.searchsorted(number, np.arange(number[-1] + 2, dtype=np.int32))
+    del number
     starts = np.cumsum(sizes) - sizes
     group = np.arange(count)
     open_ = np.ones(count, dtype=bool)
