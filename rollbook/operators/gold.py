@@ -122,7 +122,7 @@ def bucketed_interval_join(
     )
     cut = near.withColumn("bucket_", F.explode(F.sequence(bucket(F.col("first_")), bucket(F.col("last_"))))).drop("first_", "last_")
     dated = fact.withColumn("bucket_", bucket(F.col(date)))
-    met = dated.join(cut, [on, "bucket_"]).filter(F.col(date).between(F.col(start), F.col(end)))
+    met = dated.join(cut.hint("merge"), [on, "bucket_"]).filter(F.col(date).between(F.col(start), F.col(end)))
     return met.select(*fact.columns, *[c for c in dim.columns if c != on])
 
 

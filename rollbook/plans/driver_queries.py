@@ -327,7 +327,9 @@ def active_interval_join(t):
 @query
 def bucketed_interval_join(t):
     start = F.date_add(F.lit("1994-01-01").cast("date"), F.col("p_size") + 45 * F.col("k"))
-    dim = t.table("part").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(40)))).select(
+    # the parts lie in one or two splits of a file: dealt out before each becomes 41 intervals
+    part = t.table("part").select("p_partkey", "p_size").repartition("p_partkey")
+    dim = part.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(40)))).select(
         F.col("p_partkey").alias("l_partkey"), "k", start.alias("start_date"), F.date_add(start, 60).alias("end_date")
     )
     fact = t.table("lineitem").select(

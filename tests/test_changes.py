@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.operators import aliases, changes, gold
+from rollbook.plans.driver_queries import all_queries
 from rollbook.sources import readers
 
 LOG = "k int, seq int, kind string, v int"
@@ -122,6 +123,23 @@ def test_a_key_with_many_intervals_meets_near_ones_only(spark):
     assert loose.count() <= 2000 * (16 + 10)
 
 
+def test_intervals_in_buckets_are_never_broadcast(spark):
+    """One row of the dimension becomes 40,000 before it is joined, and the planner counts it as one."""
+    day = F.lit("2000-01-01").cast("date")
+    dim = spark.range(1).select(F.col("id").alias("k"), day.alias("start_date"), F.date_add(day, 40_000).alias("end_date"))
+    fact = spark.range(40_001).select(F.lit(0).cast("bigint").alias("k"), F.date_add(day, F.col("id").cast("int")).alias("date"))
+    met = gold.bucketed_interval_join(fact, dim, "k", "date", days=1)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert met.count() == 40_001
+
+
+def test_parts_are_dealt_out_before_they_become_intervals(spark, sf001):
+    df = all_queries()["bucketed_interval_join"](spark, sf001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning(p_partkey" in plan
+
+
 def test_dead_letters_keep_what_came(spark):
     values = ['{"date":"1-1-2025","state":"s","odd":{"x":[1]}}', "{", "[]", '"text"', "7", "null", "{}", '{"odd":1}', None, "", '{"date":null}']
     messages = spark.createDataFrame([(v, "t", 0, i) for i, v in enumerate(values)], "value string, topic string, partition int, offset long")
