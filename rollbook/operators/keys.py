@@ -17,6 +17,7 @@ from rollbook.functions.columns import (
     parse_date,
 )
 from rollbook.operators.reshape import metric_rows
+from rollbook.operators.skew import spread, spread_distinct
 
 KEY_COLUMNS = ("date_key", "state_key", "district_key", "pincode_key")
 
@@ -102,21 +103,23 @@ def key_presence(
     compat: bool = False,
     date_text: bool = True,
     formats: tuple[str, ...] = DAY_FIRST,
+    rows: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row per conformed key over all tables, with an ``in_<table>`` flag each.
 
     All keys are de-duplicated and matched in a single combined aggregation, in
-    place of one distinct per table and one join per pair.
+    place of one distinct per table and one join per pair. ``rows``, the tables' row
+    counts where known, keep the rows of a task alike at every size.
     """
     raw = ("date", "state", "district", "pincode")
     tagged = [
-        key_columns(df.select(*raw).distinct(), compat, date_text, formats).select(
+        key_columns(spread_distinct(df.select(*raw), n), compat, date_text, formats).select(
             *KEY_COLUMNS, *[F.lit(other == name).alias(f"in_{other}") for other in tables]
         )
-        for name, df in tables.items()
+        for (name, df), n in zip(tables.items(), rows or [None] * len(tables))
     ]
     return (
-        reduce(DataFrame.unionByName, tagged)
+        spread(reduce(DataFrame.unionByName, tagged), KEY_COLUMNS, sum(rows or []))
         .groupBy(*KEY_COLUMNS)
         .agg(*[F.max(f"in_{name}").alias(f"in_{name}") for name in tables])
     )
@@ -132,9 +135,11 @@ def coverage_summary(
     bio: DataFrame,
     compat: bool = False,
     formats: tuple[str, ...] = DAY_FIRST,
+    rows: Sequence[int] | None = None,
 ) -> DataFrame:
     """(metric, value): keys of one table missing in another, four ways."""
-    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False, formats=formats)
+    tables = {"enroll": enrol, "demo": demo, "bio": bio}
+    seen = key_presence(tables, compat, date_text=False, formats=formats, rows=rows)
     pairs = [("enroll", "demo"), ("enroll", "bio"), ("demo", "enroll"), ("bio", "enroll")]
     counts = seen.agg(*[_only(a, b).alias(f"{a}_not_in_{b}") for a, b in pairs])
     return metric_rows(counts, counts.columns)
@@ -146,9 +151,11 @@ def coverage_pct(
     bio: DataFrame,
     compat: bool = False,
     formats: tuple[str, ...] = DAY_FIRST,
+    rows: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row: enrolment key count and the percentage found in each other table."""
-    seen = key_presence({"enroll": enrol, "demo": demo, "bio": bio}, compat, date_text=False, formats=formats)
+    tables = {"enroll": enrol, "demo": demo, "bio": bio}
+    seen = key_presence(tables, compat, date_text=False, formats=formats, rows=rows)
     keys = F.count_if("in_enroll")
 
     def pct(other):

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large part of the rows."""
+"""Steps whose tasks stay alike: by one heavy key, and as the rows grow."""
 
 from __future__ import annotations
 
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 # at most 1 / HOT_SHARE hot keys: that bounds the broadcast.
 HOT_SHARE = 1 / 256
 
+# A task sorts or groups about so many rows. A key's rows from all scans go to so many tasks.
+TASK_ROWS = 400_000
+DEALS = 16
+
 
 def null_safe(keys: Sequence[str], prefix: str) -> Column:
     """Equality on keys against ``prefix + key``, null matching null."""
@@ -46,3 +50,26 @@ def semi_join_spread(
     at_once = df.join(hot, null_safe(keys, "hot_"), "left_semi")
     rest = df.join(hot, null_safe(keys, "hot_"), "left_anti")
     return at_once.unionByName(rest.join(others, null_safe(keys, "m_"), "left_semi"))
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame:
+    """``df`` dealt out by ``keys`` to as many partitions as its ``rows`` need.
+
+    The session's number of partitions, and what adaptive execution joins of them, hold for
+    every size of input, so a task would sort or group more rows as the input grows. Few or
+    unknown rows are left to the session. For keys of few rows each: no map-side sums.
+    """
+    pieces = -(-(rows or 0) // TASK_ROWS)
+    few = pieces <= df.sparkSession.sparkContext.defaultParallelism
+    return df if few else df.repartition(pieces, *keys)
+
+
+def spread_distinct(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` without repeated rows in a partition, those ``spread`` by value; a few repeats may stay.
+
+    Copies of one row meet in several tasks, by the scan that they come from: a row that makes
+    up a large part of the table leaves each of them once.
+    """
+    dealt = df.withColumn("deal_", F.spark_partition_id() % DEALS)
+    parts = spread(dealt, [*df.columns, "deal_"], rows)
+    return df.distinct() if parts is dealt else parts.distinct().select(*df.columns)

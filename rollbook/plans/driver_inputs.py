@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.operators.skew import spread
+
 DAY_TEXT = "dd-MM-yyyy"
 
 class DriverInputs:
@@ -20,12 +22,24 @@ class DriverInputs:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    def rows(self, name: str) -> int:
+        """Row count of a table, which its files state."""
+        if name not in self._rows:
+            self._rows[name] = self.table(name).count()
+        return self._rows[name]
+
+    @property
+    def feed_rows(self) -> list[int]:
+        """About as many rows as ``enrolment``, ``demographic`` and ``biometric`` have."""
+        return [self.rows(name) for name in ("orders", "lineitem", "events")]
+
     @cached_property
     def geo(self) -> DataFrame:
         """(c_custkey, state, district) of every customer."""
@@ -78,13 +92,14 @@ class DriverInputs:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Line items with the state, district and customer of their order."""
+        """Line items with the state, district and customer of their order.
+
+        Orders get their place first, so the line items themselves are shuffled once.
+        """
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return (
-            self.table("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.geo, F.col("o_custkey") == F.col("c_custkey"))
-        )
+        placed = orders.join(self.geo, F.col("o_custkey") == F.col("c_custkey"))
+        items = spread(self.table("lineitem"), ["l_orderkey"], self.rows("lineitem"))
+        return items.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
 
     @cached_property
     def demographic(self) -> DataFrame:

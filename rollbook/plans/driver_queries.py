@@ -276,17 +276,17 @@ def merge_indicator(t):
 
 @query
 def coverage_pct(t):
-    return keys.coverage_pct(t.enrolment, t.demographic, t.biometric)
+    return keys.coverage_pct(t.enrolment, t.demographic, t.biometric, rows=t.feed_rows)
 
 
 @query
 def coverage_summary(t):
-    return keys.coverage_summary(t.enrolment, t.demographic, t.biometric)
+    return keys.coverage_summary(t.enrolment, t.demographic, t.biometric, rows=t.feed_rows)
 
 
 @query
 def coverage_summary_compat(t):
-    return keys.coverage_summary(t.enrolment, t.demographic, t.biometric, compat=True)
+    return keys.coverage_summary(t.enrolment, t.demographic, t.biometric, compat=True, rows=t.feed_rows)
 
 
 @query
