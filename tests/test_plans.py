@@ -35,6 +35,13 @@ def test_coverage_needs_one_shuffle_of_keys(spark):
     assert len(keyed) == 1
 
 
+def test_net_change_sums_no_orders_or_customers(spark):
+    """As many sums as rows would be held by a task; months and states are few."""
+    plan = plan_of(QUERIES["net_change_kpi"](spark, SF))
+    assert not re.search(r"HashAggregate\(keys=\[(l_orderkey|o_custkey)", plan)
+    assert re.search(r"HashAggregate\(keys=\[state", plan)
+
+
 def test_missing_keys_reuses_the_distinct_shuffles(spark):
     plan = plan_of(QUERIES["missing_keys_ab"](spark, SF))
     keyed = re.findall(r"Exchange hashpartitioning\(date_key[^)]*\)", plan)
