@@ -312,15 +312,23 @@ def _starred(posted: DataFrame, percent: int) -> DataFrame:
 def _most_frequent(often: DataFrame) -> np.ndarray:
     """Sorted tokens from the highest steps of frequency that hold FREQUENT_MOST at most.
 
-    The driver receives a row per step, then those tokens.
+    The driver receives a row per step, then those tokens, packed: as rows, a million of them
+    take hundreds of MB there.
     """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("h1").to_numpy().tobytes()
+            yield pa.RecordBatch.from_pydict({"tokens": pa.array([tokens], pa.binary())})
+
     steps = often.groupBy("step").agg(F.count(F.lit(1)).alias("tokens")).toPandas()
     steps = steps.sort_values("step", ascending=False)
     fits = steps[steps["tokens"].cumsum() <= FREQUENT_MOST]
     if fits.empty:
         return np.zeros(0, np.uint64)
-    tokens = often.filter(F.col("step") >= int(fits["step"].min())).select("h1").toPandas()
-    return np.sort(tokens["h1"].to_numpy(dtype=np.int64).view(np.uint64))
+    tokens = often.filter(F.col("step") >= int(fits["step"].min())).select("h1")
+    packed = tokens.mapInArrow(pack, "tokens binary").collect()
+    return np.sort(np.frombuffer(b"".join(r.tokens for r in packed), np.uint64))
 
 
 def similar_sets(

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -89,6 +90,20 @@ def test_similar_sets_share_a_signature(share):
             assert x & y or set(a) == set(b)
 
 
+def test_frequent_tokens_reach_the_driver_packed(spark):
+    """A row for each took some 100 bytes in the driver; a packed token takes 8."""
+    many = 200_000
+    often = spark.range(many).selectExpr("xxhash64(id) h1", "100 n", "cast(id % 7 as int) step")
+    tracemalloc.start()
+    got = jaccard._most_frequent(often)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.array([r.h for r in spark.range(many).selectExpr("xxhash64(id) h").collect()], dtype=np.int64)
+    assert got.dtype == np.uint64 and np.array_equal(got, np.sort(want.view(np.uint64)))
+    assert most < 50 * many
+    assert not len(jaccard._most_frequent(often.limit(0)))
+
+
 def test_awkward_rows(spark, odd_docs, odd_rows, no_docs):
     got = jaccard.jaccard_components(odd_docs)
     want = brute({r[0]: r[1] for r in odd_rows if r[0] is not None})
