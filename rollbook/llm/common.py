@@ -33,6 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def keep(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame:
@@ -40,18 +41,21 @@ def keep(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation. ``release`` deletes
     what is kept, once results that read it are written. ``batch_bytes`` bounds the Arrow
-    batches that tasks get meanwhile: rows of whole texts are wide.
+    batches that tasks get meanwhile: rows of whole texts are wide. Shuffle files of the write
+    go with its end, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rollbook-llm/{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(ARROW_BYTES, None)
+    wanted = {CLEAN_SHUFFLES: "true"} | ({ARROW_BYTES: str(batch_bytes)} if batch_bytes else {})
+    before = {name: spark.conf.get(name, None) for name in wanted}
     try:
-        if batch_bytes:
-            spark.conf.set(ARROW_BYTES, str(batch_bytes))
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        if batch_bytes and before is not None:
-            spark.conf.set(ARROW_BYTES, before)
+        for name, value in before.items():
+            if value is not None:
+                spark.conf.set(name, value)
     _kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

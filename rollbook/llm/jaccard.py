@@ -5,11 +5,15 @@ prefix of its tokens: rare tokens come first and are signatures by themselves; i
 not suffice, the prefix is extended over frequent tokens, which are split into classes and
 indexed as combinations of two of one class. The prefix is so long that two similar sets
 always share a signature: with ``slack`` tokens of a set missing in the other, it holds more
-than ``slack`` rare tokens plus frequent ones beyond the first of each class.
+than ``slack`` rare tokens plus frequent ones beyond the first of each class. Sets with rare
+tokens to spare sign with some more, since similar sets then share several signatures: one in
+common is no candidate. A first pass only counts signatures; tokens that many sets sign with
+are frequent in the second.
 
-Sets that share a signature and have fitting sizes are candidates. Where few sets share it,
+Sets that share signatures and have fitting sizes are candidates. Where few sets share one,
 they are paired and screened by a sketch of counts, whose distance is never above the true
-one; where many do, they hang on the smallest of them (a star, never all pairs). Candidates
+one and whose cells grow with the set; where many do, they hang on the smallest of them (a
+star, never all pairs). Candidates
 that are connected are verified together with their whole token sets; bundles beyond a size
 are cut into blocks and verified block by block. What leaves a task is a forest of verified
 links.
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import keep
@@ -31,6 +35,7 @@ from rollbook.llm.graph import components
 NGRAM = 3
 PERCENT = 90
 FREQUENT = 16  # sets seen to share a token, from which it counts as frequent
+SIGNED = 64  # rows that sign with a token, from which it counts as frequent
 FREQUENT_MOST = 1 << 20  # frequent tokens at most; the most frequent ones: bounds the broadcast
 STEP_BYTES = 1 << 19  # bytes of text per numpy pass
 CHUNK = 1 << 19  # tokens of the sets of a chunk
@@ -38,7 +43,11 @@ BATCH_BYTES = 4 << 20  # of the Arrow batches that texts come in
 SIGN_ROWS = 1_000  # texts whose signatures are in memory at once
 SEEN = 1 << 18  # sets that a task remembers to have signed
 PAIRED = 128  # up to so many sets of a signature are paired one by one
-CELLS = 256  # of the count sketch that screens pairs
+SHARED = 3  # signatures that a pair has in common, where rare tokens suffice
+CELLS = 256  # of the count sketch that screens pairs, at least
+CELL_TOKENS = 8  # of a larger set in a cell at most: with more, chance evens the counts out
+SCREEN_BYTES = 2 << 20  # of sketches compared at once
+SCREEN_SETS = 4_000
 BLOCK_SETS = 1_500
 BLOCK_TOKENS = 1_500_000
 
@@ -134,18 +143,31 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
     ``tokens`` and ``frequent`` are sorted. Sets so small that only equal sets are similar
     have none.
     """
+    return shared_signatures(tokens, frequent, percent)[0]
+
+
+def shared_signatures(
+    tokens: np.ndarray, frequent: np.ndarray, percent: int
+) -> tuple[np.ndarray, int]:
+    """Signatures of a set, and how many of them a similar set has too.
+
+    The number is 0 for a set that signs with frequent tokens: it shares one with another of
+    its kind. Two sets share the smaller number that is not 0: all tokens in common come in
+    the same order, and at most ``slack`` others of either set stand before the last of them.
+    """
     size = len(tokens)
     slack = size - needed(size, percent)
     # linked only with equal sets: even one token more in the union is too many
     if 100 * size < percent * (size + 1):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), 0
     if len(frequent):
         known = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
     else:
         known = np.zeros(size, dtype=bool)
     rare = tokens[~known]
-    if len(rare) > slack:
-        return rare[: slack + 1]
+    shared = min(SHARED, needed(size, percent))
+    if len(rare) >= slack + shared:
+        return rare[: slack + shared], shared
     common = tokens[known]
     found = [rare]
     largest = 100 * size // percent
@@ -167,7 +189,35 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
             of = mix64(part[kind == k] + np.uint64(level))
             i, j = np.triu_indices(len(of), 1)
             found.append(mix64(of[i] * _PLACES[0] + of[j] * _PLACES[1]))
-    return np.unique(np.concatenate(found))
+    return np.unique(np.concatenate(found)), 0
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens of a set fall in each cell, up to 255; cells are a power of two."""
+    cells = max(CELLS, (1 << (len(tokens) - 1).bit_length()) // CELL_TOKENS)
+    held = np.bincount((tokens >> np.uint64(11)).astype(np.int64) % cells, minlength=cells)
+    return np.minimum(held, 255).astype(np.uint8)
+
+
+def sketches_apart(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """Distances of sketches, row by row; the finer of two is folded to the cells of the other."""
+    sizes = np.array([[len(x) for x in one], [len(x) for x in two]])
+    apart = np.zeros(len(one), dtype=np.int64)
+    for la, lb in np.unique(sizes, axis=1).T.tolist():
+        rows = np.flatnonzero((sizes[0] == la) & (sizes[1] == lb))
+        least, step = min(la, lb), max(1, SCREEN_BYTES // (la + lb))
+        for at in (rows[i : i + step] for i in range(0, len(rows), step)):
+            a, b = (
+                np.minimum(
+                    np.frombuffer(b"".join(side[k] for k in at.tolist()), np.uint8)
+                    .reshape(len(at), -1, least)
+                    .sum(axis=1, dtype=np.int32),
+                    255,
+                )
+                for side in (one, two)
+            )
+            apart[at] = np.abs(a - b).sum(axis=1, dtype=np.int64)
+    return apart
 
 
 def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -224,7 +274,7 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n, h1, h2, sketch = [], [], [], [], []
+            ids, n, h1, h2, sketches = [], [], [], [], []
             tokens: list[np.ndarray] = []
             held = 0
             keys = batch.column("doc_id").to_pylist()
@@ -233,8 +283,7 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
                 n.append(len(s))
                 h1.append(int(mix64(s + _PLACES[3]).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix64(s ^ _PLACES[4]).sum(dtype=np.uint64).astype(np.int64)))
-                cells = np.bincount((s >> np.uint64(11)).astype(np.int64) % CELLS, minlength=CELLS)
-                sketch.append(np.minimum(cells, 255).astype(np.uint8).tobytes())
+                sketches.append(sketch(s).tobytes())
                 tokens.append(s)
                 held += len(s)
                 if held > CHUNK:
@@ -245,7 +294,7 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()),
                  "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()),
-                 "sketch": pa.array(sketch, pa.binary())}
+                 "sketch": pa.array(sketches, pa.binary())}
             )
 
     def _frequent(tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -262,14 +311,26 @@ def _profile(docs: DataFrame, ngram: int) -> DataFrame:
 
 
 def _paired(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs under signatures of few rows whose sizes and sketches allow a link."""
-    few = posted.filter(F.col("rows") <= PAIRED).select("sig", "h1", "n")
-    one = few.select("sig", F.col("h1").alias("a"), F.col("n").alias("na"))
-    two = few.select("sig", F.col("h1").alias("b"), F.col("n").alias("nb"))
+    """(a, b): pairs under signatures of few sets whose sizes and sketches allow a link.
+
+    A signature of many sets counts as one that no pair has here: it is a star's.
+    """
+    few = posted.filter(F.col("rows") <= PAIRED)
+    one = few.select("sig", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("least").alias("la"))
+    two = few.select("sig", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("least").alias("lb"))
     fits = (F.col("a") < F.col("b")) & (
         F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     )
-    pairs = one.join(two, "sig").filter(fits).select("a", "b").distinct()
+    # 0 for sets that sign with frequent tokens
+    wanted = F.when(F.least("la", "lb") > 0, F.least("la", "lb")).otherwise(F.greatest("la", "lb"))
+    pairs = (
+        one.join(two, "sig")
+        .filter(fits)
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"), F.max(wanted).alias("wanted"))
+        .filter(F.col("shared") >= F.col("wanted"))
+        .select("a", "b")
+    )
     looks = sets.groupBy("h1").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     both = pairs.join(
         looks.select(F.col("h1").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a"
@@ -281,13 +342,7 @@ def _paired(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sa, sb = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
-                .reshape(-1, CELLS)
-                .astype(np.int16)
-                for c in ("sa", "sb")
-            )
-            apart = np.abs(sa - sb).sum(axis=1, dtype=np.int64)
+            apart = sketches_apart(*(batch.column(c).to_pylist() for c in ("sa", "sb")))
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
             close = pa.array(apart * (100 + percent) <= total * (100 - percent))
             yield batch.select(["a", "b"]).filter(close)
@@ -309,6 +364,81 @@ def _starred(posted: DataFrame, percent: int) -> DataFrame:
     return many.join(low, ["sig", "step"]).select(F.col("h1").alias("a"), "b")
 
 
+def _blocks(sets: int, more: Column) -> Column:
+    return F.greatest(F.ceil(F.count(F.lit(1)) / sets), F.ceil(more)).cast("int").alias("blocks")
+
+
+def _placed(members: DataFrame, sized: DataFrame, key: str) -> DataFrame:
+    """Members of bundles, each with all cells that its block stands in: any two meet in one."""
+    mine = F.pmod(F.xxhash64(key), F.col("blocks")).cast("int")
+    other = F.col("other")
+    return (
+        members.join(sized, "bundle")
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("cell", F.xxhash64("bundle", F.least("mine", other), F.greatest("mine", other)))
+    )
+
+
+def _close_forest(n: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Links that join all sets which sizes and sketches connect; ``n`` ascends."""
+    group, links = np.arange(len(n)), []
+    cells = np.array([len(x) for x in sketches])
+    for level in np.unique(cells).tolist():
+        leads = np.flatnonzero(cells == level)
+        stop = int(np.searchsorted(n, n[leads[-1]] * 100 // percent, side="right"))
+        # larger sets have as many cells or more: folded to those of the leads
+        near = np.array(
+            [
+                np.frombuffer(x, np.uint8).reshape(-1, level).sum(axis=0, dtype=np.int32)
+                for x in sketches[leads[0] : stop]
+            ]
+        )
+        near = np.minimum(near, 255).astype(np.int16)
+        for i in leads.tolist():
+            last = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
+            rows = np.arange(i + 1, last)
+            rows = rows[group[rows] != group[i]]
+            apart = np.abs(near[rows - leads[0]] - near[i - leads[0]]).sum(axis=1, dtype=np.int64)
+            rows = rows[apart * (100 + percent) <= (n[i] + n[rows]) * (100 - percent)]
+            _, first = np.unique(group[rows], return_index=True)
+            for j in rows[first].tolist():
+                links.append((i, j))
+                group[group == group[j]] = group[i]
+    return links
+
+
+def _parted(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(class_id, bundle, n): bundles cut to what sizes and sketches connect, all pairs compared.
+
+    A star ties sets that share no more than a signature. Sets that nothing is close to go.
+    """
+    looks = sets.groupBy("h1").agg(F.min("sketch").alias("sketch"))
+    seen = keep(members.select("h1", "bundle", "n").distinct().join(looks, "h1"), "wide-bundles")
+    sized = seen.groupBy("bundle").agg(
+        _blocks(SCREEN_SETS, F.sum(F.length("sketch")) / SCREEN_BYTES)
+    )
+
+    def close(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("h1").sort_values("n")
+        links = _close_forest(group["n"].to_numpy(), group["sketch"].tolist(), percent)
+        keys = group["h1"].tolist()
+        return pd.DataFrame(
+            [(keys[i], keys[j]) for i, j in links], columns=["a", "b"], dtype="int64"
+        )
+
+    cells = _placed(seen, sized, "h1").select("cell", "h1", "n", "sketch")
+    near = keep(cells.groupBy("cell").applyInPandas(close, "a long, b long"), "close-sets", BATCH_BYTES)
+    roots = components(near)
+    return members.join(roots, members["h1"] == roots["node"]).select(
+        "class_id", F.col("root").alias("bundle"), "n"
+    )
+
+
+def _step(n: str) -> Column:
+    return F.floor(F.log2(F.col(n).cast("double")) * 16).cast("int").alias("step")
+
+
 def _most_frequent(often: DataFrame) -> np.ndarray:
     """Sorted tokens from the highest steps of frequency that hold FREQUENT_MOST at most.
 
@@ -353,67 +483,82 @@ def similar_sets(
         .groupBy("h1")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= FREQUENT)
-        .withColumn("step", F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int"))
+        .withColumn("step", _step("n"))
     )
-    frequent = spark.sparkContext.broadcast(_most_frequent(keep(often, "frequent-tokens")))
+    often = keep(often, "frequent-tokens")
 
     same = of_docs.filter(F.col("n") > 0).groupBy("h1", "h2", "n")
     classes = keep(same.agg(F.min("doc_id").alias("class_id")), "set-classes")
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # copies of a set within a task need no second signature
-        for batch in (b.slice(i, SIGN_ROWS) for b in batches for i in range(0, b.num_rows, SIGN_ROWS)):
-            sigs, owners, sizes = [], [], []
-            if len(seen) > SEEN:
-                seen.clear()
-            for s in shingle_sets(batch.column("text"), ngram):
-                owner = mix64(s + _PLACES[3]).sum(dtype=np.uint64)
-                if int(owner) in seen:
-                    continue
-                seen.add(int(owner))
-                found = signatures(s, frequent.value, percent)
-                if len(found):
-                    sigs.append(found)
-                    owners.append(np.full(len(found), owner, dtype=np.uint64))
-                    sizes.append(np.full(len(found), len(s), dtype=np.int64))
-            if sigs:
-                yield pa.RecordBatch.from_pydict(
-                    {"sig": pa.array(np.concatenate(sigs).view(np.int64)),
-                     "h1": pa.array(np.concatenate(owners).view(np.int64)),
-                     "n": pa.array(np.concatenate(sizes))}
-                )
-
-    signed = docs.mapInArrow(sign, "sig long, h1 long, n long")
-    shared = (
-        signed.groupBy("sig")
-        .agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("low") != F.col("high"))
-        .select("sig", "rows")
+    def signed(tokens: DataFrame) -> DataFrame:
+        """(sig, h1, n, least) of all sets, with these frequent tokens."""
+        frequent = spark.sparkContext.broadcast(_most_frequent(tokens))
+
+        def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()  # copies of a set within a task need no second signature
+            for batch in (b.slice(i, SIGN_ROWS) for b in batches for i in range(0, b.num_rows, SIGN_ROWS)):
+                sigs, owners, sizes, shares = [], [], [], []
+                if len(seen) > SEEN:
+                    seen.clear()
+                for s in shingle_sets(batch.column("text"), ngram):
+                    owner = mix64(s + _PLACES[3]).sum(dtype=np.uint64)
+                    if int(owner) in seen:
+                        continue
+                    seen.add(int(owner))
+                    found, least = shared_signatures(s, frequent.value, percent)
+                    if len(found):
+                        sigs.append(found)
+                        owners.append(np.full(len(found), owner, dtype=np.uint64))
+                        sizes.append(np.full(len(found), len(s), dtype=np.int64))
+                        shares.append(np.full(len(found), least, dtype=np.int32))
+                if sigs:
+                    yield pa.RecordBatch.from_pydict(
+                        {"sig": pa.array(np.concatenate(sigs).view(np.int64)),
+                         "h1": pa.array(np.concatenate(owners).view(np.int64)),
+                         "n": pa.array(np.concatenate(sizes)),
+                         "least": pa.array(np.concatenate(shares))}
+                    )
+
+        return docs.mapInArrow(sign, "sig long, h1 long, n long, least int")
+
+    counted = signed(often).groupBy("sig").agg(
+        F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    crowded = keep(
+        counted.filter((F.col("low") != F.col("high")) & (F.col("n") >= SIGNED)).select(
+            F.col("sig").alias("h1"), "n", _step("n")
+        ),
+        "crowded-signatures",
+        BATCH_BYTES,
+    )
+    common = often.union(crowded).groupBy("h1").agg(F.max("n").alias("n"), F.max("step").alias("step"))
+    # copies that other tasks have signed go; the counts are those of different sets
+    once = signed(keep(common, "common-tokens")).repartition("sig").distinct()
+    sets = F.count(F.lit(1)).over(Window.partitionBy("sig"))
+    posted = keep(once.withColumn("rows", sets).filter("rows > 1"), "postings", BATCH_BYTES)
+    near = keep(
+        _paired(posted, of_docs, percent).union(_starred(posted, percent)), "near-sets", BATCH_BYTES
     )
-    posted = keep(signed.join(shared, "sig"), "postings", BATCH_BYTES)
-    near = _paired(posted, of_docs, percent).union(_starred(posted, percent))
     grouped = keep(
         components(near).withColumnsRenamed({"node": "h1", "root": "bundle"}), "set-bundles"
     )
-    candidates = keep(classes.join(grouped, "h1").select("class_id", "bundle", "n"), "candidates")
-
-    # bundles beyond a block's size are verified as a grid of blocks
-    blocks = F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)
-    ).cast("int")
-    sized = candidates.groupBy("bundle").agg(blocks.alias("blocks"))
-    mine = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    other = F.col("other")
-    placed = (
-        candidates.join(sized, "bundle")
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "class_id",
-            F.xxhash64("bundle", F.least("mine", other), F.greatest("mine", other)).alias("cell"),
-        )
+    candidates = keep(
+        classes.join(grouped, "h1").select("h1", "class_id", "bundle", "n"), "candidates"
     )
 
+    # bundles beyond a block's size are parted by sketches and verified as a grid of blocks
+    blocks = _blocks(BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)
+    sized = keep(candidates.groupBy("bundle").agg(blocks), "bundle-sizes")
+    wide = sized.filter("blocks > 1").select("bundle")
+    if not wide.isEmpty():
+        parted = _parted(candidates.join(wide, "bundle"), of_docs, percent)
+        candidates = keep(
+            candidates.join(wide, "bundle", "left_anti").select("class_id", "bundle", "n").union(parted),
+            "parted-candidates",
+        )
+        sized = candidates.groupBy("bundle").agg(blocks)
+    placed = _placed(candidates, sized, "class_id").select("class_id", "cell")
+
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.tobytes() for s in shingle_sets(batch.column("text"), ngram)]

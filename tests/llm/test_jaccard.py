@@ -90,6 +90,70 @@ def test_similar_sets_share_a_signature(share):
             assert x & y or set(a) == set(b)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_tell_long_sets_apart(percent):
+    """Chance made any two sets of over 5,400 tokens close, so all of them were one bundle."""
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(0, 2**63, 100_000, dtype=np.uint64)
+    sets = {}
+    for size in [0, 1, 40, 300, 2048, 2049, 4096, 4100, 6000, 9000, 17_000]:
+        for extra in (0, size // 12):
+            sets[size, extra] = np.unique(rng.choice(tokens, size + extra, replace=False))
+    sets["near", 0] = np.unique(np.concatenate([sets[9000, 0][200:], tokens[:150]]))
+    names = list(sets)
+    drawn = {name: jaccard.sketch(s).tobytes() for name, s in sets.items()}
+    a, b = zip(*[(x, y) for x in names for y in names], strict=True)
+    apart = jaccard.sketches_apart([drawn[x] for x in a], [drawn[y] for y in b])
+    for x, y, d in zip(a, b, apart.tolist(), strict=True):
+        total = len(sets[x]) + len(sets[y])
+        both = len(np.intersect1d(sets[x], sets[y]))
+        assert d <= total - 2 * both
+        close = d * (100 + percent) <= total * (100 - percent)
+        linked = 100 * both >= percent * (total - both)
+        assert close == linked or {x[0], y[0]} == {9000, "near"}
+
+
+def test_similar_sets_share_several_signatures():
+    """As many as both promise; sets of frequent tokens share one with their kind."""
+    rng = np.random.default_rng(5)
+    for share in (0.0, 0.3, 0.85, 0.95):
+        for size in [*range(4, 40), 150, 600]:
+            pool = np.unique(rng.integers(0, 2**63, size + 400, dtype=np.uint64))
+            rng.shuffle(pool)
+            frequent = np.sort(pool[rng.random(len(pool)) < share])
+            drop = rng.integers(0, size - jaccard.needed(size, 80) + 1)
+            a, b = np.sort(pool[:size]), pool[: size - drop]
+            more = (100 * len(b) - 80 * size) // 80
+            b = np.sort(np.concatenate([b, pool[size : size + max(0, more)]]))
+            (x, m), (y, n) = (jaccard.shared_signatures(s, frequent, 80) for s in (a, b))
+            if set(a) != set(b):
+                assert len(set(x.tolist()) & set(y.tolist())) >= (min(m, n) or max(m, n) or 1)
+
+
+@pytest.mark.parametrize("signed, sets", [(10, 4_000), (10**9, 40)])
+def test_stars_are_parted(spark, monkeypatch, signed, sets):
+    """Sets that hang together by a common passage alone are not verified together."""
+    for name, value in {"FREQUENT": 10**9, "SIGNED": signed, "PAIRED": 2, "BLOCK_SETS": 30, "SCREEN_SETS": sets}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    texts = near_copies(7)
+    docs = spark.createDataFrame(list(texts.items()) * 2, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()}
+    assert got == brute(texts)
+
+
+def test_close_sets_meet_whatever_their_cells():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 6000, dtype=np.uint64)
+    sets = [np.unique(base[: 3800 + 40 * k]) for k in range(12)]  # 512 to 1024 cells
+    sets += [np.unique(rng.integers(0, 2**63, 4000 + k, dtype=np.uint64)) for k in range(6)]
+    sets.sort(key=len)
+    n = np.array([len(s) for s in sets])
+    links = jaccard._close_forest(n, [jaccard.sketch(s).tobytes() for s in sets], 90)
+    linked = {i for link in links for i in link}
+    assert len(links) == 11
+    assert linked == {i for i, s in enumerate(sets) if np.isin(s, base).all()}
+
+
 def test_frequent_tokens_reach_the_driver_packed(spark):
     """A row for each took some 100 bytes in the driver; a packed token takes 8."""
     many = 200_000
